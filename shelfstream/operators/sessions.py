@@ -14,8 +14,8 @@ DEFAULT_GAP_MS = 30_000
 PART_ROWS = 100_000
 
 
-def _bin(gap_ms: int):
-    return F.expr(f"(timestamp - pmod(timestamp, {gap_ms}L)) div {gap_ms}L")
+def _bin(gap_ms: int, millis: str = "timestamp"):
+    return F.expr(f"({millis} - pmod({millis}, {gap_ms}L)) div {gap_ms}L")
 
 
 def _session_bins(df: DataFrame, gap_ms: int, part_rows: int) -> DataFrame:
@@ -78,3 +78,16 @@ def session_stream(df: DataFrame, gap_ms: int = DEFAULT_GAP_MS) -> DataFrame:
         .agg(F.min("timestamp").alias("session_start"), F.max("timestamp").alias("session_end"), F.count(F.lit(1)).alias("n_events"))
         .select("client_id", "session_start", "session_end", "n_events")
     )
+
+
+def events_of_sessions(events: DataFrame, sessions: DataFrame, gap_ms: int = DEFAULT_GAP_MS) -> DataFrame:
+    """The events that belong to the given sessions (:func:`session_summary` layout).
+
+    A bin never holds two sessions of one client, so the sessions' bins select the events by equality.
+    """
+    bins = sessions.select(
+        F.col("client_id").alias("_client"),
+        F.explode(F.sequence(_bin(gap_ms, "session_start"), _bin(gap_ms, "session_end"))).alias("_bin"),
+    )
+    same = F.col("client_id").eqNullSafe(F.col("_client")) & (_bin(gap_ms) == F.col("_bin"))
+    return events.join(bins, same, "left_semi")

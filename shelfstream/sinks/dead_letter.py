@@ -24,5 +24,8 @@ def dead_letter_lines(letters: DataFrame) -> DataFrame:
     def text(name: str):
         return F.coalesce(F.col(name).cast("string"), F.lit("null"))
 
-    line = F.format_string("%s failed with %s at %s in %s", text("data"), text("error"), text("timestamp"), text("transform"))
+    # date_format writes in the session time zone, so shift the instant to show UTC.
+    utc = F.to_utc_timestamp("timestamp", F.current_timezone())
+    at = F.coalesce(F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"), F.lit("null"))
+    line = F.format_string("%s failed with %s at %s in %s", text("data"), text("error"), at, text("transform"))
     return letters.select(line.alias("line"))

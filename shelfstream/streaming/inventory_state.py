@@ -7,23 +7,26 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from shelfstream.operators.inventory import INCOMING, KEYS, OUTGOING, STOCK_EVENTS
 
-OUTPUT = "store_id string, product_id string, seq long, event_type string, quantity long, timestamp long, on_hand long"
-
 
 class OnHandProcessor(StatefulProcessor):
     """State per key: time of the last reset and the current count."""
 
+    def __init__(self, order_cols: Sequence[str], output: Sequence[str]) -> None:
+        self._order, self._output = list(order_cols), list(output)
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._reset = handle.getValueState("last_reset", "time long")
         self._count = handle.getValueState("on_hand", "count long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        # Rows of a micro-batch come in any order; seq is their arrival order.
-        batch = pd.concat(list(rows), ignore_index=True).sort_values("seq", kind="stable", ignore_index=True)
+        # Rows of a micro-batch come in any order.
+        batch = pd.concat(list(rows), ignore_index=True).sort_values(self._order, kind="stable", ignore_index=True)
         kind = batch["event_type"]
         is_reset = (kind == "RESET").to_numpy()
         time = batch["timestamp"].to_numpy(np.int64)
@@ -43,21 +46,25 @@ class OnHandProcessor(StatefulProcessor):
         self._count.update((int(on_hand[-1]),))
         if at_reset[-1] >= 0:
             self._reset.update((int(time[at_reset[-1]]),))
-        out = batch.assign(on_hand=on_hand)[accepted]
-        yield out[["store_id", "product_id", "seq", "event_type", "quantity", "timestamp", "on_hand"]]
+        yield batch.assign(on_hand=on_hand)[accepted][self._output]
 
     def close(self) -> None:
         pass
 
 
-def inventory_stream(events: DataFrame, seq: str = "seq", keys: Sequence[str] = KEYS) -> DataFrame:
+def inventory_stream(events: DataFrame, order_cols: Sequence[str], keys: Sequence[str] = KEYS) -> DataFrame:
     """Every accepted stock event of the stream with ``on_hand`` after it.
 
-    ``seq`` is a long that gives the arrival order of the events of one key within a micro-batch.
+    ``order_cols`` give the arrival order of the events of one key within a micro-batch; micro-batches
+    follow one another.
     """
-    moves = events.filter(events["event_type"].isin(*STOCK_EVENTS)).select(
-        *keys, events[seq].alias("seq"), "event_type", "quantity", "timestamp"
+    moves = events.filter(F.col("event_type").isin(*STOCK_EVENTS)).select(
+        *keys, *order_cols, *[c for c in ("event_type", "quantity", "timestamp") if c not in order_cols]
     )
+    output = T.StructType([*moves.schema.fields, T.StructField("on_hand", T.LongType())])
     return moves.groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=OnHandProcessor(), outputStructType=OUTPUT, outputMode="Append", timeMode="None"
+        statefulProcessor=OnHandProcessor(order_cols, output.names),
+        outputStructType=output,
+        outputMode="Append",
+        timeMode="None",
     )

@@ -8,12 +8,12 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from shelfstream.operators.inventory import KEYS
 from shelfstream.operators.velocity import DAY, HOUR, MINUTE_MS, THRESHOLD
-
-OUTPUT = "store_id string, product_id string, seq long, quantity long, timestamp long, type string, window string, count long"
+from shelfstream.schemas import SIGNAL
 
 
 def to_minute(millis: np.ndarray) -> np.ndarray:
@@ -33,15 +33,15 @@ def window_sums(minute: np.ndarray, sold: np.ndarray, ref: np.ndarray, width: in
 class VelocityProcessor(StatefulProcessor):
     """State per key: newest event time and the minute buckets still inside the day window."""
 
-    def __init__(self, threshold: int) -> None:
-        self._threshold = threshold
+    def __init__(self, threshold: int, order_cols: Sequence[str], output: Sequence[str]) -> None:
+        self._threshold, self._order, self._output = threshold, list(order_cols), list(output)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._newest = handle.getValueState("newest", "time long")
         self._buckets = handle.getMapState("buckets", "minute long", "sold long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True).sort_values("seq", kind="stable", ignore_index=True)
+        batch = pd.concat(list(rows), ignore_index=True).sort_values(self._order, kind="stable", ignore_index=True)
         stored = dict(sorted((k[0], v[0]) for k, v in self._buckets.iterator())) if self._buckets.exists() else {}
         past = len(stored)
 
@@ -69,19 +69,23 @@ class VelocityProcessor(StatefulProcessor):
         out = batch.assign(
             type=np.where(fast, "FAST", "SLOW"), window=np.where(fast, "1h", "24h"), count=np.where(fast, hour, day)
         )
-        yield out[["store_id", "product_id", "seq", "quantity", "timestamp", "type", "window", "count"]]
+        yield out[self._output]
 
     def close(self) -> None:
         pass
 
 
 def velocity_stream(
-    events: DataFrame, threshold: int = THRESHOLD, seq: str = "seq", keys: Sequence[str] = KEYS
+    events: DataFrame, order_cols: Sequence[str], threshold: int = THRESHOLD, keys: Sequence[str] = KEYS
 ) -> DataFrame:
     """Every sale of the stream with its signal columns ``type, window, count``."""
     sales = events.filter(F.col("event_type") == "SALE").select(
-        *keys, F.col(seq).alias("seq"), "quantity", "timestamp"
+        *keys, *order_cols, *[c for c in ("quantity", "timestamp") if c not in order_cols]
     )
+    output = T.StructType([*sales.schema.fields, *SIGNAL.fields])
     return sales.groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=VelocityProcessor(threshold), outputStructType=OUTPUT, outputMode="Append", timeMode="None"
+        statefulProcessor=VelocityProcessor(threshold, order_cols, output.names),
+        outputStructType=output,
+        outputMode="Append",
+        timeMode="None",
     )
