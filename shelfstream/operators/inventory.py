@@ -55,10 +55,9 @@ def dropped_by_reset(
 
 def _running_state(events, order_cols, keys, splits, min_chunk_rows) -> DataFrame:
     keys, order_cols = list(keys), list(order_cols)
-    hot = skew.hot_keys(events, keys, order_cols[0], splits, min_chunk_rows)
-    tagged = skew.with_chunk(events, hot, keys, order_cols[0])
-    opening = _opening_rows(tagged.filter("is_hot"), hot, order_cols, keys)
-    rows = tagged.withColumn("is_event", F.lit(True)).unionByName(opening, allowMissingColumns=True)
+    split = skew.split_hot_keys(events, keys, order_cols[0], splits, min_chunk_rows)
+    opening = _opening_rows(split, order_cols, keys)
+    rows = split.rows.withColumn("is_event", F.lit(True)).unionByName(opening, allowMissingColumns=True)
 
     # One exchange and one sort serve all three running columns.
     arrival = Window.partitionBy(*keys, "chunk").orderBy("is_event", *order_cols)
@@ -76,9 +75,10 @@ def _running_state(events, order_cols, keys, splits, min_chunk_rows) -> DataFram
     )
 
 
-def _opening_rows(hot_rows, hot, order_cols, keys) -> DataFrame:
+def _opening_rows(split: skew.Split, order_cols, keys) -> DataFrame:
     """One row per later chunk of a hot key that replays the state its earlier chunks left behind."""
     by_chunk = [*keys, "chunk"]
+    hot_rows = split.rows.filter("is_hot")
     position = F.struct(*order_cols)
     last_resets = (
         hot_rows.filter("event_type = 'RESET'")
@@ -86,8 +86,7 @@ def _opening_rows(hot_rows, hot, order_cols, keys) -> DataFrame:
         .agg(F.max_by("timestamp", position).alias("reset_time"), F.max(position).alias("reset_position"))
     )
     chunks = (
-        skew.chunk_list(hot, keys)
-        .join(F.broadcast(last_resets), by_chunk, "left")
+        split.chunks.join(F.broadcast(last_resets), by_chunk, "left")
         .withColumn("opening_reset", F.last("reset_time", ignorenulls=True).over(skew.before(keys)))
     )
     # Within a chunk only what follows its last reset counts for the closing state.

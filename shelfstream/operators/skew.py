@@ -1,58 +1,95 @@
 """Splitting of hot keys into consecutive chunks of their arrival order.
 
-An ordered running computation per key puts a whole key into one task. Here a key that holds more
-than one ``splits``-th of all rows is cut into chunks along its leading order column, each about
-that size. At most ``splits`` keys can be that large and together they have at most ``2 * splits``
-chunks, whatever the table size: that bound is what makes it safe to broadcast the tables made here.
-Keys below the limit stay whole (chunk 0) and cost nothing but the broadcast lookup.
+An ordered running computation per key puts a whole key into one task. Here a key with more than one
+``splits``-th of all rows is cut into chunks of about that size along its leading order column, and a
+chunk that turns out crowded (a burst) is cut once more. Fewer than ``splits`` keys can be that large
+and fewer than ``splits`` chunks that crowded, so all chunks together number at most ``4 * splits``,
+whatever the table size: that bound is what makes it safe to broadcast the tables made here.
+Ordinary keys stay whole (chunk 0) and pay for a broadcast lookup only.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 SPLITS = 16_384
 MIN_CHUNK_ROWS = 1_000_000
+CROWDED = 4
+# Chunk numbers are coarse * FINE + fine; a key has far fewer fine chunks than that.
+FINE = 1 << 20
 
 
-def hot_keys(
+@dataclass(frozen=True)
+class Split:
+    """``rows`` has the columns ``chunk`` and ``is_hot``; ``chunks`` lists every chunk of every hot key."""
+
+    rows: DataFrame
+    chunks: DataFrame
+
+
+def split_hot_keys(
     df: DataFrame,
     keys: Sequence[str],
     order_col: str,
     splits: int = SPLITS,
     min_chunk_rows: int = MIN_CHUNK_ROWS,
-) -> DataFrame:
-    """One row per hot key: ``keys, hot_start, hot_width, hot_chunks``; ``order_col`` must be a long."""
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    limit = F.greatest(F.call_function("div", total, F.lit(splits)) + 1, F.lit(min_chunk_rows).cast("bigint"))
-    per_key = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.min(order_col).alias("lo"), F.max(order_col).alias("hi")
+) -> Split:
+    """Split ``df`` by ``keys`` along ``order_col``, a long. Chunk numbers follow the order."""
+    keys = list(keys)
+    hot = _hot_keys(df, keys, order_col, splits, min_chunk_rows)
+    coarse = df.join(F.broadcast(hot), keys, "left").withColumn("coarse", _piece(order_col, "hot"))
+    crowded = _crowded_chunks(coarse.filter("hot_start is not null"), keys, order_col)
+    rows = (
+        coarse.join(F.broadcast(crowded), [*keys, "coarse"], "left")
+        .withColumn("is_hot", F.col("hot_start").isNotNull())
+        .withColumn("chunk", F.col("coarse") * FINE + _piece(order_col, "fine"))
+        .select(*df.columns, "chunk", "is_hot")
     )
-    sized = per_key.withColumn("limit", limit).filter("n > `limit`").withColumn("hot_chunks", F.expr("n div `limit` + 1"))
-    return sized.select(
-        *keys,
-        F.col("lo").alias("hot_start"),
-        F.expr("(hi - lo) div hot_chunks + 1").alias("hot_width"),
-        "hot_chunks",
+    chunks = (
+        hot.select(*keys, F.explode(F.expr("sequence(0L, hot_chunks - 1)")).alias("coarse"))
+        .join(F.broadcast(crowded), [*keys, "coarse"], "left")
+        .select(*keys, "coarse", F.explode(F.expr("sequence(0L, coalesce(fine_chunks, 1L) - 1)")).alias("fine"))
+        .select(*keys, (F.col("coarse") * FINE + F.col("fine")).alias("chunk"))
     )
+    return Split(rows, chunks)
 
 
-def with_chunk(df: DataFrame, hot: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame:
-    """Add ``chunk`` (0 for ordinary keys) and ``is_hot``."""
-    return (
-        df.join(F.broadcast(hot), list(keys), "left")
-        .withColumn("is_hot", F.col("hot_start").isNotNull())
-        .withColumn("chunk", F.coalesce(F.expr(f"(`{order_col}` - hot_start) div hot_width"), F.lit(0).cast("bigint")))
-        .drop("hot_start", "hot_width", "hot_chunks")
+def _piece(order_col: str, name: str):
+    return F.coalesce(F.expr(f"(`{order_col}` - {name}_start) div {name}_width"), F.lit(0).cast("bigint"))
+
+
+def _pieces(name: str) -> list:
+    """Columns that cut the range ``lo .. hi`` of ``n`` rows into equal steps of about ``limit`` rows."""
+    return [
+        F.col("lo").alias(f"{name}_start"),
+        F.expr("(hi - lo) div (n div `limit` + 1) + 1").alias(f"{name}_width"),
+        F.expr("n div `limit` + 1").alias(f"{name}_chunks"),
+    ]
+
+
+def _sizes(df: DataFrame, keys: list[str], order_col: str, *more) -> DataFrame:
+    return df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.min(order_col).alias("lo"), F.max(order_col).alias("hi"), *more
     )
 
 
-def chunk_list(hot: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Every chunk of every hot key, also those without rows."""
-    return hot.select(*keys, F.explode(F.expr("sequence(0L, hot_chunks - 1)")).alias("chunk"))
+def _hot_keys(df, keys, order_col, splits, min_chunk_rows) -> DataFrame:
+    per_key = _sizes(df, keys, order_col)
+    # The total mentions every column of per_key, so both read the same exchange and df is scanned once.
+    total = per_key.agg(F.sum(F.expr("if(lo > hi, 0, n)")).alias("rows")).scalar()
+    limit = F.greatest(F.call_function("div", total, F.lit(splits)) + 1, F.lit(min_chunk_rows).cast("bigint"))
+    sized = per_key.withColumn("limit", limit).filter("n > `limit`")
+    return sized.select(*keys, *_pieces("hot"), F.col("limit").alias("hot_limit"))
+
+
+def _crowded_chunks(hot_rows: DataFrame, keys, order_col) -> DataFrame:
+    cells = [*keys, "coarse"]
+    sized = _sizes(hot_rows, cells, order_col, F.max("hot_limit").alias("limit")).filter(f"n > {CROWDED} * `limit`")
+    return sized.select(*cells, *_pieces("fine"))
 
 
 def before(keys: Sequence[str]):

@@ -40,10 +40,9 @@ def velocity_batch(
         .withColumn("sold", F.abs("quantity"))
         .withColumn("minute", F.expr(f"timestamp div {MINUTE_MS}"))
     )
-    hot = skew.hot_keys(sales, keys, order_cols[0], splits, min_chunk_rows)
-    tagged = skew.with_chunk(sales, hot, keys, order_cols[0])
-    opening = _opening_buckets(tagged.filter("is_hot"), hot, keys)
-    rows = tagged.withColumn("bucket", F.lit(None).cast("bigint")).withColumn("is_event", F.lit(True))
+    split = skew.split_hot_keys(sales, keys, order_cols[0], splits, min_chunk_rows)
+    opening = _opening_buckets(split, keys)
+    rows = split.rows.withColumn("bucket", F.lit(None).cast("bigint")).withColumn("is_event", F.lit(True))
     rows = rows.unionByName(opening, allowMissingColumns=True)
 
     group = [*keys, "chunk"]
@@ -71,13 +70,13 @@ def velocity_batch(
     )
 
 
-def _opening_buckets(hot_rows, hot, keys) -> DataFrame:
+def _opening_buckets(split: skew.Split, keys) -> DataFrame:
     """The minute buckets still in the day window when a later chunk of a hot key starts."""
     by_chunk = [*keys, "chunk"]
+    hot_rows = split.rows.filter("is_hot")
     newest = hot_rows.groupBy(*by_chunk).agg(F.max("minute").alias("newest"))
     starts = (
-        skew.chunk_list(hot, keys)
-        .join(F.broadcast(newest), by_chunk, "left")
+        split.chunks.join(F.broadcast(newest), by_chunk, "left")
         .withColumn("ref", F.max("newest").over(skew.before(keys)))
         .filter("ref is not null")
     )

@@ -85,7 +85,7 @@ def serving_table_stock(spark, sf_dir):
     rows = inventory_batch(feeds.unified(spark, sf_dir), feeds.ARRIVAL)
     path = shared_dir(spark, "serving")
     serving.upsert_latest(serving.format_stock_kv(rows, feeds.ARRIVAL), path, ["key"], feeds.ARRIVAL)
-    return serving.read_latest(spark, path).select("key", "value")
+    return serving.read_latest(spark, path, ["key"], feeds.ARRIVAL).select("key", "value")
 
 
 # Parse and unify --------------------------------------------------------------------------------
@@ -377,7 +377,7 @@ def feeds_to_stock_values(spark, sf_dir):
         transaction_batch_file=_written_lines(feeds.as_json(feeds.transactions(spark, sf_dir))),
     )
     inventory_plan.run_inventory(spark, cfg)
-    return serving.read_latest(spark, cfg.table("stock_serving")).select("key", "value")
+    return serving.read_latest(spark, cfg.table("stock_serving"), ["key"], inventory_plan.FILE_ORDER).select("key", "value")
 
 
 @query

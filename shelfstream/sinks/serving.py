@@ -1,7 +1,7 @@
 """Latest value per key: formats and the versioned serving table.
 
-The table is a folder of complete versions ``v=<number>``. A writer makes a new version next to the
-one readers use; Spark's success marker is what turns it into the current one.
+The table is a folder of numbered versions, each written once next to those readers use; Spark's
+success marker is what makes a version count.
 """
 
 from __future__ import annotations
@@ -50,41 +50,61 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]
     return df.groupBy(*keys).agg(newest).select(*keys, *[F.col(f"newest.`{c}`").alias(c) for c in rest]).select(*df.columns)
 
 
-def _versions(spark: SparkSession, path: str) -> list[int]:
+def _versions(spark: SparkSession, path: str, kind: str) -> list[int]:
+    """Complete versions of one kind, oldest first."""
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(root):
         return []
-    found = []
-    for status in fs.listStatus(root):
-        name = status.getPath().getName()
-        if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
-            found.append(int(name[2:]))
-    return sorted(found)
+    names = [(status.getPath(), status.getPath().getName()) for status in fs.listStatus(root)]
+    return sorted(
+        int(name.split("=")[1])
+        for folder, name in names
+        if name.startswith(f"{kind}=") and fs.exists(jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS"))
+    )
 
 
-def read_latest(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
-    """The current version of a serving table, or the newest one below version ``before``."""
-    versions = [v for v in _versions(spark, path) if before is None or v < before]
-    return spark.read.parquet(f"{path}/v={versions[-1]}") if versions else None
+def read_latest(
+    spark: SparkSession, path: str, keys: Sequence[str], order_cols: Sequence[str], before: int | None = None
+) -> DataFrame | None:
+    """The newest row of every key in the serving table; with ``before`` only versions below that count."""
+    below = [v for v in _versions(spark, path, "full") if before is None or v < before]
+    base = below[-1] if below else -1
+    changes = [v for v in _versions(spark, path, "change") if v > base and (before is None or v < before)]
+    folders = [f"{path}/change={v}" for v in changes] + ([f"{path}/full={base}"] if below else [])
+    if not folders:
+        return None
+    rows = spark.read.parquet(*folders)
+    return rows if len(folders) == 1 else latest_per_key(rows, keys, order_cols)
 
 
 def upsert_latest(
-    df: DataFrame, path: str, keys: Sequence[str], order_cols: Sequence[str], version: int | None = None
+    df: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    order_cols: Sequence[str],
+    version: int | None = None,
+    full_every: int = 20,
 ) -> int:
     """Merge the newest row per key into the serving table; returns the version written.
 
-    A streaming batch passes its id as ``version``: run again, it starts from the same earlier
-    version and replaces its own. ``order_cols`` are columns of ``df`` and stay in the table.
+    A version holds only the keys that changed, and every ``full_every`` versions all keys, so a
+    write costs about what changed and a read merges few folders. A streaming batch passes its id as
+    ``version``: run again, it starts from the same earlier versions and replaces its own.
+    ``order_cols`` are columns of ``df`` and stay in the table.
     """
     spark = df.sparkSession
+    done = _versions(spark, path, "full") + _versions(spark, path, "change")
     if version is None:
-        done = _versions(spark, path)
-        version = done[-1] + 1 if done else 0
+        version = max(done, default=-1) + 1
     newest = latest_per_key(df, keys, order_cols)
-    previous = read_latest(spark, path, version)
+    last_full = max((v for v in _versions(spark, path, "full") if v < version), default=None)
+    if last_full is not None and version - last_full < full_every:
+        newest.write.mode("overwrite").parquet(f"{path}/change={version}")
+        return version
+    previous = read_latest(spark, path, keys, order_cols, version)
     if previous is not None:
         newest = latest_per_key(previous.unionByName(newest), keys, order_cols)
-    newest.write.mode("overwrite").parquet(f"{path}/v={version}")
+    newest.write.mode("overwrite").parquet(f"{path}/full={version}")
     return version

@@ -25,8 +25,9 @@ def batch_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The table as a stream; works for a single file and for a folder of part files."""
     schema = batch_table(spark, sf_dir, name).schema
-    # A glob keeps the file source from asking for a partition base folder.
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")
+    # A glob keeps the file source from asking for a partition base folder. Bounded micro-batches keep
+    # the rows that one key brings to a stateful task bounded too.
+    return spark.readStream.schema(schema).option("maxBytesPerTrigger", "512m").parquet(f"{sf_dir}/{name}.parque[t]")
 
 
 def millis(ts: Column) -> Column:

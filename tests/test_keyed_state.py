@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfstream.operators.inventory import dropped_by_reset, inventory_batch
+from shelfstream.operators.skew import split_hot_keys
 from shelfstream.operators.velocity import velocity_batch
 from tests.folds import inventory_fold, velocity_fold
 
@@ -24,15 +25,19 @@ def as_dicts(rows):
     return [dict(zip(("seq", "store_id", "product_id", "event_type", "quantity", "timestamp", "metadata"), r)) for r in rows]
 
 
-def random_rows(n, seed, spread_minutes, reset_share=0.02, hot_share=0.4):
-    """Out-of-order events over a few keys, one of which holds ``hot_share`` of the rows."""
+def random_rows(n, seed, spread_minutes, reset_share=0.02, hot_share=0.4, burst=False):
+    """Out-of-order events over a few keys, one of which holds ``hot_share`` of the rows.
+
+    With ``burst`` most of them arrive within a small part of the time.
+    """
     rnd = random.Random(seed)
     rows = []
     for seq in range(n):
         store, product = ("S0", "P0") if rnd.random() < hot_share else (f"S{rnd.randrange(3)}", f"P{rnd.randrange(4)}")
         kind = "RESET" if rnd.random() < reset_share else rnd.choice(["SALE", "SALE", "RECEIPT", "RETURN", "SHIPMENT", "VIEW", "CART_ADD"])
         late = rnd.choice([0, 0, 0, rnd.randrange(spread_minutes * MIN)])
-        rows.append((seq * 7, store, product, kind, rnd.randrange(0, 30), T0 + seq * 2 * MIN - late, None))
+        place = seq * 7 if not burst or seq < n // 2 else seq * 7 + seq * 5_000
+        rows.append((place, store, product, kind, rnd.randrange(0, 30), T0 + seq * 2 * MIN - late, None))
     return rows
 
 
@@ -57,10 +62,10 @@ def test_equal_time_passes_and_older_reset_applies(spark):
     assert got == [(0, 50), (1, 49), (2, 7), (3, 9), (5, 6)]
 
 
-@pytest.mark.parametrize("min_chunk_rows", [1_000_000, 200, 10, 1])
-@pytest.mark.parametrize("reset_share", [0.0, 0.003, 0.05])
-def test_inventory_equals_fold(spark, min_chunk_rows, reset_share):
-    rows = random_rows(1500, 11, 600, reset_share)
+@pytest.mark.parametrize("min_chunk_rows, burst", [(1_000_000, False), (200, True), (10, True), (1, False)])
+@pytest.mark.parametrize("reset_share", [0.0, 0.01])
+def test_inventory_equals_fold(spark, min_chunk_rows, reset_share, burst):
+    rows = random_rows(1500, 11, 600, reset_share, burst=burst)
     emitted, dropped = inventory_fold(as_dicts(rows))
     df = spark.createDataFrame(rows, SCHEMA).repartition(5)
     got = inventory_batch(df, ["seq"], min_chunk_rows=min_chunk_rows).select("seq", "on_hand").collect()
@@ -69,10 +74,10 @@ def test_inventory_equals_fold(spark, min_chunk_rows, reset_share):
     assert sorted(map(tuple, got)) == sorted((r["seq"], v) for r, v in dropped)
 
 
-@pytest.mark.parametrize("min_chunk_rows", [1_000_000, 200, 20, 1])
-@pytest.mark.parametrize("spread", [30, 90, 4000])
-def test_velocity_equals_fold(spark, min_chunk_rows, spread):
-    rows = random_rows(1500, 5, spread)
+@pytest.mark.parametrize("min_chunk_rows, burst", [(1_000_000, False), (200, True), (20, True), (1, False)])
+@pytest.mark.parametrize("spread", [90, 4000])
+def test_velocity_equals_fold(spark, min_chunk_rows, spread, burst):
+    rows = random_rows(1500, 5, spread, burst=burst)
     want = velocity_fold(as_dicts(rows), 100)
     df = spark.createDataFrame(rows, SCHEMA).repartition(5)
     got = velocity_batch(df, ["seq"], min_chunk_rows=min_chunk_rows).select("seq", "type", "window", "count").collect()
@@ -90,3 +95,19 @@ def test_velocity_per_product_over_all_stores(spark):
     df = spark.createDataFrame(rows, SCHEMA)
     got = velocity_batch(df, ["seq"], keys=["product_id"], event_types=["VIEW", "CART_ADD"]).agg(F.max("count")).first()[0]
     assert got == 2
+
+
+def test_hot_key_is_cut_also_where_it_bursts(spark):
+    quiet = [(i * 1000, "hot") for i in range(500)] + [(i * 1000, f"k{i % 50}") for i in range(500)]
+    burst = [(250_000 + 4 * i, "hot") for i in range(500)]
+    df = spark.createDataFrame(quiet + burst, "t long, k string")
+    split = split_hot_keys(df, ["k"], "t", splits=1000, min_chunk_rows=5)
+    sizes = split.rows.groupBy("k", "is_hot", "chunk").count().collect()
+    assert sum(r["count"] for r in sizes) == 1500
+    assert {r.k for r in sizes if r.is_hot} == {"hot"}
+    assert max(r["count"] for r in sizes if r.is_hot) <= 4 * 5
+    assert all(r.chunk == 0 for r in sizes if not r.is_hot)
+    listed = {r.chunk for r in split.chunks.collect()}
+    assert {r.chunk for r in sizes if r.is_hot} <= listed and len(listed) <= 4 * 1000
+    ordered = split.rows.filter("is_hot").orderBy("t").select("chunk").collect()
+    assert [r.chunk for r in ordered] == sorted(r.chunk for r in ordered)
