@@ -41,7 +41,11 @@ def _no_metadata(counts: DataFrame) -> DataFrame:
 
 def page_views(df: DataFrame, duration_ms: int = DEFAULT_WINDOW_MS) -> DataFrame:
     """Browse events per page and window."""
-    return window_metadata(_windowed_count(df.filter("event = 'browse'"), duration_ms, "page"), duration_ms)
+    browse = F.col("event") == "browse"
+    if df.isStreaming:
+        # Naming the time column keeps the filter above the watermark, which all events advance.
+        browse = F.when(F.col("event_time").isNotNull(), browse)
+    return window_metadata(_windowed_count(df.filter(browse), duration_ms, "page"), duration_ms)
 
 
 def stock_counts(df: DataFrame, duration_ms: int = DEFAULT_WINDOW_MS) -> DataFrame:

@@ -27,7 +27,7 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     schema = batch_table(spark, sf_dir, name).schema
     # A glob keeps the file source from asking for a partition base folder. Bounded micro-batches keep
     # the rows that one key brings to a stateful task bounded too.
-    return spark.readStream.schema(schema).option("maxBytesPerTrigger", "512m").parquet(f"{sf_dir}/{name}.parque[t]")
+    return spark.readStream.schema(schema).option("maxBytesPerTrigger", 512 << 20).parquet(f"{sf_dir}/{name}.parque[t]")
 
 
 def millis(ts: Column) -> Column:

@@ -98,7 +98,7 @@ def test_velocity_per_product_over_all_stores(spark):
 
 
 def test_hot_key_is_cut_also_where_it_bursts(spark):
-    quiet = [(i * 1000, "hot") for i in range(500)] + [(i * 1000, f"k{i % 50}") for i in range(500)]
+    quiet = [(i * 1000, "hot") for i in range(500)] + [(i * 1000, f"k{i % 250}") for i in range(500)]
     burst = [(250_000 + 4 * i, "hot") for i in range(500)]
     df = spark.createDataFrame(quiet + burst, "t long, k string")
     split = split_hot_keys(df, ["k"], "t", splits=1000, min_chunk_rows=5)
