@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+CORRUPT = "corrupt"
+
 
 def opt_string(text: Column, default: str) -> Column:
     """JSON text field with a default where it is missing or null."""
@@ -51,6 +53,16 @@ def long_bytes(value: Column) -> Column:
     return F.unhex(F.lpad(F.hex(value), 16, "0"))
 
 
+def with_json_fields(df: DataFrame, text: str, schema: T.StructType, prefix: str) -> DataFrame:
+    """Add every field of the JSON text column as ``prefix + name``.
+
+    A generator instead of a projection, because the optimizer copies a projected ``from_json`` into
+    every filter and column that uses it, and each copy parses the line again.
+    """
+    parsed = F.from_json(text, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    return df.select("*", F.inline_outer(F.array(parsed)).alias(*[prefix + name for name in schema.names]))
+
+
 def conform(df, schema: T.StructType):
     """Select exactly the fields of ``schema``, cast to its types; absent ones become null."""
     present = set(df.columns)

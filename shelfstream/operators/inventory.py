@@ -56,21 +56,23 @@ def dropped_by_reset(
 def _running_state(events, order_cols, keys, splits, min_chunk_rows) -> DataFrame:
     keys, order_cols = list(keys), list(order_cols)
     split = skew.split_hot_keys(events, keys, order_cols[0], splits, min_chunk_rows)
-    opening = _opening_rows(split, order_cols, keys)
-    rows = split.rows.withColumn("is_event", F.lit(True)).unionByName(opening, allowMissingColumns=True)
+    rows = split.rows.withColumn("is_event", F.lit(True))
+    if split.chunks is not None:
+        rows = rows.unionByName(_opening_rows(split, order_cols, keys), allowMissingColumns=True)
+        order_cols = ["is_event", *order_cols]
 
     # One exchange and one sort serve all three running columns.
-    arrival = Window.partitionBy(*keys, "chunk").orderBy("is_event", *order_cols)
+    arrival = Window.partitionBy(*split.group).orderBy(*order_cols)
     so_far = arrival.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     is_reset = F.col("event_type") == "RESET"
     accepted = is_reset | F.col("last_reset").isNull() | (F.col("timestamp") >= F.col("last_reset"))
+    moved = F.sum(F.when(accepted, signed_quantity()).otherwise(F.lit(0))).over(so_far)
+    # A reset moves the base line such that base + moved equals the counted quantity.
+    base = F.last(F.when(is_reset, F.col("quantity") - F.col("moved")), ignorenulls=True).over(so_far)
     return (
         rows.withColumn("last_reset", F.last(F.when(is_reset, F.col("timestamp")), ignorenulls=True).over(so_far))
-        .withColumn("accepted", accepted)
-        .withColumn("moved", F.sum(F.when(F.col("accepted"), signed_quantity()).otherwise(F.lit(0))).over(so_far))
-        # A reset moves the base line such that base + moved equals the counted quantity.
-        .withColumn("base", F.last(F.when(is_reset, F.col("quantity") - F.col("moved")), ignorenulls=True).over(so_far))
-        .withColumn("on_hand", F.coalesce("base", F.lit(0)) + F.col("moved"))
+        .withColumns({"accepted": accepted, "moved": moved})
+        .withColumn("on_hand", F.coalesce(base, F.lit(0)) + F.col("moved"))
         .filter("is_event")
     )
 

@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfstream.functions.scalars import CORRUPT, with_json_fields
 from shelfstream.schemas import ERROR_MSG
 
-CORRUPT = "_corrupt"
+PREFIX = "json_"
 BLANK_ERROR = "Empty message"
 JSON_ERROR = "Message does not match the schema"
 
@@ -19,16 +20,12 @@ def parse_json(df: DataFrame, schema: T.StructType, value_col: str = "value") ->
     ``value`` and all other columns stay, so good and bad rows can be told apart by one filter.
     """
     with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    parsed = df.withColumn(
-        "_parsed",
-        F.from_json(value_col, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}),
-    )
-    # A blank or null line yields an all-null struct without a corrupt record.
+    parsed = with_json_fields(df, value_col, with_corrupt, PREFIX)
+    # A blank or null line yields nulls only, without a corrupt record.
     blank = F.col(value_col).isNull() | (F.trim(value_col) == "")
-    error = F.when(blank, BLANK_ERROR).when(F.col("_parsed").isNull() | F.col(f"_parsed.{CORRUPT}").isNotNull(), JSON_ERROR)
-    kept = [F.col(c) for c in df.columns if c == value_col or c not in schema.names]
-    fields = [F.col(f"_parsed.`{name}`").alias(name) for name in schema.names]
-    return parsed.select(*kept, *fields, error.alias("error"))
+    error = F.when(blank, BLANK_ERROR).when(F.col(PREFIX + CORRUPT).isNotNull(), JSON_ERROR)
+    kept = [c for c in df.columns if c == value_col or c not in schema.names]
+    return parsed.select(*kept, *[F.col(PREFIX + name).alias(name) for name in schema.names], error.alias("error"))
 
 
 def good_rows(parsed: DataFrame, value_col: str = "value") -> DataFrame:

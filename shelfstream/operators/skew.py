@@ -4,8 +4,8 @@ An ordered running computation per key puts a whole key into one task. Here a ke
 ``splits``-th of all rows is cut into chunks of about that size along its leading order column, and a
 chunk that turns out crowded (a burst) is cut once more. Fewer than ``splits`` keys can be that large
 and fewer than ``splits`` chunks that crowded, so all chunks together number at most ``4 * splits``,
-whatever the table size: that bound is what makes it safe to broadcast the tables made here.
-Ordinary keys stay whole (chunk 0) and pay for a broadcast lookup only.
+whatever the table size. That bound makes it safe to fetch the list of hot keys when the query is
+built and to broadcast the tables per chunk. Without hot keys, as usual, the rows stay as they are.
 """
 
 from __future__ import annotations
@@ -25,10 +25,15 @@ FINE = 1 << 20
 
 @dataclass(frozen=True)
 class Split:
-    """``rows`` has the columns ``chunk`` and ``is_hot``; ``chunks`` lists every chunk of every hot key."""
+    """``group`` are the columns whose rows stay in one task.
+
+    With hot keys, ``rows`` has the columns ``chunk`` and ``is_hot``, and ``chunks`` lists every chunk
+    of every hot key; else ``rows`` is the input and ``chunks`` is None.
+    """
 
     rows: DataFrame
-    chunks: DataFrame
+    group: list[str]
+    chunks: DataFrame | None = None
 
 
 def split_hot_keys(
@@ -38,24 +43,33 @@ def split_hot_keys(
     splits: int = SPLITS,
     min_chunk_rows: int = MIN_CHUNK_ROWS,
 ) -> Split:
-    """Split ``df`` by ``keys`` along ``order_col``, a long. Chunk numbers follow the order."""
+    """Split ``df`` by ``keys`` along ``order_col``, a long. Chunk numbers follow the order.
+
+    Counts the rows per key right away (a scan of the key and order columns, combined before the shuffle).
+    """
     keys = list(keys)
-    hot = _hot_keys(df, keys, order_col, splits, min_chunk_rows)
-    coarse = df.join(F.broadcast(hot), keys, "left").withColumn("coarse", _piece(order_col, "hot"))
-    crowded = _crowded_chunks(coarse.filter("hot_start is not null"), keys, order_col)
-    rows = (
-        coarse.join(F.broadcast(crowded), [*keys, "coarse"], "left")
-        .withColumn("is_hot", F.col("hot_start").isNotNull())
-        .withColumn("chunk", F.col("coarse") * FINE + _piece(order_col, "fine"))
-        .select(*df.columns, "chunk", "is_hot")
-    )
-    chunks = (
-        hot.select(*keys, F.explode(F.expr("sequence(0L, hot_chunks - 1)")).alias("coarse"))
-        .join(F.broadcast(crowded), [*keys, "coarse"], "left")
-        .select(*keys, "coarse", F.explode(F.expr("sequence(0L, coalesce(fine_chunks, 1L) - 1)")).alias("fine"))
-        .select(*keys, (F.col("coarse") * FINE + F.col("fine")).alias("chunk"))
+    hot = _fetch(_hot_keys(df, keys, order_col, splits, min_chunk_rows))
+    if hot is None:
+        return Split(df, keys)
+    rows = df.join(F.broadcast(hot), keys, "left").withColumn("coarse", _piece(order_col, "hot"))
+    chunks = hot.select(*keys, F.explode(F.expr("sequence(0L, hot_chunks - 1)")).alias("coarse"))
+    fine, fine_chunks = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    crowded = _fetch(_crowded_chunks(rows.filter("hot_start is not null"), keys, order_col))
+    if crowded is not None:
+        rows = rows.join(F.broadcast(crowded), [*keys, "coarse"], "left")
+        chunks = chunks.join(F.broadcast(crowded), [*keys, "coarse"], "left")
+        fine, fine_chunks = _piece(order_col, "fine"), F.coalesce("fine_chunks", fine_chunks)
+    rows = rows.select(
+        *df.columns, (F.col("coarse") * FINE + fine).alias("chunk"), F.col("hot_start").isNotNull().alias("is_hot")
     )
-    return Split(rows, chunks)
+    chunks = chunks.select(*keys, "coarse", F.explode(F.sequence(F.lit(0).cast("bigint"), fine_chunks - 1)).alias("fine"))
+    return Split(rows, [*keys, "chunk"], chunks.select(*keys, (F.col("coarse") * FINE + F.col("fine")).alias("chunk")))
+
+
+def _fetch(bounded: DataFrame) -> DataFrame | None:
+    """The rows of a frame of provably bounded size as a local table; None if there are none."""
+    rows = bounded.collect()
+    return bounded.sparkSession.createDataFrame(rows, bounded.schema) if rows else None
 
 
 def _piece(order_col: str, name: str):

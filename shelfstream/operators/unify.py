@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfstream.functions.scalars import conform, event_key, opt_int, opt_long, opt_string
+from shelfstream.functions.scalars import CORRUPT, event_key, opt_int, opt_long, opt_string, with_json_fields
 from shelfstream.schemas import UNIFIED
 
 # Event names and the event type each stands for, and the default ids.
@@ -17,14 +17,18 @@ CLICKSTREAM_TYPES = {"view_item": "VIEW", "browse": "VIEW", "add-to-cart": "CART
 WEB_STORE = "WEB"
 DEFAULT_PAGE = "P1"
 UNKNOWN_PRODUCT = "P_Unknown"
+PREFIX = "json_"
 
 
 def _loose_fields(df: DataFrame, names: list[str], value_col: str) -> DataFrame:
     """JSON fields as text, null where absent; lines that are no JSON object are dropped."""
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, "_corrupt")])
-    parsed = F.from_json(value_col, schema, {"columnNameOfCorruptRecord": "_corrupt"})
-    readable = F.trim(value_col) != ""
-    return df.withColumn("_json", parsed).filter(readable & F.col("_json").isNotNull() & F.col("_json._corrupt").isNull())
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, CORRUPT)])
+    parsed = with_json_fields(df, value_col, schema, PREFIX)
+    return parsed.filter((F.trim(value_col) != "") & F.col(PREFIX + CORRUPT).isNull())
+
+
+def _field(name: str) -> Column:
+    return F.col(PREFIX + name)
 
 
 def _unified(df: DataFrame, keep: list[str], **fields: Column) -> DataFrame:
@@ -46,13 +50,13 @@ def unify_clickstream(
     """
     json = _loose_fields(df, ["event", "page", "timestamp"], value_col)
     pairs = [F.lit(x) for pair in types.items() for x in pair]
-    own_time = opt_long(F.col("_json.timestamp"))
+    own_time = opt_long(_field("timestamp"))
     now = F.unix_millis(F.current_timestamp()) if now_ms is None else now_ms
-    events = json.withColumn("_type", F.element_at(F.create_map(*pairs), F.col("_json.event")))
+    events = json.withColumn("_type", F.element_at(F.create_map(*pairs), _field("event")))
     return _unified(
         events.filter("_type is not null"),
         keep or [],
-        product_id=opt_string(F.col("_json.page"), DEFAULT_PAGE),
+        product_id=opt_string(_field("page"), DEFAULT_PAGE),
         store_id=F.lit(WEB_STORE),
         event_type=F.col("_type"),
         quantity=F.lit(1),
@@ -67,11 +71,11 @@ def unify_stock(df: DataFrame, value_col: str = "value", keep: list[str] | None
     return _unified(
         json,
         keep or [],
-        product_id=opt_int(F.col("_json.product_id")),
-        store_id=opt_int(F.col("_json.store_id")),
+        product_id=opt_int(_field("product_id")),
+        store_id=opt_int(_field("store_id")),
         event_type=F.lit("RECEIPT"),
-        quantity=opt_long(F.col("_json.count")),
-        timestamp=opt_long(F.col("_json.timestamp")),
+        quantity=opt_long(_field("count")),
+        timestamp=opt_long(_field("timestamp")),
         metadata=F.lit(None),
     )
 
@@ -79,18 +83,18 @@ def unify_stock(df: DataFrame, value_col: str = "value", keep: list[str] | None
 def unify_transactions(df: DataFrame, value_col: str = "value", keep: list[str] | None = None) -> DataFrame:
     """Transaction messages as sales, with the order number as metadata."""
     json = _loose_fields(df, ["product_id", "store_id", "product_count", "time_of_sale", "order_number"], value_col)
-    product = F.when(F.col("_json.product_id").isNull(), UNKNOWN_PRODUCT).otherwise(
-        opt_int(F.col("_json.product_id")).cast("string")
+    product = F.when(_field("product_id").isNull(), UNKNOWN_PRODUCT).otherwise(
+        opt_int(_field("product_id")).cast("string")
     )
     return _unified(
         json,
         keep or [],
         product_id=product,
-        store_id=opt_int(F.col("_json.store_id")),
+        store_id=opt_int(_field("store_id")),
         event_type=F.lit("SALE"),
-        quantity=opt_long(F.col("_json.product_count")),
-        timestamp=opt_long(F.col("_json.time_of_sale")),
-        metadata=opt_string(F.col("_json.order_number"), ""),
+        quantity=opt_long(_field("product_count")),
+        timestamp=opt_long(_field("time_of_sale")),
+        metadata=opt_string(_field("order_number"), ""),
     )
 
 
@@ -106,13 +110,3 @@ def drop_error_events(df: DataFrame) -> DataFrame:
     """Drop events named exactly ERROR; a missing name is kept."""
     return df.filter(~F.col("event").eqNullSafe("ERROR"))
 
-
-__all__ = [
-    "conform",
-    "drop_error_events",
-    "unify_clickstream",
-    "unify_stock",
-    "unify_transactions",
-    "union_events",
-    "with_key",
-]

@@ -41,26 +41,29 @@ def velocity_batch(
         .withColumn("minute", F.expr(f"timestamp div {MINUTE_MS}"))
     )
     split = skew.split_hot_keys(sales, keys, order_cols[0], splits, min_chunk_rows)
-    opening = _opening_buckets(split, keys)
-    rows = split.rows.withColumn("bucket", F.lit(None).cast("bigint")).withColumn("is_event", F.lit(True))
-    rows = rows.unionByName(opening, allowMissingColumns=True)
+    rows = split.rows.withColumn("is_event", F.lit(True))
+    if split.chunks is not None:
+        rows = rows.withColumn("bucket", F.lit(None).cast("bigint"))
+        rows = rows.unionByName(_opening_buckets(split, keys), allowMissingColumns=True)
+        order_cols = ["is_event", "bucket", *order_cols]
 
-    group = [*keys, "chunk"]
     so_far = (
-        Window.partitionBy(*group)
-        .orderBy("is_event", "bucket", *order_cols)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        Window.partitionBy(*split.group).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    by_minute = Window.partitionBy(*group).orderBy("minute")
+    by_minute = Window.partitionBy(*split.group).orderBy("minute")
     rows = rows.withColumn("ref", F.max("minute").over(so_far))
-    for name, width in (("hour", HOUR), ("day", DAY)):
-        rows = rows.withColumn(f"{name}_live", F.when(F.col("minute") > F.col("ref") - width, F.col("sold")).otherwise(F.lit(0)))
-    for name, width in (("hour", HOUR), ("day", DAY)):
+    widths = {"hour": HOUR, "day": DAY}
+    live = {
+        f"{name}_live": F.when(F.col("minute") > F.col("ref") - width, F.col("sold")).otherwise(F.lit(0))
+        for name, width in widths.items()
+    }
+    gone = {}
+    for name, width in widths.items():
         ran_out = F.sum(f"{name}_live").over(by_minute.rangeBetween(Window.unboundedPreceding, -width))
         # Only on-time rows sit at the reference minute; late rows read the newest of those instead.
-        rows = rows.withColumn(f"{name}_gone", F.when(F.col("minute") == F.col("ref"), F.coalesce(ran_out, F.lit(0))))
-    for name in ("hour", "day"):
-        rows = rows.withColumn(name, F.sum(f"{name}_live").over(so_far) - F.max(f"{name}_gone").over(so_far))
+        gone[f"{name}_gone"] = F.when(F.col("minute") == F.col("ref"), F.coalesce(ran_out, F.lit(0)))
+    sums = {name: F.sum(f"{name}_live").over(so_far) - F.max(f"{name}_gone").over(so_far) for name in widths}
+    rows = rows.withColumns(live).withColumns(gone).withColumns(sums)
     fast = F.col("hour") >= threshold
     return rows.filter("is_event").select(
         *events.columns,

@@ -54,8 +54,7 @@ def inventory_on_hand(spark, sf_dir):
 
 @query
 def inventory_latest_kv(spark, sf_dir):
-    rows = inventory_batch(feeds.unified(spark, sf_dir), feeds.ARRIVAL)
-    return serving.latest_per_key(serving.format_stock_kv(rows, feeds.ARRIVAL), ["key"], feeds.ARRIVAL).select("key", "value")
+    return inventory_plan.stock_values(feeds.unified(spark, sf_dir), feeds.ARRIVAL).select("key", "value")
 
 
 @query
@@ -75,16 +74,15 @@ def velocity_signal_20(spark, sf_dir):
 
 @query
 def velocity_latest_kv(spark, sf_dir):
-    rows = velocity_batch(feeds.unified(spark, sf_dir), feeds.ARRIVAL)
-    return serving.latest_per_key(serving.format_signal_kv(rows, feeds.ARRIVAL), ["key"], feeds.ARRIVAL).select("key", "value")
+    return inventory_plan.signal_values(feeds.unified(spark, sf_dir), 100, feeds.ARRIVAL).select("key", "value")
 
 
 @query
 def serving_table_stock(spark, sf_dir):
     """Upsert into a serving table, then read its current version."""
-    rows = inventory_batch(feeds.unified(spark, sf_dir), feeds.ARRIVAL)
     path = shared_dir(spark, "serving")
-    serving.upsert_latest(serving.format_stock_kv(rows, feeds.ARRIVAL), path, ["key"], feeds.ARRIVAL)
+    values = inventory_plan.stock_values(feeds.unified(spark, sf_dir), feeds.ARRIVAL)
+    serving.upsert_latest(values, path, ["key"], feeds.ARRIVAL)
     return serving.read_latest(spark, path, ["key"], feeds.ARRIVAL).select("key", "value")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfstream.config import RetailConfig
-from shelfstream.operators.inventory import inventory_batch
+from shelfstream.operators.inventory import KEYS, inventory_batch
 from shelfstream.operators.unify import unify_clickstream, unify_stock, unify_transactions, union_events
 from shelfstream.operators.velocity import velocity_batch
 from shelfstream.session import shared_dir
@@ -41,12 +41,18 @@ def unified_feeds(
 def stock_values(events: DataFrame, order_cols: Sequence[str] = FILE_ORDER) -> DataFrame:
     """Latest ``key, value`` of the on-hand counts, with the order columns they were chosen by."""
     keep = list(order_cols)
-    return latest_per_key(format_stock_kv(inventory_batch(events, keep), keep), ["key"], keep)
+    return format_stock_kv(_latest(inventory_batch(events, keep), keep, "on_hand"), keep)
 
 
 def signal_values(events: DataFrame, threshold: int, order_cols: Sequence[str] = FILE_ORDER) -> DataFrame:
+    """Latest ``key, value`` of the velocity signals, with the order columns they were chosen by."""
     keep = list(order_cols)
-    return latest_per_key(format_signal_kv(velocity_batch(events, keep, threshold), keep), ["key"], keep)
+    return format_signal_kv(_latest(velocity_batch(events, keep, threshold), keep, "type", "window", "count"), keep)
+
+
+def _latest(rows: DataFrame, order_cols: list[str], *values: str) -> DataFrame:
+    # By ids rather than by the written key: the rows are sorted by the ids already.
+    return latest_per_key(rows.select(*KEYS, *order_cols, *values), KEYS, order_cols)
 
 
 def run_inventory(spark: SparkSession, cfg: RetailConfig) -> None:
