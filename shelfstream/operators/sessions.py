@@ -1,8 +1,8 @@
 """Client sessions: a client's events belong together until a pause of the gap length or more.
 
-Batch sessions are found on a small table. Events of one client within one gap-wide time bin always
-share a session, so each bin is first reduced to its first and last time and count, before anything
-is shuffled. Only these bins are ordered per client, and no client's events meet in one task.
+Summaries are found on time bins: events of one client within one gap-wide bin always share a session,
+so each bin is reduced to its first and last time and count before anything is shuffled. Event rows
+are tagged in one shuffle by client, in which a hot client is spread over chunks of its time line.
 """
 
 from __future__ import annotations
@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfstream.operators import skew
+
 DEFAULT_GAP_MS = 30_000
 PART_ROWS = 100_000
 
@@ -18,52 +20,99 @@ def _bin(gap_ms: int, millis: str = "timestamp"):
     return F.expr(f"({millis} - pmod({millis}, {gap_ms}L)) div {gap_ms}L")
 
 
-def _session_bins(df: DataFrame, gap_ms: int, part_rows: int) -> DataFrame:
-    """One row per client and bin with ``session_start`` and the ``part`` its events go to."""
-    bins = (
-        df.groupBy("client_id", _bin(gap_ms).alias("bin"))
-        .agg(F.min("timestamp").alias("first"), F.max("timestamp").alias("last"), F.count(F.lit(1)).alias("n"))
+def _bins(df: DataFrame, gap_ms: int, *keys: str) -> DataFrame:
+    return df.groupBy(*keys, _bin(gap_ms).alias("bin")).agg(
+        F.min("timestamp").alias("first"), F.max("timestamp").alias("last"), F.count(F.lit(1)).alias("n")
     )
-    by_time = Window.partitionBy("client_id").orderBy("bin")
-    so_far = by_time.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
+def _with_session_start(bins: DataFrame, gap_ms: int, *clients: str) -> DataFrame:
+    by_time = Window.partitionBy(*clients).orderBy("first")
     pause = F.col("first") - F.lag("last").over(by_time)
     starts = F.when(pause.isNull() | (pause >= gap_ms), F.col("first"))
-    bins = bins.withColumn("session_start", F.last(starts, ignorenulls=True).over(so_far))
-    in_session = Window.partitionBy("client_id", "session_start").orderBy("bin")
-    earlier = F.coalesce(F.sum("n").over(in_session.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return bins.withColumn("part", F.call_function("div", earlier, F.lit(part_rows)))
+    so_far = by_time.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return bins.withColumn("session_start", F.last(starts, ignorenulls=True).over(so_far))
 
 
 def session_summary(df: DataFrame, gap_ms: int = DEFAULT_GAP_MS) -> DataFrame:
     """One row per session: ``client_id, session_start, session_end, n_events`` (epoch ms, ends on the last event)."""
-    return (
-        _session_bins(df, gap_ms, PART_ROWS)
-        .groupBy("client_id", "session_start")
-        .agg(F.max("last").alias("session_end"), F.sum("n").alias("n_events"))
+    bins = _with_session_start(_bins(df, gap_ms, "client_id"), gap_ms, "client_id")
+    return bins.groupBy("client_id", "session_start").agg(F.max("last").alias("session_end"), F.sum("n").alias("n_events"))
+
+
+def session_events(
+    df: DataFrame,
+    gap_ms: int = DEFAULT_GAP_MS,
+    part_rows: int = PART_ROWS,
+    splits: int = skew.SPLITS,
+    min_chunk_rows: int = skew.MIN_CHUNK_ROWS,
+) -> DataFrame:
+    """Every event with its ``session_start`` and the ``part`` of the session it is in."""
+    return _tagged(df, gap_ms, part_rows, splits, min_chunk_rows)[0].select(*df.columns, "session_start", "part")
+
+
+def _tagged(df, gap_ms, part_rows, splits, min_chunk_rows) -> tuple[DataFrame, list[str]]:
+    """(tagged events, columns by which they are spread over tasks)."""
+    # Two columns, so that events without a client are a client of their own for equality joins.
+    clients = ["known", "client"]
+    events = df.withColumns({"known": F.col("client_id").isNotNull(), "client": F.coalesce("client_id", F.lit(""))})
+    split = skew.split_hot_keys(events, clients, "timestamp", splits, min_chunk_rows)
+    rows = split.rows.withColumns({"is_event": F.lit(True), "opening_start": F.lit(None).cast("bigint")})
+    if split.chunks is not None:
+        rows = rows.unionByName(_opening_sessions(split, clients, gap_ms), allowMissingColumns=True)
+    in_order = Window.partitionBy(*split.group).orderBy("is_event", "timestamp")
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    pause = F.col("timestamp") - F.lag("timestamp").over(in_order)
+    rows = rows.withColumns({"pause": pause, "row": F.row_number().over(in_order)})
+    starts = F.coalesce("opening_start", F.when(F.col("pause").isNull() | (F.col("pause") >= gap_ms), F.col("timestamp")))
+    rows = rows.withColumn("starts", starts).withColumns(
+        {
+            "session_start": F.last("starts", ignorenulls=True).over(so_far),
+            "first_row": F.last(F.when(F.col("starts").isNotNull(), F.col("row")), ignorenulls=True).over(so_far),
+        }
     )
-
-
-def session_events(df: DataFrame, gap_ms: int = DEFAULT_GAP_MS, part_rows: int = PART_ROWS) -> DataFrame:
-    """Every event with its ``session_start`` and ``part``."""
-    bins = _session_bins(df, gap_ms, part_rows).select(
-        F.col("client_id").alias("_client"), F.col("bin").alias("_bin"), "session_start", "part"
+    part = F.call_function("div", F.col("row") - F.col("first_row"), F.lit(part_rows)).cast("bigint")
+    if split.chunks is not None:
+        # Parts of a session that runs through several chunks go up from chunk to chunk.
+        part = F.col("chunk") * F.lit(skew.FINE) + part
+    return rows.withColumn("part", part).filter("is_event"), split.group
+
+
+def _opening_sessions(split: skew.Split, clients: list[str], gap_ms: int) -> DataFrame:
+    """One row per later chunk of a hot client: its last event before the chunk and that one's session."""
+    by_chunk = [*clients, "chunk"]
+    bins = _with_session_start(_bins(split.rows.filter("is_hot"), gap_ms, *by_chunk), gap_ms, *clients)
+    closing = bins.groupBy(*by_chunk).agg(F.max("last").alias("closed"), F.max("session_start").alias("start"))
+    earlier = skew.before(clients)
+    return (
+        split.chunks.join(F.broadcast(closing), by_chunk, "left")
+        .select(
+            *by_chunk,
+            F.max("closed").over(earlier).alias("timestamp"),
+            F.max("start").over(earlier).alias("opening_start"),
+            F.lit(False).alias("is_event"),
+        )
+        .filter("timestamp is not null")
     )
-    binned = df.withColumn("bin", _bin(gap_ms))
-    same = F.col("client_id").eqNullSafe(F.col("_client")) & F.col("bin").eqNullSafe(F.col("_bin"))
-    return binned.join(bins, same).drop("_client", "_bin", "bin")
 
 
-def sessionize(df: DataFrame, gap_ms: int = DEFAULT_GAP_MS, part_rows: int = PART_ROWS) -> DataFrame:
+def sessionize(
+    df: DataFrame,
+    gap_ms: int = DEFAULT_GAP_MS,
+    part_rows: int = PART_ROWS,
+    splits: int = skew.SPLITS,
+    min_chunk_rows: int = skew.MIN_CHUNK_ROWS,
+) -> DataFrame:
     """Nested sessions ``key{client_id}, session_start, part, value[events]``, events ordered by time.
 
-    A session is one row unless it has more than about ``part_rows`` events; then its events are
-    spread, in time order, over rows numbered by ``part``.
+    A session is one row of part 0 unless it is longer than ``part_rows`` or its client is hot; then
+    its events are spread, in time order, over rows with rising ``part``.
     """
+    tagged, group = _tagged(df, gap_ms, part_rows, splits, min_chunk_rows)
     first = ["timestamp"] + [c for c in df.columns if c != "timestamp"]
-    parts = (
-        session_events(df, gap_ms, part_rows)
-        .groupBy("client_id", "session_start", "part")
-        .agg(F.sort_array(F.collect_list(F.struct(*first))).alias("value"))
+    # The rows lie together by client and chunk already, so this grouping shuffles nothing.
+    parts = tagged.groupBy(*group, "session_start", "part").agg(
+        F.any_value("client_id").alias("client_id"), F.sort_array(F.collect_list(F.struct(*first))).alias("value")
     )
     return parts.select(F.struct("client_id").alias("key"), "session_start", "part", "value")
 

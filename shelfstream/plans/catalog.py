@@ -394,7 +394,8 @@ def clickstream_job_views(spark, sf_dir):
 
 @query
 def clickstream_job_letters(spark, sf_dir):
-    _, dead = clickstream_plan.clean_and_dead(feeds.clickstream_json(spark, sf_dir), feeds.catalogue(spark, sf_dir))
+    parsed = parse.parse_json(feeds.clickstream_json(spark, sf_dir), CLICKSTREAM)
+    _, dead = clickstream_plan.clean_and_dead(parsed, feeds.catalogue(spark, sf_dir))
     rows = dead_letter.dead_letter_rows(dead)
     return rows.groupBy("error").agg(F.count(F.lit(1)).alias("n"), F.max(F.unix_millis("timestamp")).alias("last_ms"))
 

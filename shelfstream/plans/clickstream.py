@@ -13,7 +13,7 @@ from shelfstream.operators.quality import validate_and_correct
 from shelfstream.operators.sessions import events_of_sessions, session_stream, sessionize
 from shelfstream.operators.unify import drop_error_events
 from shelfstream.schemas import CLICKSTREAM, PAGE_VIEW_AGG
-from shelfstream.session import configure_streaming
+from shelfstream.session import computed_once, configure_streaming
 from shelfstream.sinks.append import aggregate_path, append_aggregate, append_table, archive_raw, stream_append
 from shelfstream.sinks.dead_letter import dead_letter_rows
 from shelfstream.streaming.runs import start_batches
@@ -28,9 +28,8 @@ def with_arrival(messages: DataFrame) -> DataFrame:
     return messages.withColumn(ARRIVAL, F.unix_millis(F.current_timestamp()))
 
 
-def clean_and_dead(messages: DataFrame, catalogue: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(corrected events, dead letters of parsing and validation) of JSON messages in ``value``."""
-    parsed = parse_json(with_arrival(messages), CLICKSTREAM)
+def clean_and_dead(parsed: DataFrame, catalogue: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(corrected events, dead letters of parsing and validation) of parsed messages."""
     clean, dead = validate_and_correct(good_rows(parsed), catalogue, ARRIVAL)
     return clean, dead.unionByName(parse_errors(parsed, F.timestamp_millis(F.col(ARRIVAL))))
 
@@ -38,9 +37,10 @@ def clean_and_dead(messages: DataFrame, catalogue: DataFrame) -> tuple[DataFrame
 def store_clean(messages: DataFrame, catalogue: DataFrame, cfg: RetailConfig, batch_id: int | None = None) -> None:
     """Archive the messages and append their clean events and dead letters."""
     archive_raw(messages, cfg.table("clickstream_raw"), batch_id, test_mode=cfg.test_mode)
-    clean, dead = clean_and_dead(messages, catalogue)
-    append_table(clean, cfg.table("clickstream_clean"), batch_id)
-    append_table(dead_letter_rows(dead), cfg.table("dead_letters"), batch_id)
+    with computed_once(parse_json(with_arrival(messages), CLICKSTREAM), "parsed") as parsed:
+        clean, dead = clean_and_dead(parsed, catalogue)
+        append_table(clean, cfg.table("clickstream_clean"), batch_id)
+        append_table(dead_letter_rows(dead), cfg.table("dead_letters"), batch_id)
 
 
 def run_clickstream(messages: DataFrame, catalogue: DataFrame, cfg: RetailConfig, batch_id: int = 0) -> DataFrame:

@@ -11,7 +11,7 @@ from shelfstream.config import RetailConfig
 from shelfstream.operators.inventory import KEYS, inventory_batch
 from shelfstream.operators.unify import unify_clickstream, unify_stock, unify_transactions, union_events
 from shelfstream.operators.velocity import velocity_batch
-from shelfstream.session import shared_dir
+from shelfstream.session import computed_once
 from shelfstream.sinks.serving import format_signal_kv, format_stock_kv, latest_per_key, upsert_latest
 from shelfstream.sources.json_lines import read_json_lines
 from shelfstream.streaming.inventory_state import inventory_stream
@@ -70,11 +70,9 @@ def run_inventory(spark: SparkSession, cfg: RetailConfig) -> None:
     if events is None:
         return
     # Both branches pass over the events several times; a table keeps JSON parsing to one pass.
-    parsed = shared_dir(spark, "unified")
-    events.write.parquet(parsed)
-    events = spark.read.parquet(parsed)
-    upsert_latest(stock_values(events), cfg.table("stock_serving"), ["key"], FILE_ORDER)
-    upsert_latest(signal_values(events, cfg.fast_threshold), cfg.table("signal_serving"), ["key"], FILE_ORDER)
+    with computed_once(events, "unified") as parsed:
+        upsert_latest(stock_values(parsed), cfg.table("stock_serving"), ["key"], FILE_ORDER)
+        upsert_latest(signal_values(parsed, cfg.fast_threshold), cfg.table("signal_serving"), ["key"], FILE_ORDER)
 
 
 def start_inventory(events: DataFrame, cfg: RetailConfig, checkpoint: str, order_cols: Sequence[str] = ("timestamp",), **trigger):

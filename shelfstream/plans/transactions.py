@@ -9,24 +9,31 @@ from shelfstream.operators.counts import with_event_time, with_fixed_window
 from shelfstream.operators.enrich import enriched_rows, unknown_store_letters, with_store
 from shelfstream.operators.parse import good_rows, parse_errors, parse_json
 from shelfstream.schemas import TRANSACTION
+from shelfstream.session import computed_once
 from shelfstream.sinks.append import append_table, archive_raw
 from shelfstream.sinks.dead_letter import dead_letter_rows
 from shelfstream.streaming.dimension import RefreshingDimension
 from shelfstream.streaming.runs import start_batches
 
 
-def enriched_and_dead(messages: DataFrame, stores: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(transactions with their store, dead letters) of JSON messages in ``value``."""
-    parsed = parse_json(messages, TRANSACTION)
-    joined = with_store(good_rows(parsed).select(*TRANSACTION.names), stores)
-    return enriched_rows(joined), unknown_store_letters(joined).unionByName(parse_errors(parsed))
+def parsed_with_store(messages: DataFrame, stores: DataFrame) -> DataFrame:
+    """Parsed transactions with ``storeLocation``, still with ``value`` and ``error``."""
+    return with_store(parse_json(messages.select("value"), TRANSACTION), stores)
+
+
+def enriched_and_dead(joined: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(transactions with their store, dead letters of parsing and of unknown stores)."""
+    good = good_rows(joined).select(*TRANSACTION.names)
+    return enriched_rows(good), unknown_store_letters(good).unionByName(parse_errors(joined))
 
 
 def store_transactions(messages: DataFrame, stores: DataFrame, cfg: RetailConfig, batch_id: int | None = None) -> None:
+    """Archive the messages and append the enriched transactions and the dead letters."""
     archive_raw(messages, cfg.table("transactions_raw"), batch_id, test_mode=cfg.test_mode)
-    enriched, dead = enriched_and_dead(messages, stores)
-    append_table(enriched, cfg.table("transactions_clean"), batch_id)
-    append_table(dead_letter_rows(dead), f"{cfg.table('dead_letters')}_transactions", batch_id)
+    with computed_once(parsed_with_store(messages, stores), "parsed") as joined:
+        enriched, dead = enriched_and_dead(joined)
+        append_table(enriched, cfg.table("transactions_clean"), batch_id)
+        append_table(dead_letter_rows(dead), f"{cfg.table('dead_letters')}_transactions", batch_id)
 
 
 def run_transactions(messages: DataFrame, stores: DataFrame, cfg: RetailConfig, batch_id: int = 0) -> DataFrame:

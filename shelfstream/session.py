@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -53,3 +55,19 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         root = tempfile.mkdtemp(prefix="shelfstream-")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def computed_once(df: DataFrame, purpose: str) -> Iterator[DataFrame]:
+    """``df`` as a table in the shared folder for as long as the block runs.
+
+    For frames that several writes derive from: lost tasks read the table instead of computing again.
+    """
+    spark = df.sparkSession
+    path = shared_dir(spark, purpose)
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -42,7 +42,7 @@ def test_distance_equal_to_gap_starts_a_session(spark):
 
 def brute_sessions(rows, gap):
     by_client, out = {}, {}
-    for client, t in sorted(rows):
+    for client, t in sorted(rows, key=lambda r: (r[0] or "", r[1])):
         mine = by_client.setdefault(client, [])
         if mine and t - mine[-1][-1] < gap:
             mine[-1].append(t)
@@ -54,19 +54,20 @@ def brute_sessions(rows, gap):
     return out
 
 
-@pytest.mark.parametrize("part_rows", [100_000, 3])
-def test_sessions_equal_brute_force(spark, part_rows):
+@pytest.mark.parametrize("part_rows, min_chunk_rows", [(100_000, 1_000_000), (3, 1_000_000), (100_000, 20), (3, 1)])
+@pytest.mark.parametrize("hot", ["hot", None])
+def test_sessions_equal_brute_force(spark, part_rows, min_chunk_rows, hot):
     rnd = random.Random(3)
-    rows = [(rnd.choice(["hot", "hot", "a", "b"]), rnd.randrange(-40_000, 400_000)) for _ in range(800)]
+    rows = [(rnd.choice([hot, hot, "a", "b"]), rnd.randrange(-40_000, 400_000)) for _ in range(800)]
     want = brute_sessions(rows, 1_000)
     df = spark.createDataFrame(rows, "client_id string, timestamp long").repartition(4)
-    nested = sessions.sessionize(df, 1_000, part_rows).collect()
+    nested = sessions.sessionize(df, 1_000, part_rows, min_chunk_rows=min_chunk_rows).collect()
     got = {}
     for r in sorted(nested, key=lambda r: r.part):
         got.setdefault((r.key.client_id, r.session_start), []).extend(e.timestamp for e in r.value)
     assert got == want
-    if part_rows == 3:
-        assert max(r.part for r in nested) > 0
+    whole = part_rows > 3 and min_chunk_rows > 20
+    assert (max(r.part for r in nested) == 0) == whole and (len(nested) == len(want)) == whole
     summary = {(r.client_id, r.session_start): (r.session_end, r.n_events) for r in sessions.session_summary(df, 1_000).collect()}
     assert summary == {k: (v[-1], len(v)) for k, v in want.items()}
 
