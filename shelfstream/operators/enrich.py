@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfstream.functions.scalars import conform
+from shelfstream.operators.sizes import is_small, lookup_side
 from shelfstream.schemas import ERROR_MSG, STORE_LOCATION
 
 NO_STORE = " No Store found for id "
@@ -22,15 +23,16 @@ def store_dimension(raw: DataFrame) -> DataFrame:
     return one.select("id", "rest.*")
 
 
-def with_store(tx: DataFrame, stores: DataFrame, on_missing: str = "null") -> DataFrame:
+def with_store(tx: DataFrame, stores: DataFrame, on_missing: str = "null", small: bool | None = None) -> DataFrame:
     """Add ``storeLocation``; an unknown store leaves it null, or fails the job if ``on_missing="fail"``.
 
-    No broadcast is forced: the optimizer broadcasts the dimension if its size allows, and else
-    joins by key with adaptive splitting of hot stores.
+    ``small`` says whether the dimension may be broadcast; left out, its rows are counted to decide.
     """
+    small = is_small(stores) if small is None else small
     dim = stores.select(F.col("id").alias("_store"), F.struct(*STORE_LOCATION.names).alias("storeLocation"))
+    dim = lookup_side(dim, small)
     base = tx.drop("storeLocation")
-    joined = base.join(dim, base["store_id"] == dim["_store"], "left")
+    joined = base.join(dim, F.col("store_id") == F.col("_store"), "left")
     if on_missing == "fail":
         message = F.concat(F.lit(NO_STORE), F.coalesce(F.col("store_id").cast("string"), F.lit("null")))
         checked = F.when(F.col("_store").isNull(), F.raise_error(message)).otherwise(F.col("storeLocation"))

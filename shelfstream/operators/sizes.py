@@ -1,0 +1,23 @@
+"""Size check for lookup tables, made before a broadcast is asked for."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Lookup rows are narrow (ids, a few names), so this many stay around 100 MB.
+BROADCAST_ROWS = 500_000
+
+
+def is_small(table: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """Count the table up to the limit; a job that stops there."""
+    return table.limit(max_rows + 1).count() <= max_rows
+
+
+def lookup_side(table: DataFrame, small: bool) -> DataFrame:
+    """The table for the lookup side of a join.
+
+    Without the hint the optimizer decides by its own estimate, and the join by key splits hot keys
+    through the adaptive skew handling.
+    """
+    return F.broadcast(table) if small else table

@@ -11,6 +11,7 @@ from shelfstream.operators.counts import page_views, with_event_time
 from shelfstream.operators.parse import good_rows, parse_errors, parse_json
 from shelfstream.operators.quality import validate_and_correct
 from shelfstream.operators.sessions import events_of_sessions, session_stream, sessionize
+from shelfstream.operators.sizes import is_small
 from shelfstream.operators.unify import drop_error_events
 from shelfstream.schemas import CLICKSTREAM, PAGE_VIEW_AGG
 from shelfstream.session import computed_once, configure_streaming
@@ -28,17 +29,23 @@ def with_arrival(messages: DataFrame) -> DataFrame:
     return messages.withColumn(ARRIVAL, F.unix_millis(F.current_timestamp()))
 
 
-def clean_and_dead(parsed: DataFrame, catalogue: DataFrame) -> tuple[DataFrame, DataFrame]:
+def clean_and_dead(parsed: DataFrame, catalogue: DataFrame, small: bool | None = None) -> tuple[DataFrame, DataFrame]:
     """(corrected events, dead letters of parsing and validation) of parsed messages."""
-    clean, dead = validate_and_correct(good_rows(parsed), catalogue, ARRIVAL)
+    clean, dead = validate_and_correct(good_rows(parsed), catalogue, ARRIVAL, small=small)
     return clean, dead.unionByName(parse_errors(parsed, F.timestamp_millis(F.col(ARRIVAL))))
 
 
-def store_clean(messages: DataFrame, catalogue: DataFrame, cfg: RetailConfig, batch_id: int | None = None) -> None:
+def store_clean(
+    messages: DataFrame,
+    catalogue: DataFrame,
+    cfg: RetailConfig,
+    batch_id: int | None = None,
+    small: bool | None = None,
+) -> None:
     """Archive the messages and append their clean events and dead letters."""
     archive_raw(messages, cfg.table("clickstream_raw"), batch_id, test_mode=cfg.test_mode)
     with computed_once(parse_json(with_arrival(messages), CLICKSTREAM), "parsed") as parsed:
-        clean, dead = clean_and_dead(parsed, catalogue)
+        clean, dead = clean_and_dead(parsed, catalogue, small)
         append_table(clean, cfg.table("clickstream_clean"), batch_id)
         append_table(dead_letter_rows(dead), cfg.table("dead_letters"), batch_id)
 
@@ -60,9 +67,12 @@ def run_clickstream(messages: DataFrame, catalogue: DataFrame, cfg: RetailConfig
 
 def start_clickstream(messages: DataFrame, catalogue: DataFrame, cfg: RetailConfig, checkpoint: str, **trigger):
     """Streaming job, first part: keeps the raw, clean and dead-letter tables."""
-    return start_batches(
-        messages, lambda batch, batch_id: store_clean(batch, catalogue, cfg, batch_id), f"{checkpoint}/clean", **trigger
-    )
+    small = is_small(catalogue)
+
+    def work(batch: DataFrame, batch_id: int) -> None:
+        store_clean(batch, catalogue, cfg, batch_id, small)
+
+    return start_batches(messages, work, f"{checkpoint}/clean", **trigger)
 
 
 def store_sessions(closed: DataFrame, cfg: RetailConfig, batch_id: int) -> None:

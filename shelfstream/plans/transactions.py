@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 
 from shelfstream.config import RetailConfig
@@ -16,9 +18,12 @@ from shelfstream.streaming.dimension import RefreshingDimension
 from shelfstream.streaming.runs import start_batches
 
 
-def parsed_with_store(messages: DataFrame, stores: DataFrame) -> DataFrame:
-    """Parsed transactions with ``storeLocation``, still with ``value`` and ``error``."""
-    return with_store(parse_json(messages.select("value"), TRANSACTION), stores)
+Enrich = Callable[[DataFrame], DataFrame]
+
+
+def parsed(messages: DataFrame) -> DataFrame:
+    """Parsed transactions, still with ``value`` and ``error``."""
+    return parse_json(messages.select("value"), TRANSACTION)
 
 
 def enriched_and_dead(joined: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -27,10 +32,10 @@ def enriched_and_dead(joined: DataFrame) -> tuple[DataFrame, DataFrame]:
     return enriched_rows(good), unknown_store_letters(good).unionByName(parse_errors(joined))
 
 
-def store_transactions(messages: DataFrame, stores: DataFrame, cfg: RetailConfig, batch_id: int | None = None) -> None:
+def store_transactions(messages: DataFrame, enrich: Enrich, cfg: RetailConfig, batch_id: int | None = None) -> None:
     """Archive the messages and append the enriched transactions and the dead letters."""
     archive_raw(messages, cfg.table("transactions_raw"), batch_id, test_mode=cfg.test_mode)
-    with computed_once(parsed_with_store(messages, stores), "parsed") as joined:
+    with computed_once(enrich(parsed(messages)), "parsed") as joined:
         enriched, dead = enriched_and_dead(joined)
         append_table(enriched, cfg.table("transactions_clean"), batch_id)
         append_table(dead_letter_rows(dead), f"{cfg.table('dead_letters')}_transactions", batch_id)
@@ -38,7 +43,7 @@ def store_transactions(messages: DataFrame, stores: DataFrame, cfg: RetailConfig
 
 def run_transactions(messages: DataFrame, stores: DataFrame, cfg: RetailConfig, batch_id: int = 0) -> DataFrame:
     """Batch job; returns the enriched transactions with event time and fixed window."""
-    store_transactions(messages, stores, cfg, batch_id)
+    store_transactions(messages, lambda tx: with_store(tx, stores), cfg, batch_id)
     enriched = messages.sparkSession.read.parquet(f"{cfg.table('transactions_clean')}/batch_id={batch_id}")
     return with_fixed_window(with_event_time(enriched), cfg.window_ms)
 
@@ -48,6 +53,6 @@ def start_transactions(messages: DataFrame, cfg: RetailConfig, checkpoint: str,
     dimension = RefreshingDimension(messages.sparkSession, cfg.table("store_locations"), cfg.refresh_seconds)
 
     def work(batch: DataFrame, batch_id: int) -> None:
-        store_transactions(batch, dimension.current(), cfg, batch_id)
+        store_transactions(batch, dimension.enrich, cfg, batch_id)
 
     return start_batches(messages, work, f"{checkpoint}/transactions", **trigger)
