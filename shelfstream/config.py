@@ -39,3 +39,7 @@ class RetailConfig:
     def table(self, name: str) -> str:
         """Full path of the table setting ``name``, e.g. ``cfg.table("dead_letters")``."""
         return f"{self.warehouse.rstrip('/')}/{getattr(self, name)}"
+
+    def letters(self, feed: str) -> str:
+        """Folder of one feed's dead letters; ``table("dead_letters")`` reads all feeds."""
+        return f"{self.table('dead_letters')}/feed={feed}"

@@ -23,7 +23,7 @@ def store_dimension(raw: DataFrame) -> DataFrame:
     return one.select("id", "rest.*")
 
 
-def with_store(tx: DataFrame, stores: DataFrame, on_missing: str = "null", small: bool | None = None) -> DataFrame:
+def enrich_with_store(tx: DataFrame, stores: DataFrame, on_missing: str = "null", small: bool | None = None) -> DataFrame:
     """Add ``storeLocation``; an unknown store leaves it null, or fails the job if ``on_missing="fail"``.
 
     ``small`` says whether the dimension may be broadcast; left out, its rows are counted to decide.
@@ -50,7 +50,7 @@ def unknown_store_letters(joined: DataFrame) -> DataFrame:
     """Transactions of unknown stores in the dead-letter layout."""
     message = [c for c in joined.columns if c != "storeLocation"]
     letters = joined.filter("storeLocation is null").select(
-        F.lit("with_store").alias("transform"),
+        F.lit("enrich_with_store").alias("transform"),
         F.concat(F.lit(NO_STORE), F.coalesce(F.col("store_id").cast("string"), F.lit("null"))).alias("error"),
         F.to_json(F.struct(*message)).alias("data"),
         F.timestamp_millis("timestamp").alias("timestamp"),

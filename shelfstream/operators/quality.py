@@ -48,6 +48,19 @@ def missing_item_letters(df: DataFrame, arrival: Column, events: Sequence[str] =
     return letters.select(*ERROR_MSG.names)
 
 
+def split_missing_items(
+    df: DataFrame, arrival: Column, events: Sequence[str] = ITEM_EVENTS
+) -> tuple[DataFrame, DataFrame]:
+    """(events that have the items they need, dead letters of the others)."""
+    return df.filter(~items_missing(events)), missing_item_letters(df, arrival, events)
+
+
+def route_by_errors(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(events without errors, events to correct)."""
+    faulty = F.coalesce(F.size("errors"), F.lit(0)) > 0
+    return df.filter(~faulty), df.filter(faulty)
+
+
 def _flag(df: DataFrame, code: str, condition: Column) -> DataFrame:
     flagged = F.when(condition, F.array_append("errors", F.lit(code))).otherwise(F.col("errors"))
     return df.withColumn("errors", flagged)
@@ -116,12 +129,6 @@ def correct_items(df: DataFrame, catalogue: DataFrame, small: bool | None = None
     return df.filter(~flagged).unionByName(corrected.select(*columns))
 
 
-def validate_events(df: DataFrame, arrival_ms: str, events: Sequence[str] = ITEM_EVENTS) -> DataFrame:
-    """All validation steps as columns only: repairable events with their ``errors``, the others left out."""
-    checked = with_errors(df.filter(~items_missing(events)))
-    return flag_bad_event_time(flag_invalid_items(checked, events), arrival_ms)
-
-
 def validate_and_correct(
     df: DataFrame,
     catalogue: DataFrame,
@@ -130,6 +137,8 @@ def validate_and_correct(
     small: bool | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(clean events in the input's columns, dead letters)."""
-    checked = validate_events(df, arrival_ms, events)
+    complete, letters = split_missing_items(df, F.timestamp_millis(F.col(arrival_ms)), events)
+    checked = flag_bad_event_time(flag_invalid_items(with_errors(complete), events), arrival_ms)
+    # Both corrections pass over events without their code, so the two routes need no copies of the input.
     clean = correct_event_time(correct_items(checked, catalogue, small), arrival_ms).drop("errors")
-    return clean, missing_item_letters(df, F.timestamp_millis(F.col(arrival_ms)), events)
+    return clean, letters

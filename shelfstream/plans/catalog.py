@@ -162,7 +162,7 @@ def dead_letter_clamped(spark, sf_dir):
         F.col("event") == "ERROR", F.col("arrival_ms") + F.lit(253_402_300_800_000)
     )
     letters = events.select(F.col("event").alias("data"), F.timestamp_millis(at).alias("timestamp"), "event_id")
-    return dead_letter.dead_letter_rows(letters).select("data", "event_id", F.unix_millis("timestamp").alias("at_ms"))
+    return dead_letter.dead_letter(letters).select("data", "event_id", F.unix_millis("timestamp").alias("at_ms"))
 
 
 @query
@@ -298,7 +298,7 @@ def validated_clean(spark, sf_dir):
 
 
 def _joined(spark, sf_dir):
-    return enrich.with_store(feeds.transactions(spark, sf_dir), enrich.store_dimension(feeds.stores(spark, sf_dir)))
+    return enrich.enrich_with_store(feeds.transactions(spark, sf_dir), enrich.store_dimension(feeds.stores(spark, sf_dir)))
 
 
 def _store_view(df):
@@ -396,7 +396,7 @@ def clickstream_job_views(spark, sf_dir):
 def clickstream_job_letters(spark, sf_dir):
     parsed = parse.parse_json(feeds.clickstream_json(spark, sf_dir), CLICKSTREAM)
     _, dead = clickstream_plan.clean_and_dead(parsed, feeds.catalogue(spark, sf_dir))
-    rows = dead_letter.dead_letter_rows(dead)
+    rows = dead_letter.dead_letter(dead)
     return rows.groupBy("error").agg(F.count(F.lit(1)).alias("n"), F.max(F.unix_millis("timestamp")).alias("last_ms"))
 
 

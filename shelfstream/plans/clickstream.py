@@ -16,7 +16,7 @@ from shelfstream.operators.unify import drop_error_events
 from shelfstream.schemas import CLICKSTREAM, PAGE_VIEW_AGG
 from shelfstream.session import computed_once, configure_streaming
 from shelfstream.sinks.append import aggregate_path, append_aggregate, append_table, archive_raw, stream_append
-from shelfstream.sinks.dead_letter import dead_letter_rows
+from shelfstream.sinks.dead_letter import dead_letter
 from shelfstream.streaming.runs import start_batches
 
 ARRIVAL = "arrival_ms"
@@ -47,7 +47,7 @@ def store_clean(
     with computed_once(parse_json(with_arrival(messages), CLICKSTREAM), "parsed") as parsed:
         clean, dead = clean_and_dead(parsed, catalogue, small)
         append_table(clean, cfg.table("clickstream_clean"), batch_id)
-        append_table(dead_letter_rows(dead), cfg.table("dead_letters"), batch_id)
+        append_table(dead_letter(dead), cfg.letters("clickstream"), batch_id)
 
 
 def run_clickstream(messages: DataFrame, catalogue: DataFrame, cfg: RetailConfig, batch_id: int = 0) -> DataFrame:

@@ -10,7 +10,7 @@ from shelfstream.operators.parse import good_rows, parse_errors, parse_json
 from shelfstream.schemas import STOCK
 from shelfstream.session import computed_once
 from shelfstream.sinks.append import append_table, archive_raw
-from shelfstream.sinks.dead_letter import dead_letter_rows
+from shelfstream.sinks.dead_letter import dead_letter
 from shelfstream.streaming.runs import start_batches
 
 
@@ -19,7 +19,7 @@ def store_stock(messages: DataFrame, cfg: RetailConfig, batch_id: int | None = N
     archive_raw(messages, cfg.table("stock_raw"), batch_id, test_mode=cfg.test_mode)
     with computed_once(parse_json(messages.select("value"), STOCK), "parsed") as parsed:
         append_table(good_rows(parsed).select(*STOCK.names), cfg.table("stock_clean"), batch_id)
-        append_table(dead_letter_rows(parse_errors(parsed)), f"{cfg.table('dead_letters')}_stock", batch_id)
+        append_table(dead_letter(parse_errors(parsed)), cfg.letters("stock"), batch_id)
 
 
 def run_stock(messages: DataFrame, cfg: RetailConfig, batch_id: int = 0) -> DataFrame:

@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame
 
 from shelfstream.config import RetailConfig
 from shelfstream.operators.counts import with_event_time, with_fixed_window
-from shelfstream.operators.enrich import enriched_rows, unknown_store_letters, with_store
+from shelfstream.operators.enrich import enriched_rows, unknown_store_letters, enrich_with_store
 from shelfstream.operators.parse import good_rows, parse_errors, parse_json
 from shelfstream.schemas import TRANSACTION
 from shelfstream.session import computed_once
 from shelfstream.sinks.append import append_table, archive_raw
-from shelfstream.sinks.dead_letter import dead_letter_rows
+from shelfstream.sinks.dead_letter import dead_letter
 from shelfstream.streaming.dimension import RefreshingDimension
 from shelfstream.streaming.runs import start_batches
 
@@ -38,12 +38,12 @@ def store_transactions(messages: DataFrame, enrich: Enrich, cfg: RetailConfig, b
     with computed_once(enrich(parsed(messages)), "parsed") as joined:
         enriched, dead = enriched_and_dead(joined)
         append_table(enriched, cfg.table("transactions_clean"), batch_id)
-        append_table(dead_letter_rows(dead), f"{cfg.table('dead_letters')}_transactions", batch_id)
+        append_table(dead_letter(dead), cfg.letters("transactions"), batch_id)
 
 
 def run_transactions(messages: DataFrame, stores: DataFrame, cfg: RetailConfig, batch_id: int = 0) -> DataFrame:
     """Batch job; returns the enriched transactions with event time and fixed window."""
-    store_transactions(messages, lambda tx: with_store(tx, stores), cfg, batch_id)
+    store_transactions(messages, lambda tx: enrich_with_store(tx, stores), cfg, batch_id)
     enriched = messages.sparkSession.read.parquet(f"{cfg.table('transactions_clean')}/batch_id={batch_id}")
     return with_fixed_window(with_event_time(enriched), cfg.window_ms)
 

@@ -10,7 +10,7 @@ MAX_DATE = "9999-12-31 00:00:00"
 MIN_DATE = "0001-01-01 00:00:00"
 
 
-def dead_letter_rows(letters: DataFrame) -> DataFrame:
+def dead_letter(letters: DataFrame) -> DataFrame:
     """Error rows with a storable time: missing or out-of-range times become the latest one."""
     latest = F.to_timestamp(F.lit(f"{MAX_DATE}+0000"), "yyyy-MM-dd HH:mm:ssZ")
     earliest = F.to_timestamp(F.lit(f"{MIN_DATE}+0000"), "yyyy-MM-dd HH:mm:ssZ")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfstream.operators.enrich import store_dimension, with_store
+from shelfstream.operators.enrich import store_dimension, enrich_with_store
 from shelfstream.operators.sizes import is_small
 
 
@@ -32,4 +32,4 @@ class RefreshingDimension:
         return self._frame
 
     def enrich(self, batch: DataFrame, on_missing: str = "null") -> DataFrame:
-        return with_store(batch, self.current(), on_missing, self._small)
+        return enrich_with_store(batch, self.current(), on_missing, self._small)

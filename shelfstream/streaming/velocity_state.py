@@ -76,7 +76,10 @@ class VelocityProcessor(StatefulProcessor):
 
 
 def velocity_stream(
-    events: DataFrame, order_cols: Sequence[str], threshold: int = THRESHOLD, keys: Sequence[str] = KEYS
+    events: DataFrame,
+    order_cols: Sequence[str],
+    threshold: int = THRESHOLD,
+    keys: Sequence[str] = KEYS,
 ) -> DataFrame:
     """Every sale of the stream with its signal columns ``type, window, count``."""
     sales = events.filter(F.col("event_type") == "SALE").select(

@@ -20,7 +20,7 @@ def test_store_dimension_has_one_row_per_id(spark):
 
 def test_unknown_stores_become_letters(spark):
     sales = spark.createDataFrame([(1, 5, 1.0), (7, 6, 2.0), (None, 7, 3.0)], SALES)
-    joined = enrich.with_store(sales, stores(spark))
+    joined = enrich.enrich_with_store(sales, stores(spark))
     assert [r.storeLocation.city for r in enrich.enriched_rows(joined).collect()] == ["Irving"]
     letters = enrich.unknown_store_letters(joined).collect()
     assert sorted(r.error for r in letters) == [" No Store found for id 7", " No Store found for id null"]
@@ -29,9 +29,9 @@ def test_unknown_stores_become_letters(spark):
 def test_unknown_store_can_fail_the_job(spark):
     sales = spark.createDataFrame([(7, 6, 2.0)], SALES)
     with pytest.raises(Exception, match="No Store found for id 7"):
-        enrich.with_store(sales, stores(spark), on_missing="fail").collect()
+        enrich.enrich_with_store(sales, stores(spark), on_missing="fail").collect()
     with pytest.raises(ValueError):
-        enrich.with_store(sales, stores(spark), on_missing="skip")
+        enrich.enrich_with_store(sales, stores(spark), on_missing="skip")
 
 
 def test_dimension_is_read_again_after_its_time(spark, tmp_path):
@@ -116,7 +116,7 @@ def test_dead_letters(spark):
     far = 253_402_300_800_000
     df = spark.createDataFrame([("t", "e", "d", 0), (None, "e", "d", None), ("t", "e", "d", far)], "transform string, error string, data string, ms long")
     letters = df.select("transform", "error", "data", F.timestamp_millis("ms").alias("timestamp"))
-    got = [r.ms for r in dead_letter.dead_letter_rows(letters).select(F.unix_millis("timestamp").alias("ms")).collect()]
+    got = [r.ms for r in dead_letter.dead_letter(letters).select(F.unix_millis("timestamp").alias("ms")).collect()]
     assert got == [0, 253_402_214_400_000, 253_402_214_400_000]
     lines = [r.line for r in dead_letter.dead_letter_lines(letters.limit(2)).collect()]
     assert lines == ["d failed with e at 1970-01-01T00:00:00.000Z in t", "d failed with e at null in null"]

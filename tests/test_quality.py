@@ -64,7 +64,8 @@ def test_validation_flags(spark):
         ("add_to_cart", "none", GOOD_TIME),
         (None, "none", GOOD_TIME),
     )
-    checked = quality.validate_events(df, "arrival_ms")
+    complete, dead = quality.split_missing_items(df, F.timestamp_millis("arrival_ms"))
+    checked = quality.flag_bad_event_time(quality.flag_invalid_items(quality.with_errors(complete)), "arrival_ms")
     got = {r.event or "-": (r.errors, r.timestamp) for r in checked.filter("event <> 'purchase' or event is null").collect()}
     assert got["browse"] == ([], ARRIVAL - 71)
     assert got["add_to_cart"] == (["CORR_ITEM"], ARRIVAL - 71)
@@ -72,7 +73,9 @@ def test_validation_flags(spark):
     assert got["-"] == ([], ARRIVAL - 71)
     purchases = sorted((r.timestamp, r.errors) for r in checked.filter("event = 'purchase'").collect())
     assert purchases == [(2, ["CORR_TIME"]), (3, ["CORR_ITEM", "CORR_TIME"])]
-    letters = quality.missing_item_letters(df, F.timestamp_millis("arrival_ms")).collect()
+    main, faulty = quality.route_by_errors(checked)
+    assert main.count() == 4 and sorted(len(r.errors) for r in faulty.collect()) == [1, 1, 2]
+    letters = dead.collect()
     assert len(letters) == 3 and {r.error for r in letters} == {quality.MISSING_ITEMS}
 
 

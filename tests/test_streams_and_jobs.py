@@ -183,11 +183,11 @@ def test_transaction_job(spark, tmp_path):
     stream = as_stream(spark, tmp_path / "in", "value string", df.collect()[:1], df.collect()[1:])
     transactions_plan.start_transactions(stream, other, str(tmp_path / "p")).awaitTermination()
     assert spark.read.parquet(other.table("transactions_clean")).count() == 1
-    assert spark.read.parquet(other.table("dead_letters") + "_transactions").count() == 2
+    assert spark.read.parquet(other.letters("transactions")).count() == 2
 
 
 def test_stock_job(spark, tmp_path):
     cfg = RetailConfig(str(tmp_path / "w"))
     rows = stock_plan.run_stock(messages(spark, [ARRIVED], "").select("value"), cfg).collect()
     assert [(r.product_id, r["count"]) for r in rows] == [(4, 10)]
-    assert spark.read.parquet(cfg.table("dead_letters") + "_stock").count() == 1
+    assert spark.read.parquet(cfg.letters("stock")).count() == 1
