@@ -126,7 +126,7 @@ LINE_TIME = """1704067200000 + ((l_orderkey + l_linenumber) % 7) * 86400000 + ((
 STOCK = f"""
 stock as (
   select cast(l_quantity as int) as count, 0 as sku, cast(l_partkey // 100 as int) as product_id,
-    cast(l_suppkey % 5 as int) as store_id, 0 as "aisleId", cast(null as varchar) as product_name,
+    cast(l_suppkey as int) as store_id, 0 as "aisleId", cast(null as varchar) as product_name,
     cast(l_linenumber as int) as "departmentId", cast(null as double) as price, cast(null as varchar) as "recipeId",
     cast(null as varchar) as image, {LINE_TIME} as "timestamp"
   from lineitem where l_returnflag = 'A' and l_linestatus = 'F'
@@ -135,7 +135,7 @@ stock as (
 TRANSACTIONS = f"""
 tx as (
   select {LINE_TIME} as "timestamp", cast(o_custkey as int) as uid, 'O-' || l_orderkey || '-' || l_linenumber as order_number,
-    cast(o_custkey as int) as user_id, cast(l_suppkey % 5 as int) as store_id, {LINE_TIME} as time_of_sale,
+    cast(o_custkey as int) as user_id, cast(l_suppkey as int) as store_id, {LINE_TIME} as time_of_sale,
     cast(l_linenumber as int) as department_id, cast(l_partkey // 100 as int) as product_id,
     cast(l_quantity as int) as product_count, cast(cast(l_extendedprice as float) as double) as price
   from lineitem join orders on l_orderkey = o_orderkey where l_linestatus = 'O'
@@ -146,7 +146,7 @@ stores as (
   select cast(s_suppkey as int) as id, cast(10000 + s_suppkey as int) as zip, n_name as city, r_name as state,
     cast(1 as double) as lat, cast(1 as double) as lng
   from supplier join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey
-  where s_suppkey < 4
+  where s_acctbal >= 1000
 )"""
 
 STOCK_COUNTS = f"""{STOCK},
@@ -291,7 +291,7 @@ ORACLE = {
           case when bad_time then "timestamp" else event_ms end as "timestamp"
         from checked""",
     "validated_clean": f"""with {CHECKED},
-        k as (select cast(p_partkey as varchar) as known_id, p_name, p_brand, p_type from part where p_partkey < 90)
+        k as (select cast(p_partkey as varchar) as known_id, p_name, p_brand, p_type from part where p_size <= 45)
         select event_datetime, event, case when bad_time then arrival_ms else event_ms end as "timestamp", user_id, client_id,
           page, page_previous, event_id, arrival_ms, n_items,
           case when has_item then cast(k as varchar) end as item_id,

@@ -40,10 +40,6 @@ def _line_time() -> Column:
     )
 
 
-def _store() -> Column:
-    return F.expr("l_suppkey % 5")
-
-
 def _product() -> Column:
     return F.expr("l_partkey div 100")
 
@@ -61,7 +57,7 @@ def unified(spark: SparkSession, sf_dir: str, reader=batch_table) -> DataFrame:
         reader(spark, sf_dir, "lineitem")
         .select(
             _product().cast("string").alias("product_id"),
-            _store().cast("string").alias("store_id"),
+            F.expr("l_suppkey % 5").cast("string").alias("store_id"),
             event_type.alias("event_type"),
             F.col("l_quantity").cast("bigint").alias("quantity"),
             _line_time().alias("timestamp"),
@@ -150,7 +146,7 @@ def transactions(spark: SparkSession, sf_dir: str, reader=batch_table) -> DataFr
         F.col("o_custkey").cast("int").alias("uid"),
         F.concat_ws("-", F.lit("O"), "l_orderkey", "l_linenumber").alias("order_number"),
         F.col("o_custkey").cast("int").alias("user_id"),
-        _store().cast("int").alias("store_id"),
+        F.col("l_suppkey").cast("int").alias("store_id"),
         _line_time().alias("time_of_sale"),
         F.col("l_linenumber").cast("int").alias("department_id"),
         _product().cast("int").alias("product_id"),
@@ -168,7 +164,7 @@ def stock(spark: SparkSession, sf_dir: str, reader=batch_table) -> DataFrame:
             F.col("l_quantity").cast("int").alias("count"),
             F.lit(0).alias("sku"),
             _product().cast("int").alias("product_id"),
-            _store().cast("int").alias("store_id"),
+            F.col("l_suppkey").cast("int").alias("store_id"),
             F.lit(0).alias("aisleId"),
             F.lit(None).cast("string").alias("product_name"),
             F.col("l_linenumber").cast("int").alias("departmentId"),
@@ -186,11 +182,11 @@ def as_json(df: DataFrame) -> DataFrame:
 
 
 def stores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Store dimension as it lies in the warehouse, without coordinates; store 4 is not in it."""
+    """Store dimension as it lies in the warehouse, without coordinates: the suppliers of some balance, so some stores are unknown."""
     nation, region = (batch_table(spark, sf_dir, t) for t in ("nation", "region"))
     return (
         batch_table(spark, sf_dir, "supplier")
-        .filter("s_suppkey < 4")
+        .filter("s_acctbal >= 1000")
         .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
         .select(
@@ -203,10 +199,10 @@ def stores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Item texts by id; ids from 90 on are not in it."""
+    """Item texts by id: the parts that are not oversized, so some items are unknown."""
     return (
         batch_table(spark, sf_dir, "part")
-        .filter("p_partkey < 90")
+        .filter("p_size <= 45")
         .select(
             F.col("p_partkey").cast("string").alias("item_id"),
             F.col("p_name").alias("item_name"),
