@@ -138,7 +138,7 @@ def validate_and_correct(
 ) -> tuple[DataFrame, DataFrame]:
     """(clean events in the input's columns, dead letters)."""
     complete, letters = split_missing_items(df, F.timestamp_millis(F.col(arrival_ms)), events)
-    checked = flag_bad_event_time(flag_invalid_items(with_errors(complete), events), arrival_ms)
-    # Both corrections pass over events without their code, so the two routes need no copies of the input.
-    clean = correct_event_time(correct_items(checked, catalogue, small), arrival_ms).drop("errors")
+    # Items are settled before times are looked at, so the routing filter need not parse any time.
+    items_done = correct_items(flag_invalid_items(with_errors(complete), events), catalogue, small)
+    clean = correct_event_time(flag_bad_event_time(items_done, arrival_ms), arrival_ms).drop("errors")
     return clean, letters
