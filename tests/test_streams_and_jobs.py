@@ -191,3 +191,16 @@ def test_stock_job(spark, tmp_path):
     rows = stock_plan.run_stock(messages(spark, [ARRIVED], "").select("value"), cfg).collect()
     assert [(r.product_id, r["count"]) for r in rows] == [(4, 10)]
     assert spark.read.parquet(cfg.letters("stock")).count() == 1
+
+
+def test_processors_travel_without_the_package():
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from shelfstream.streaming.velocity_state import VelocityProcessor
+
+    data = cloudpickle.dumps(VelocityProcessor(100, ["seq"], ["seq"]))
+    code = "import sys, pickle; pickle.loads(sys.stdin.buffer.read()); assert 'shelfstream' not in sys.modules"
+    subprocess.run([sys.executable, "-c", code], input=data, cwd="/", check=True, env={"PATH": "/usr/bin:/bin", "PYTHONPATH": ":".join(p for p in sys.path if "pyspark" in p or "site-packages" in p)})
