@@ -5,8 +5,10 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from check import TABLES, compare
+from oracle import ORACLE
+from shelfstream.plans.catalog import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="sample tables are not here")
@@ -20,14 +22,14 @@ def con():
     return connection
 
 
-@pytest.mark.parametrize("name", queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_sql(spark, con, name):
     verdict, _ = compare(spark, con, name, SF_DIR)
     assert verdict.startswith("ok") and verdict != "ok (0)", verdict
 
 
 def test_every_query_has_a_twin():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
 def test_entry(spark):
