@@ -6,13 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, packing, simhash
+from . import chat, mixing, packing, simhash, substring
 from .common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring.dedup_substrings(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256", F.size("removed").alias("n_intervals"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.tokenized_pieces(table(spark, sf_dir, "documents"), TOKENIZER))
 
@@ -37,7 +42,7 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op4_best_fit_packing, op5_simhash_golay, op7_poisson_mixing, op9_chat_formatting)
+    for f in (op1_substring_dedup, op4_best_fit_packing, op5_simhash_golay, op7_poisson_mixing, op9_chat_formatting)
 }
 
 ORACLE = {
