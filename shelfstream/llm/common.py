@@ -6,8 +6,10 @@ import tempfile
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Bytes of text that one vectorized step of a Python task works on; a single longer text is a step of its own.
 STEP_BYTES = 4 << 20
@@ -38,7 +40,7 @@ def steps(batch: pa.RecordBatch, column: str = "text", most: int = STEP_BYTES) -
     """Slices of a batch whose ``column`` holds at most ``most`` bytes, or one row."""
     if not batch.num_rows:
         return
-    sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_pylist()
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
     start = held = 0
     for i, size in enumerate(sizes):
         if i > start and held + size > most:
@@ -48,7 +50,7 @@ def steps(batch: pa.RecordBatch, column: str = "text", most: int = STEP_BYTES) -
     yield batch.slice(start)
 
 
-def map_steps(df: DataFrame, function: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str, column: str = "text") -> DataFrame:
+def map_steps(df: DataFrame, function: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str | StructType, column: str = "text") -> DataFrame:
     """``mapInArrow`` with batches cut into steps of bounded text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

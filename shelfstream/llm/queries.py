@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, packing, simhash, substring
+from . import chat, mixing, packing, simhash, substring, toxicity
 from .common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -32,6 +32,13 @@ def op7_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "source", "lang")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").where(~toxicity.is_held_out())
+    found = toxicity.score(docs, toxicity.train(docs, labels))
+    return found.select("doc_id", toxicity.is_held_out().alias("held_out"), "score", "predicted", F.size("passages").alias("n_passages"))
+
+
 def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     control = spark.createDataFrame(
@@ -42,7 +49,7 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_substring_dedup, op4_best_fit_packing, op5_simhash_golay, op7_poisson_mixing, op9_chat_formatting)
+    for f in (op1_substring_dedup, op4_best_fit_packing, op5_simhash_golay, op7_poisson_mixing, op8_toxicity, op9_chat_formatting)
 }
 
 ORACLE = {

@@ -16,6 +16,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from .common import partitions
@@ -42,7 +43,7 @@ class _Part:
     """The windows of one range of documents, in order of doc_id."""
 
     def __init__(self, table: pa.Table, width: int):
-        table = table.take(pa.compute.sort_indices(table, [("doc_id", "ascending")], null_placement="at_start"))
+        table = table.take(pc.sort_indices(table, [("doc_id", "ascending")], null_placement="at_start"))
         self.ids, self.width = table.column("doc_id").to_pylist(), width
         self.texts = [t.encode() for t in table.column("text").to_pylist()]
         words, self.counts = word_hashes(self.texts)
