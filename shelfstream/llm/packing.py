@@ -10,6 +10,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -93,6 +94,12 @@ class WordIds:
         return [b"".join(ids) for ids in found]
 
 
+@lru_cache(maxsize=1)
+def _word_ids(path: str, boundary: str) -> WordIds:
+    """One memory for all tasks that a Python worker runs."""
+    return WordIds(path, boundary)
+
+
 def tokenized_pieces(docs: DataFrame, tokenizer_path: str, boundary: str = "<|endoftext|>", sequence_length: int = 4096, end_id: int = 1) -> DataFrame:
     """Pieces of at most ``sequence_length`` ids per document, its end id included; only longer documents are cut.
 
@@ -101,7 +108,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, boundary: str = "<|en
     end = end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = WordIds(tokenizer_path, boundary)
+        ids_of = _word_ids(tokenizer_path, boundary)
         for batch in (step for batch in batches for step in steps(batch)):
             rows = []
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), ids_of(batch.column("text").to_pylist())):
