@@ -16,13 +16,14 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_steps, settled, texts
@@ -32,7 +33,7 @@ TRAIN_ROWS = 20_000
 LEXICON = 20_000
 PRIOR_TOKENS = 10_000.0
 DRIFT = 0.05
-LEAST_Z = 3.5
+LEAST_Z = 5.0
 THRESHOLD = 0.7
 PASSAGES = "array<struct<start: int, stop: int, score: double, excess: double>>"
 _WORD = re.compile(r"[^\W\d_]+")
@@ -129,11 +130,31 @@ def _counted(sample: DataFrame) -> DataFrame:
     )
 
 
+def _apart(sample: DataFrame) -> DataFrame:
+    """``sample`` with one document for each smallest hash of three words and label: copies are not evidence of their own."""
+
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        marks = []
+        for text in batch.column("text").to_pylist():
+            words = text.encode().lower().split()
+            marks.append(min((zlib.crc32(b" ".join(words[i : i + 3])) for i in range(max(1, len(words) - 2))), default=0))
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(marks, pa.int64())], ["text", "toxic", "mark"])
+
+    return map_steps(sample, run, "text string, toxic int, mark long").dropDuplicates(["mark", "toxic"]).drop("mark")
+
+
 def _log_odds(counts: DataFrame, n1: int, n0: int) -> DataFrame:
     prior = PRIOR_TOKENS * (F.col("y1") + F.col("y0")) / (n1 + n0)
     odds = lambda y, n: F.log((F.col(y) + prior) / (n + PRIOR_TOKENS - F.col(y) - prior))
     deviation = F.sqrt(1 / (F.col("y1") + prior) + 1 / (F.col("y0") + prior))
-    return counts.select("word", "y1", "y0", (odds("y1", n1) - odds("y0", n0)).alias("delta"), deviation.alias("deviation"), prior.alias("prior"))
+    return counts.select("word", "y1", "y0", (odds("y1", n1) - odds("y0", n0)).alias("delta"), deviation.alias("deviation"), prior.alias("prior"), _strength(n1, n0).alias("strength"))
+
+
+def _strength(n1: int, n0: int) -> Column:
+    """The root of the likelihood ratio of two rates against one, in standard deviations."""
+    both = F.col("y1") + F.col("y0")
+    term = lambda y, n: F.when(F.col(y) > 0, F.col(y) * F.log(F.col(y) / (both * n / (n1 + n0)))).otherwise(0.0)
+    return F.sqrt(F.greatest(F.lit(0.0), 2 * (term("y1", n1) + term("y0", n0))))
 
 
 def _decay(scores: np.ndarray, chances: np.ndarray) -> float:
@@ -170,7 +191,8 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     known = labels.select(F.col("doc_id").cast("long").alias("label_id"), F.col("toxic").cast("int").alias("toxic")).dropna()
     chosen = settled(known.groupBy("label_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("label_id"), "label_id").limit(rows))
     texted = texts(docs, F.col("doc_id").cast("long").alias("doc_id"))
-    sample = settled(texted.join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id")).select("text", "toxic"))
+    sample = texted.join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id")).select("text", "toxic")
+    sample = settled(_apart(sample))
     shares = {bool(toxic): n for toxic, n in sample.groupBy(F.col("toxic") > 0).count().collect()}
     if len(shares) < 2:
         return Model(base=1.0 if shares.get(True) else 0.0)
@@ -181,8 +203,8 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
         return Model(base=base)
     odds = _log_odds(counts, n1, n0)
     shrunk = F.signum("delta") * F.greatest(F.lit(0.0), F.abs("delta") - 2 * F.col("deviation"))
-    strength = F.abs(F.col("delta") / F.col("deviation"))
-    kept = odds.withColumn("score", shrunk).where((F.col("score") != 0) & (strength >= LEAST_Z)).orderBy(strength.desc(), "word").limit(LEXICON)
+    kept = odds.withColumn("score", shrunk).where((F.col("score") != 0) & (F.col("strength") >= LEAST_Z))
+    kept = kept.orderBy(F.desc("strength"), "word").limit(LEXICON)
     lexicon = kept.select("word", "score", ((F.col("y0") + F.col("prior")) / (n0 + PRIOR_TOKENS)).alias("chance")).collect()
     if not any(r["score"] > DRIFT for r in lexicon):
         return Model(base=base)
