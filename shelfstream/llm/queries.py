@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, packing, simhash, substring, toxicity
+from . import chat, mixing, packing, simhash, substring, topk, toxicity
 from .common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -18,6 +18,11 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256", F.size("removed").alias("n_intervals"))
 
 
+def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.tokenized_pieces(table(spark, sf_dir, "documents"), TOKENIZER))
 
@@ -49,10 +54,22 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_substring_dedup, op4_best_fit_packing, op5_simhash_golay, op7_poisson_mixing, op8_toxicity, op9_chat_formatting)
+    for f in (op1_substring_dedup, op2_exact_top_k, op4_best_fit_packing, op5_simhash_golay, op7_poisson_mixing, op8_toxicity, op9_chat_formatting)
 }
 
 ORACLE = {
+    "op2_exact_top_k": """
+with rows as (
+    select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)::bigint) as v from embeddings
+    where len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and vec_id is not null
+),
+scored as (
+    select q.vec_id as query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::bigint as score
+    from rows q join rows c on q.vec_id <> c.vec_id and len(q.v) = len(c.v) where q.vec_id % 100 = 0
+)
+select query_id, (row_number() over (partition by query_id order by score desc, vec_id))::int as rank, vec_id, score
+from scored qualify rank <= 10
+""",
     "op7_poisson_mixing": """
 with recursive counts as (select source, count(*) n from documents group by source),
 rates as (
