@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, packing, simhash, substring, topk, toxicity
+from . import chat, mixing, packing, phrases, simhash, substring, topk, toxicity
 from .common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -23,6 +23,10 @@ def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, vectors.where("vec_id % 100 = 0"))
 
 
+def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.tokenized_pieces(table(spark, sf_dir, "documents"), TOKENIZER))
 
@@ -54,7 +58,7 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_substring_dedup, op2_exact_top_k, op4_best_fit_packing, op5_simhash_golay, op7_poisson_mixing, op8_toxicity, op9_chat_formatting)
+    for f in (op1_substring_dedup, op2_exact_top_k, op3_document_fingerprints, op4_best_fit_packing, op5_simhash_golay, op7_poisson_mixing, op8_toxicity, op9_chat_formatting)
 }
 
 ORACLE = {

@@ -19,14 +19,16 @@ def _bucketed(rows: DataFrame, bounds: list[float], name: str) -> DataFrame:
     return cut.transform(rows).withColumn(name, F.col(name).cast("int"))
 
 
-def in_ranges(docs: DataFrame, part_bytes: int) -> tuple[DataFrame, int]:
+def in_ranges(docs: DataFrame, part_bytes: int, most_parts: int | None = None) -> tuple[DataFrame, int]:
     """(doc_id, text, part) of every row and the number of parts; parts rise with doc_id and hold about ``part_bytes``.
 
-    Rows of one doc_id share a part; rows without one are in the first. Ids are cut at approximate quantiles into ranges finer
+    With ``most_parts`` the parts of a large corpus are made larger instead of more. Rows of one doc_id share a part; rows without one are in the first. Ids are cut at approximate quantiles into ranges finer
     than a part, whose bytes are then summed; the driver gets one number for each.
     """
     rows = texts(docs, F.col("doc_id").cast("long").alias("doc_id")).withColumn("place", F.coalesce(F.col("doc_id").cast("double"), F.lit(-1e300)))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    if most_parts:
+        part_bytes = max(part_bytes, 2 * total // most_parts)
     fine = 4 * (total // part_bytes + 1)
     ids = rows.where("doc_id is not null")
     cuts = sorted(set(ids.approxQuantile("place", [i / fine for i in range(1, fine)], 1 / (4 * fine)))) if total > part_bytes else []
