@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, packing, phrases, simhash, substring, topk, toxicity
+from . import chat, mixing, packing, phrases, pii, simhash, substring, topk, toxicity
 from .common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -56,9 +56,20 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_chat(turns.unionByName(control)))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.train(docs))
+    return found.select(
+        "row.doc_id",
+        *(F.size(kind).cast("long").alias(f"n_{kind}") for kind in pii.BASE),
+        F.sha2(pii.listed("base"), 256).alias("base_sha256"),
+        pii.listed("spans").alias("spans"),
+    )
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_substring_dedup, op2_exact_top_k, op3_document_fingerprints, op4_best_fit_packing, op5_simhash_golay, op7_poisson_mixing, op8_toxicity, op9_chat_formatting)
+    for f in (op1_substring_dedup, op2_exact_top_k, op3_document_fingerprints, op4_best_fit_packing, op5_simhash_golay, op7_poisson_mixing, op8_toxicity, op9_chat_formatting, op10_pii)
 }
 
 ORACLE = {
