@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, packing, phrases, pii, simhash, substring, topk, toxicity
+from . import chat, mixing, packing, phrases, pii, simhash, substring, suffixes, topk, toxicity
 from .common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -36,6 +36,11 @@ def op5_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.dedup_bytes(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def op7_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every source gets the same weight; the mixture has the expected length of the input."""
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "source", "lang")
@@ -69,7 +74,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_substring_dedup, op2_exact_top_k, op3_document_fingerprints, op4_best_fit_packing, op5_simhash_golay, op7_poisson_mixing, op8_toxicity, op9_chat_formatting, op10_pii)
+    for f in (op1_substring_dedup, op2_exact_top_k, op3_document_fingerprints, op4_best_fit_packing, op5_simhash_golay, op6_suffix_dedup, op7_poisson_mixing, op8_toxicity, op9_chat_formatting, op10_pii)
 }
 
 ORACLE = {
