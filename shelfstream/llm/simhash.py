@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_steps, settled, texts
@@ -58,13 +58,19 @@ def fingerprint(hashes: list[int]) -> int:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp) of every row; fp is the fingerprint as a signed long."""
+    """(doc_id, mark, fp) of every row; mark is a hash of the text, fp the fingerprint as a signed long."""
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         marks = np.array([fingerprint(shingle_hashes(t)) for t in batch.column("text").to_pylist()], np.uint64)
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(marks.view(np.int64))], ["doc_id", "fp"])
+        columns = [batch.column("doc_id"), batch.column("mark"), pa.array(marks.view(np.int64))]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "mark", "fp"])
 
-    return map_steps(texts(docs, F.col("doc_id").cast("long").alias("doc_id")), run, "doc_id long, fp long")
+    rows = texts(docs, F.col("doc_id").cast("long").alias("doc_id"), _mark("text").alias("mark"))
+    return map_steps(rows, run, "doc_id long, mark long, fp long")
+
+
+def _mark(text: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
 
 
 def _remainder(words: np.ndarray) -> np.ndarray:
@@ -141,21 +147,25 @@ def _crowded_links(crowded: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
-    """(doc_id, fp, component_id) of every row of ``docs``."""
+    """(doc_id, mark, fp, component, component_id) of every row of ``docs``; component names a group even if no member has an id."""
     marked = settled(fingerprints(docs))
     distinct = marked.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
     grouped = components(near_links(distinct, crowd))
     named = distinct.join(grouped, distinct["fp"] == grouped["node"], "left").select(
-        F.col("fp").alias("mark"), "first_id", F.coalesce("component", "fp").alias("component")
+        F.col("fp").alias("named_fp"), "first_id", F.coalesce("component", "fp").alias("component")
     )
     ids = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    by_mark = named.join(ids, "component").select("mark", "component_id")
-    return marked.join(by_mark, marked["fp"] == by_mark["mark"]).select("doc_id", "fp", "component_id")
+    by_fp = named.join(ids, "component").select("named_fp", "component", "component_id")
+    return marked.join(by_fp, marked["fp"] == by_fp["named_fp"]).drop("named_fp")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """``docs`` with one row of each group of near duplicates: the first by doc_id; rows without an id stay."""
-    first = near_duplicates(docs).where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    row = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")).withColumn("kept_id", F.col("row.doc_id").cast("long"))
-    kept = row.join(first, "kept_id", "left_semi").dropDuplicates(["kept_id"])
-    return kept.union(row.where("kept_id is null")).select("row.*")
+    """``docs`` with one row of each group of near duplicates: the first by doc_id, then by hash of the text; ids before null."""
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "mark")
+    first = near_duplicates(docs).groupBy("component").agg(F.min(order).alias("low"))
+    first = first.select(F.col("low.doc_id").alias("kept_id"), F.col("low.mark").alias("kept_mark"))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    rows = rows.withColumn("own_id", F.col("row.doc_id").cast("long")).withColumn("own_mark", _mark("row.text"))
+    kept = rows.join(first, F.col("own_id").eqNullSafe(F.col("kept_id")) & (F.col("own_mark") == F.col("kept_mark")), "left_semi")
+    # What is left twice now is a repeated row.
+    return kept.dropDuplicates(["own_id", "own_mark"]).select("row.*")
