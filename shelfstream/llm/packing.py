@@ -24,7 +24,7 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 #: Pieces that are packed together. A group leaves about half a sequence open, so more pieces to a group waste less.
 GROUP_PIECES = 16_384
 #: Bytes of words and ids that a task remembers; beyond it the memory starts anew.
-MEMORY_BYTES = 240 << 20
+MEMORY_BYTES = 400 << 20
 
 
 class WordIds:
