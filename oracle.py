@@ -86,7 +86,7 @@ c as (
     'C' || user_id as client_id, 'P' || (k % 10) as page, 'P' || (k // 10) as page_previous,
     case when event_type in ('signup', 'purchase') then case when event_id % 7 = 0 then 0 else 1 end end as n_items,
     case when event_id % 5 <> 0 then 'N' || k end as raw_name,
-    k, value, ts
+    case when event_id % 13 = 0 then 'X' || k else cast(k as varchar) end as shown_item, k, value, ts
   from e
 ),
 i as (
@@ -95,7 +95,7 @@ i as (
 
 ITEM_COLS = """
   n_items,
-  case when has_item then cast(k as varchar) end as item_id,
+  case when has_item then shown_item end as item_id,
   case when has_item then raw_name end as item_name,
   case when has_item then 'B' end as item_brand,
   case when has_item then 'cat' end as item_category,
@@ -114,10 +114,10 @@ checked as (
 BROKEN = "event_id % 101 = 0 or event_id % 103 = 0"
 
 
-def _page_views(ms: int, extra: str = "") -> str:
+def _page_views(ms: int) -> str:
     return f"""with {CLICKS}
 select cast({ms} as bigint) as "durationMS", "timestamp" // {ms} * {ms} as "startTime", page, count(*) as count
-from c where event = 'browse' group by 2, 3 {extra}"""
+from c where event = 'browse' group by 2, 3"""
 
 
 LINE_TIME = """1704067200000 + ((l_orderkey + l_linenumber) % 7) * 86400000 + ((l_orderkey * 13) % 1440) * 60000
@@ -135,7 +135,7 @@ stock as (
 TRANSACTIONS = f"""
 tx as (
   select {LINE_TIME} as "timestamp", cast(o_custkey as int) as uid, 'O-' || l_orderkey || '-' || l_linenumber as order_number,
-    cast(o_custkey as int) as user_id, cast(l_suppkey as int) as store_id, {LINE_TIME} as time_of_sale,
+    cast(o_custkey as int) as user_id, cast(l_suppkey + if(l_orderkey % 11 = 0, 1000000, 0) as int) as store_id, {LINE_TIME} as time_of_sale,
     cast(l_linenumber as int) as department_id, cast(l_partkey // 100 as int) as product_id,
     cast(l_quantity as int) as product_count, cast(cast(l_extendedprice as float) as double) as price
   from lineitem join orders on l_orderkey = o_orderkey where l_linestatus = 'O'
@@ -146,7 +146,6 @@ stores as (
   select cast(s_suppkey as int) as id, cast(10000 + s_suppkey as int) as zip, n_name as city, r_name as state,
     cast(1 as double) as lat, cast(1 as double) as lng
   from supplier join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey
-  where s_acctbal >= 1000
 )"""
 
 STOCK_COUNTS = f"""{STOCK},
@@ -198,7 +197,7 @@ LATEST_STOCK = f"""with {INVENTORY}
 select 'stock:' || store_id || ':' || product_id as key, cast(on_hand as varchar) as value
 from on_hand qualify row_number() over (partition by store_id, product_id order by n desc) = 1"""
 
-NO_STORE = "' No Store found for id ' || store_id"
+NO_STORE = "'unknown store ' || store_id"
 TX_COLS = """"timestamp", uid, order_number, user_id, store_id, time_of_sale, department_id, product_id, product_count, price"""
 STORE_COLS = "id, zip, city, state, lat, lng"
 MISSING_TEXT = "Event requires item to be set, but not set"
@@ -208,6 +207,10 @@ PARSE_DATA = "case when event_id % 101 = 0 then '{broken' else '' end"
 ORACLE = {
     "inventory_on_hand": f"with {INVENTORY} select {EVENT_COLS}, on_hand from on_hand",
     "inventory_on_hand_stream": f"with {INVENTORY} select {EVENT_COLS}, on_hand from on_hand",
+    "inventory_on_hand_split": f"with {INVENTORY} select {EVENT_COLS}, on_hand from on_hand",
+    "velocity_signal_split": _signal(100),
+    "session_events_split": f"""with {_sessions(43200000)} select event_id, client_id, "timestamp", session_start from tagged""",
+    "two_loads_clean_rows": f"with {STOCK} select * from stock",
     "inventory_latest_kv": LATEST_STOCK,
     "serving_table_stock": LATEST_STOCK,
     "dropped_by_reset_audit": f"""with {INVENTORY} select {EVENT_COLS}, last_reset from barrier
@@ -251,9 +254,7 @@ ORACLE = {
     "page_views_5s": _page_views(5000),
     "aggregate_table_roundtrip": _page_views(5000),
     "page_views_1h": _page_views(3600000),
-    "page_views_1h_stream": _page_views(
-        3600000, """having "timestamp" // 3600000 * 3600000 + 3600000 <= (select max("timestamp") - 600000 from c where event <> 'ERROR')"""
-    ),
+    "page_views_1h_stream": _page_views(3600000),
     "page_view_cells": f"""with v as ({_page_views(3600000)})
         select page || '-' || "startTime" as row_key, 'pageViewAgg' as family, 'pageViewRef' as qualifier,
           hex(encode(page)) as value from v
@@ -267,7 +268,7 @@ ORACLE = {
         from counted group by 2, 3""",
     "global_stock_updates_stream": f"""with {STOCK_COUNTS}
         select cast(5000 as bigint) as "durationMS", "startTime", product_id, cast(null as int) as store_id, count(*) as count
-        from counted where "startTime" + 5000 <= (select max("timestamp") - 600000 from stock) group by 2, 3""",
+        from counted group by 2, 3""",
     "transaction_counts": f"""with {TX_COUNTS}
         select cast(null as bigint) as "durationMS", cast(null as bigint) as "startTime", product_id, store_id, count from counted""",
     "global_stock_from_transactions": f"""with {TX_COUNTS}
@@ -275,11 +276,10 @@ ORACLE = {
         from counted group by 2, 3""",
     "sessions_30s": f"with {_sessions(30000)} select * from summary",
     "sessions_12h": f"with {_sessions(43200000)} select * from summary",
-    "sessions_12h_stream": f"""with {_sessions(43200000)} select * from summary
-        where session_end + 43200000 <= (select max("timestamp") - 600000 from c)""",
+    "sessions_12h_stream": f"""with {_sessions(43200000)} select * from summary""",
     "session_events_12h": f"""with {_sessions(43200000)} select event_id, client_id, "timestamp", session_start from tagged""",
     "sessionized_12h": f"""with {_sessions(43200000)}
-        select client_id, session_start, cast(count(*) as int) as n_events,
+        select client_id, session_start, cast(0 as bigint) as part, cast(count(*) as int) as n_events,
           string_agg(event, ',' order by "timestamp", event_datetime, event) as events
         from tagged group by 1, 2""",
     "missing_items_dead_letter": f"""with {CLICKS}
@@ -291,16 +291,16 @@ ORACLE = {
           case when bad_time then "timestamp" else event_ms end as "timestamp"
         from checked""",
     "validated_clean": f"""with {CHECKED},
-        k as (select cast(p_partkey as varchar) as known_id, p_name, p_brand, p_type from part where p_size <= 45)
+        k as (select cast(p_partkey as varchar) as known_id, p_name, p_brand, p_type from part)
         select event_datetime, event, case when bad_time then arrival_ms else event_ms end as "timestamp", user_id, client_id,
           page, page_previous, event_id, arrival_ms, n_items,
-          case when has_item then cast(k as varchar) end as item_id,
+          case when has_item then shown_item end as item_id,
           case when bad_item and known_id is not null then p_name when has_item then raw_name end as item_name,
           case when bad_item and known_id is not null then p_brand when has_item then 'B' end as item_brand,
           case when bad_item and known_id is not null then p_type when has_item then 'cat' end as item_category,
           case when has_item then cast(cast(value as float) as double) end as price,
           case when has_item then 1 + k % 3 end as item_quantity
-        from checked left join k on cast(checked.k as varchar) = known_id where not (needs_item and not has_item)""",
+        from checked left join k on checked.shown_item = known_id where not (needs_item and not has_item)""",
     "store_dimension": f"with {STORES} select {STORE_COLS} from stores",
     "store_locations_table": f"with {STORES} select {STORE_COLS} from stores",
     "enriched_transactions": f"with {TRANSACTIONS}, {STORES} select {TX_COLS}, {STORE_COLS} from tx join stores on store_id = id",

@@ -6,10 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfstream.functions.scalars import conform
-from shelfstream.operators.sizes import is_small, lookup_side
 from shelfstream.schemas import ERROR_MSG, STORE_LOCATION
 
-NO_STORE = " No Store found for id "
+NO_STORE = "unknown store "
 
 
 def store_dimension(raw: DataFrame) -> DataFrame:
@@ -23,14 +22,12 @@ def store_dimension(raw: DataFrame) -> DataFrame:
     return one.select("id", "rest.*")
 
 
-def enrich_with_store(tx: DataFrame, stores: DataFrame, on_missing: str = "null", small: bool | None = None) -> DataFrame:
+def enrich_with_store(tx: DataFrame, stores: DataFrame, on_missing: str = "null") -> DataFrame:
     """Add ``storeLocation``; an unknown store leaves it null, or fails the job if ``on_missing="fail"``.
 
-    ``small`` says whether the dimension may be broadcast; left out, its rows are counted to decide.
+    The optimizer broadcasts the dimension if its bytes allow; otherwise adaptive skew handling splits hot stores.
     """
-    small = is_small(stores) if small is None else small
     dim = stores.select(F.col("id").alias("_store"), F.struct(*STORE_LOCATION.names).alias("storeLocation"))
-    dim = lookup_side(dim, small)
     base = tx.drop("storeLocation")
     joined = base.join(dim, F.col("store_id") == F.col("_store"), "left")
     if on_missing == "fail":

@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfstream.functions.scalars import parse_event_datetime
-from shelfstream.operators.sizes import is_small, lookup_side
 from shelfstream.schemas import ERROR_MSG
 
 # Correction codes, the error text and the events that must name items.
@@ -88,14 +87,12 @@ def correct_event_time(df: DataFrame, arrival_ms: str) -> DataFrame:
     return df.withColumn("timestamp", fixed)
 
 
-def correct_items(df: DataFrame, catalogue: DataFrame, small: bool | None = None) -> DataFrame:
+def correct_items(df: DataFrame, catalogue: DataFrame) -> DataFrame:
     """Overwrite name, brand and category of the items of CORR_ITEM events from the catalogue.
 
     An item whose id the catalogue lacks keeps its fields. The other events take no part in the
-    join or the exchange. ``small`` says whether the catalogue may be broadcast; left out, its rows
-    are counted to decide.
+    join or the exchange. The optimizer decides by the catalogue's bytes whether to broadcast it.
     """
-    small = is_small(catalogue) if small is None else small
     flagged = F.array_contains("errors", CORR_ITEM)
     columns = df.columns
     # Grouping needs a name per event. Equal copies within one input partition share theirs and are
@@ -113,7 +110,7 @@ def correct_items(df: DataFrame, catalogue: DataFrame, small: bool | None = None
     looked_up = F.col("item")
     for name in CORRECTED_FIELDS:
         looked_up = looked_up.withField(name, F.col(f"known.{name}"))
-    joined = named.join(lookup_side(known, small), F.col("item.item_id") == F.col("known_id"), "left")
+    joined = named.join(known, F.col("item.item_id") == F.col("known_id"), "left")
     fixed = joined.withColumn("item", F.when(F.col("known").isNotNull(), looked_up).otherwise(F.col("item")))
     regrouped = fixed.groupBy("part", "digest").agg(
         F.any_value("event").alias("event"),
@@ -134,11 +131,10 @@ def validate_and_correct(
     catalogue: DataFrame,
     arrival_ms: str,
     events: Sequence[str] = ITEM_EVENTS,
-    small: bool | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(clean events in the input's columns, dead letters)."""
     complete, letters = split_missing_items(df, F.timestamp_millis(F.col(arrival_ms)), events)
     # Items are settled before times are looked at, so the routing filter need not parse any time.
-    items_done = correct_items(flag_invalid_items(with_errors(complete), events), catalogue, small)
+    items_done = correct_items(flag_invalid_items(with_errors(complete), events), catalogue)
     clean = correct_event_time(flag_bad_event_time(items_done, arrival_ms), arrival_ms).drop("errors")
     return clean, letters

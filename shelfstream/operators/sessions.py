@@ -57,39 +57,45 @@ def _tagged(df, gap_ms, part_rows, splits, min_chunk_rows) -> tuple[DataFrame, l
     clients = ["known", "client"]
     events = df.withColumns({"known": F.col("client_id").isNotNull(), "client": F.coalesce("client_id", F.lit(""))})
     split = skew.split_hot_keys(events, clients, "timestamp", splits, min_chunk_rows)
-    rows = split.rows.withColumns({"is_event": F.lit(True), "opening_start": F.lit(None).cast("bigint")})
+    rows = split.rows.withColumns(
+        {"is_event": F.lit(True), "opening": F.lit(None).cast("struct<start: bigint, rows: bigint>"), "tie": F.xxhash64(*df.columns)}
+    )
     if split.chunks is not None:
         rows = rows.unionByName(_opening_sessions(split, clients, gap_ms), allowMissingColumns=True)
-    in_order = Window.partitionBy(*split.group).orderBy("is_event", "timestamp")
+    # Rows of one time follow a hash of all their columns, so a rerun puts them into the same parts.
+    in_order = Window.partitionBy(*split.group).orderBy("is_event", "timestamp", "tie")
     so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     pause = F.col("timestamp") - F.lag("timestamp").over(in_order)
     rows = rows.withColumns({"pause": pause, "row": F.row_number().over(in_order)})
-    starts = F.coalesce("opening_start", F.when(F.col("pause").isNull() | (F.col("pause") >= gap_ms), F.col("timestamp")))
-    rows = rows.withColumn("starts", starts).withColumns(
-        {
-            "session_start": F.last("starts", ignorenulls=True).over(so_far),
-            "first_row": F.last(F.when(F.col("starts").isNotNull(), F.col("row")), ignorenulls=True).over(so_far),
-        }
+    # An opening row stands for the last of the session's rows in earlier chunks.
+    fresh = F.when(
+        F.col("pause").isNull() | (F.col("pause") >= gap_ms), F.struct(F.col("timestamp").alias("start"), F.lit(1).cast("bigint").alias("rows"))
     )
-    part = F.call_function("div", F.col("row") - F.col("first_row"), F.lit(part_rows)).cast("bigint")
-    if split.chunks is not None:
-        # Parts of a session that runs through several chunks go up from chunk to chunk.
-        part = F.col("chunk") * F.lit(skew.FINE) + part
-    return rows.withColumn("part", part).filter("is_event"), split.group
+    begun = F.coalesce("opening", fresh)
+    session = F.last(F.when(begun.isNotNull(), F.struct(begun.alias("begun"), F.col("row").alias("row"))), ignorenulls=True).over(so_far)
+    rows = rows.withColumn("session", session)
+    place = F.col("session.begun.rows") - 1 + F.col("row") - F.col("session.row")
+    part = F.call_function("div", place, F.lit(part_rows)).cast("bigint")
+    tagged = rows.withColumns({"session_start": F.col("session.begun.start"), "part": part})
+    return tagged.filter("is_event"), split.group
 
 
 def _opening_sessions(split: skew.Split, clients: list[str], gap_ms: int) -> DataFrame:
-    """One row per later chunk of a hot client: its last event before the chunk and that one's session."""
+    """One row per later chunk of a hot client: its last event before the chunk, that one's session and its rows so far."""
     by_chunk = [*clients, "chunk"]
     bins = _with_session_start(_bins(split.rows.filter("is_hot"), gap_ms, *by_chunk), gap_ms, *clients)
-    closing = bins.groupBy(*by_chunk).agg(F.max("last").alias("closed"), F.max("session_start").alias("start"))
+    pieces = bins.groupBy(*by_chunk, "session_start").agg(F.max("last").alias("closed"), F.sum("n").alias("n"))
+    so_far = Window.partitionBy(*clients, "session_start").orderBy("chunk").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    pieces = pieces.withColumn("rows", F.sum("n").over(so_far))
+    closing = pieces.groupBy(*by_chunk).agg(F.max(F.struct("closed", F.col("session_start").alias("start"), "rows")).alias("closing"))
     earlier = skew.before(clients)
     return (
         split.chunks.join(F.broadcast(closing), by_chunk, "left")
+        .withColumn("closing", F.max("closing").over(earlier))
         .select(
             *by_chunk,
-            F.max("closed").over(earlier).alias("timestamp"),
-            F.max("start").over(earlier).alias("opening_start"),
+            F.col("closing.closed").alias("timestamp"),
+            F.struct("closing.start", "closing.rows").alias("opening"),
             F.lit(False).alias("is_event"),
         )
         .filter("timestamp is not null")
@@ -105,15 +111,20 @@ def sessionize(
 ) -> DataFrame:
     """Nested sessions ``key{client_id}, session_start, part, value[events]``, events ordered by time.
 
-    A session is one row of part 0 unless it is longer than ``part_rows`` or its client is hot; then
-    its events are spread, in time order, over rows with rising ``part``.
+    Part ``p`` holds the events ``p * part_rows`` and following of the session, whatever the size of the table or of the
+    client; so a part is bounded. A part of a hot client that runs through two chunks is gathered from both.
     """
     tagged, group = _tagged(df, gap_ms, part_rows, splits, min_chunk_rows)
     first = ["timestamp"] + [c for c in df.columns if c != "timestamp"]
-    # The rows lie together by client and chunk already, so this grouping shuffles nothing.
-    parts = tagged.groupBy(*group, "session_start", "part").agg(
-        F.any_value("client_id").alias("client_id"), F.sort_array(F.collect_list(F.struct(*first))).alias("value")
-    )
+    keys = [*group[:2], "session_start", "part"]
+    if len(group) == 2:
+        # The rows lie together by client already, so this grouping shuffles nothing.
+        parts = tagged.groupBy(*keys).agg(F.any_value("client_id").alias("client_id"), F.sort_array(F.collect_list(F.struct(*first))).alias("value"))
+    else:
+        pieces = tagged.groupBy(*keys, *group[2:]).agg(F.any_value("client_id").alias("client_id"), F.collect_list(F.struct(*first)).alias("piece"))
+        parts = pieces.groupBy(*keys).agg(
+            F.any_value("client_id").alias("client_id"), F.sort_array(F.flatten(F.collect_list("piece"))).alias("value")
+        )
     return parts.select(F.struct("client_id").alias("key"), "session_start", "part", "value")
 
 

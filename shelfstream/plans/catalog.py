@@ -17,13 +17,13 @@ from shelfstream.plans import inventory as inventory_plan
 from shelfstream.plans import stock as stock_plan
 from shelfstream.plans import transactions as transactions_plan
 from shelfstream.schemas import CLICKSTREAM, PAGE_VIEW_AGG, STOCK, STOCK_AGG, TRANSACTION
-from shelfstream.session import configure_streaming, shared_dir
+from shelfstream.session import shared_dir
 from shelfstream.sinks import append, dead_letter, serving
 from shelfstream.sources import json_lines
 from shelfstream.sources import sample_feeds as feeds
 from shelfstream.streaming.dimension import RefreshingDimension
 from shelfstream.streaming.inventory_state import inventory_stream
-from shelfstream.streaming.runs import run_to_table, start_batches
+from shelfstream.streaming.runs import replay, replay_to_table, start_batches
 from shelfstream.streaming.velocity_state import velocity_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -258,7 +258,7 @@ def sessionized_12h(spark, sf_dir):
     nested = sessions.sessionize(feeds.clickstream(spark, sf_dir), TWELVE_HOURS)
     names = F.array_join(F.transform("value", lambda e: e["event"]), ",")
     return nested.select(
-        F.col("key.client_id").alias("client_id"), "session_start", F.size("value").alias("n_events"), names.alias("events")
+        F.col("key.client_id").alias("client_id"), "session_start", "part", F.size("value").alias("n_events"), names.alias("events")
     )
 
 
@@ -345,7 +345,7 @@ def raw_archive_counts(spark, sf_dir):
 @query
 def aggregate_table_roundtrip(spark, sf_dir):
     path = append.append_aggregate(page_views_5s(spark, sf_dir), shared_dir(spark, "aggregates"), "PageView", 5_000)
-    return spark.read.parquet(path)
+    return spark.read.parquet(path).drop("load")
 
 
 @query
@@ -414,46 +414,60 @@ def stock_job_rows(spark, sf_dir):
     return rows.select("product_id", "store_id", "count", "timestamp", F.unix_millis("window.start").alias("window_ms"))
 
 
-# Streams: run on what the tables hold and return the table the stream wrote ------------------------
+# Streams: the feed replayed in time order, and the table the stream wrote ----------------------------
+
+# Beyond any window, session and delay after the last event.
+_CLOSING_MS = 30 * 86_400_000
+
+
+def _closing(df, **more):
+    last = df.agg(F.max("timestamp")).first()[0]
+    return {"timestamp": F.lit(last + _CLOSING_MS), **more}
 
 
 @query
 def inventory_on_hand_stream(spark, sf_dir):
-    configure_streaming(spark)
-    rows = inventory_stream(_stream_events(spark, sf_dir), feeds.ARRIVAL)
-    return run_to_table(rows).select(*EVENT_COLS, "on_hand")
+    rows = replay_to_table(feeds.unified(spark, sf_dir), "arrival_ms", lambda events: inventory_stream(events, feeds.ARRIVAL))
+    return rows.select(*EVENT_COLS, "on_hand")
 
 
 @query
 def velocity_signal_stream(spark, sf_dir):
-    configure_streaming(spark)
-    return run_to_table(velocity_stream(_stream_events(spark, sf_dir), feeds.ARRIVAL)).select(*SIGNAL_COLS)
-
-
-def _stream_events(spark, sf_dir):
-    return feeds.unified(spark, sf_dir, feeds.stream_table)
+    rows = replay_to_table(feeds.unified(spark, sf_dir), "arrival_ms", lambda events: velocity_stream(events, feeds.ARRIVAL))
+    return rows.select(*SIGNAL_COLS)
 
 
 @query
 def page_views_1h_stream(spark, sf_dir):
-    """Windows the watermark has closed."""
-    clicks = unify.drop_error_events(feeds.clickstream(spark, sf_dir, feeds.stream_table))
-    return run_to_table(conform(counts.page_views(counts.with_event_time(clicks, watermark="10 minutes"), HOUR), PAGE_VIEW_AGG))
+    clicks = feeds.clickstream(spark, sf_dir)
+
+    def views(stream):
+        timed = counts.with_event_time(unify.drop_error_events(stream), watermark="10 minutes")
+        return conform(counts.page_views(timed, HOUR), PAGE_VIEW_AGG)
+
+    return replay_to_table(clicks, "timestamp", views, closing=_closing(clicks, event=F.lit("heartbeat")))
 
 
 @query
 def global_stock_updates_stream(spark, sf_dir):
-    """Two stacked counts in one stream; windows the watermark has closed."""
-    stock = counts.with_event_time(feeds.stock(spark, sf_dir, feeds.stream_table), watermark="10 minutes")
-    return run_to_table(conform(counts.global_stock_updates(counts.stock_counts(stock)), STOCK_AGG))
+    """Two stacked counts in one stream."""
+    stock = feeds.stock(spark, sf_dir)
+
+    def updates(stream):
+        timed = counts.with_event_time(stream, watermark="10 minutes")
+        return conform(counts.global_stock_updates(counts.stock_counts(timed)), STOCK_AGG)
+
+    return replay_to_table(stock, "timestamp", updates, closing=_closing(stock))
 
 
 @query
 def sessions_12h_stream(spark, sf_dir):
-    """Sessions the watermark has closed."""
-    configure_streaming(spark)
-    clicks = counts.with_event_time(feeds.clickstream(spark, sf_dir, feeds.stream_table), watermark="10 minutes")
-    return run_to_table(sessions.session_stream(clicks, TWELVE_HOURS))
+    clicks = feeds.clickstream(spark, sf_dir)
+
+    def closed(stream):
+        return sessions.session_stream(counts.with_event_time(stream, watermark="10 minutes"), TWELVE_HOURS)
+
+    return replay_to_table(clicks, "timestamp", closed, closing=_closing(clicks))
 
 
 @query
@@ -461,11 +475,39 @@ def enriched_transactions_stream(spark, sf_dir):
     """Micro-batches joined with a store table that is read again while the stream runs."""
     stores_path, table = shared_dir(spark, "stores"), shared_dir(spark, "enriched")
     feeds.stores(spark, sf_dir).write.parquet(stores_path)
-    dimension = RefreshingDimension(spark, stores_path)
+    dimension = RefreshingDimension(spark, stores_path, ttl_seconds=0)
+
+    def run(stream, checkpoint):
+        def work(batch, load):
+            append.append_table(enrich.enriched_rows(dimension.enrich(batch)), table, load)
+
+        start_batches(stream, work, checkpoint).awaitTermination()
 
-    def work(batch, batch_id):
-        append.append_table(enrich.enriched_rows(dimension.enrich(batch)), table, batch_id)
+    replay(feeds.transactions(spark, sf_dir), "timestamp", run)
+    return _store_view(spark.read.parquet(table).drop("load"))
 
-    messages = feeds.transactions(spark, sf_dir, feeds.stream_table)
-    start_batches(messages, work, shared_dir(spark, "progress")).awaitTermination()
-    return _store_view(spark.read.parquet(table).drop("batch_id"))
+
+@query
+def two_loads_clean_rows(spark, sf_dir):
+    """The stock job run on the two halves of the feed, and all rows its clean table then has."""
+    cfg, stock = _warehouse(spark), feeds.stock(spark, sf_dir)
+    for half in (0, 1):
+        stock_plan.run_stock(feeds.as_json(stock.where(F.col("product_id") % 2 == half)), cfg)
+    return spark.read.parquet(cfg.table("stock_clean")).drop("load")
+
+
+@query
+def inventory_on_hand_split(spark, sf_dir):
+    """The plan for tables with hot keys, on every key."""
+    return inventory_batch(feeds.unified(spark, sf_dir), feeds.ARRIVAL, min_chunk_rows=50).select(*EVENT_COLS, "on_hand")
+
+
+@query
+def velocity_signal_split(spark, sf_dir):
+    return velocity_batch(feeds.unified(spark, sf_dir), feeds.ARRIVAL, min_chunk_rows=50).select(*SIGNAL_COLS)
+
+
+@query
+def session_events_split(spark, sf_dir):
+    tagged = sessions.session_events(feeds.clickstream(spark, sf_dir), TWELVE_HOURS, min_chunk_rows=5)
+    return tagged.select("event_id", "client_id", "timestamp", "session_start")

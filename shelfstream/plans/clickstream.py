@@ -11,11 +11,10 @@ from shelfstream.operators.counts import page_views, with_event_time
 from shelfstream.operators.parse import good_rows, parse_errors, parse_json
 from shelfstream.operators.quality import validate_and_correct
 from shelfstream.operators.sessions import events_of_sessions, session_stream, sessionize
-from shelfstream.operators.sizes import is_small
 from shelfstream.operators.unify import drop_error_events
 from shelfstream.schemas import CLICKSTREAM, PAGE_VIEW_AGG
 from shelfstream.session import computed_once, configure_streaming
-from shelfstream.sinks.append import aggregate_path, append_aggregate, append_table, archive_raw, stream_append
+from shelfstream.sinks.append import aggregate_path, append_aggregate, append_table, archive_raw, new_load, stream_append
 from shelfstream.sinks.dead_letter import dead_letter
 from shelfstream.streaming.runs import start_batches
 
@@ -29,9 +28,9 @@ def with_arrival(messages: DataFrame) -> DataFrame:
     return messages.withColumn(ARRIVAL, F.unix_millis(F.current_timestamp()))
 
 
-def clean_and_dead(parsed: DataFrame, catalogue: DataFrame, small: bool | None = None) -> tuple[DataFrame, DataFrame]:
+def clean_and_dead(parsed: DataFrame, catalogue: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(corrected events, dead letters of parsing and validation) of parsed messages."""
-    clean, dead = validate_and_correct(good_rows(parsed), catalogue, ARRIVAL, small=small)
+    clean, dead = validate_and_correct(good_rows(parsed), catalogue, ARRIVAL)
     return clean, dead.unionByName(parse_errors(parsed, F.timestamp_millis(F.col(ARRIVAL))))
 
 
@@ -39,43 +38,42 @@ def store_clean(
     messages: DataFrame,
     catalogue: DataFrame,
     cfg: RetailConfig,
-    batch_id: int | None = None,
-    small: bool | None = None,
+    load: str | None = None,
 ) -> None:
     """Archive the messages and append their clean events and dead letters."""
-    archive_raw(messages, cfg.table("clickstream_raw"), batch_id, test_mode=cfg.test_mode)
+    archive_raw(messages, cfg.table("clickstream_raw"), load, test_mode=cfg.test_mode)
     with computed_once(parse_json(with_arrival(messages), CLICKSTREAM), "parsed") as parsed:
-        clean, dead = clean_and_dead(parsed, catalogue, small)
-        append_table(clean, cfg.table("clickstream_clean"), batch_id)
-        append_table(dead_letter(dead), cfg.letters("clickstream"), batch_id)
+        clean, dead = clean_and_dead(parsed, catalogue)
+        append_table(clean, cfg.table("clickstream_clean"), load)
+        append_table(dead_letter(dead), cfg.letters("clickstream"), load)
 
 
-def run_clickstream(messages: DataFrame, catalogue: DataFrame, cfg: RetailConfig, batch_id: int = 0) -> DataFrame:
+def run_clickstream(messages: DataFrame, catalogue: DataFrame, cfg: RetailConfig, load: str | None = None) -> DataFrame:
     """Batch job; returns the clean events that are not errors.
 
-    ``batch_id`` numbers the load: a new number appends, a known one replaces its rows. Later steps
+    Every call appends. A ``load`` name makes a repeat of the same load replace its own rows. Later steps
     read the clean table back, so parsing and correction run once.
     """
-    store_clean(messages, catalogue, cfg, batch_id)
-    clean = messages.sparkSession.read.parquet(f"{cfg.table('clickstream_clean')}/batch_id={batch_id}")
-    append_table(sessionize(conform(clean, CLICKSTREAM), cfg.session_gap_ms), cfg.table("clickstream_sessions"), batch_id)
+    load = load or new_load()
+    store_clean(messages, catalogue, cfg, load)
+    clean = messages.sparkSession.read.parquet(f"{cfg.table('clickstream_clean')}/load={load}")
+    append_table(sessionize(conform(clean, CLICKSTREAM), cfg.session_gap_ms), cfg.table("clickstream_sessions"), load)
     without_errors = drop_error_events(clean)
     views = conform(page_views(with_event_time(without_errors), cfg.window_ms), PAGE_VIEW_AGG)
-    append_aggregate(views, cfg.table("aggregates"), "PageView", cfg.window_ms, batch_id)
+    append_aggregate(views, cfg.table("aggregates"), "PageView", cfg.window_ms, load)
     return without_errors
 
 
 def start_clickstream(messages: DataFrame, catalogue: DataFrame, cfg: RetailConfig, checkpoint: str, **trigger):
     """Streaming job, first part: keeps the raw, clean and dead-letter tables."""
-    small = is_small(catalogue)
 
-    def work(batch: DataFrame, batch_id: int) -> None:
-        store_clean(batch, catalogue, cfg, batch_id, small)
+    def work(batch: DataFrame, load: str) -> None:
+        store_clean(batch, catalogue, cfg, load)
 
     return start_batches(messages, work, f"{checkpoint}/clean", **trigger)
 
 
-def store_sessions(closed: DataFrame, cfg: RetailConfig, batch_id: int) -> None:
+def store_sessions(closed: DataFrame, cfg: RetailConfig, load: str) -> None:
     """Append the nested rows of sessions the stream has closed, with their events from the clean table."""
     spark = closed.sparkSession
     span = closed.agg(F.min("session_start").alias("lo"), F.max("session_end").alias("hi")).first()
@@ -84,7 +82,7 @@ def store_sessions(closed: DataFrame, cfg: RetailConfig, batch_id: int) -> None:
     clean = conform(spark.read.parquet(cfg.table("clickstream_clean")), CLICKSTREAM)
     near = clean.filter(F.col("timestamp").between(span.lo, span.hi))
     events = events_of_sessions(near, closed, cfg.session_gap_ms)
-    append_table(sessionize(events, cfg.session_gap_ms), cfg.table("clickstream_sessions"), batch_id)
+    append_table(sessionize(events, cfg.session_gap_ms), cfg.table("clickstream_sessions"), load)
 
 
 def start_clickstream_counts(spark: SparkSession, cfg: RetailConfig, checkpoint: str, **trigger):
@@ -96,7 +94,7 @@ def start_clickstream_counts(spark: SparkSession, cfg: RetailConfig, checkpoint:
     views = conform(page_views(drop_error_events(timed), cfg.window_ms), PAGE_VIEW_AGG)
     sessions = session_stream(timed, cfg.session_gap_ms)
     return (
-        start_batches(sessions, lambda batch, batch_id: store_sessions(batch, cfg, batch_id), f"{checkpoint}/sessions", **trigger),
+        start_batches(sessions, lambda batch, load: store_sessions(batch, cfg, load), f"{checkpoint}/sessions", **trigger),
         stream_append(
             views, aggregate_path(cfg.table("aggregates"), "PageView", cfg.window_ms), f"{checkpoint}/views", **trigger
         ),

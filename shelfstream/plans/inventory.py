@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from shelfstream.config import RetailConfig
 from shelfstream.operators.inventory import KEYS, inventory_batch
@@ -80,10 +79,9 @@ def start_inventory(events: DataFrame, cfg: RetailConfig, checkpoint: str, order
     order = list(order_cols)
 
     def writer(fmt, table):
-        def write(batch: DataFrame, batch_id: int) -> None:
-            # Micro-batches follow one another, so the batch id leads the order of the values.
-            values = fmt(batch, order).withColumn("batch", F.lit(batch_id).cast("bigint"))
-            upsert_latest(values, cfg.table(table), ["key"], ["batch", *order], batch_id)
+        def write(batch: DataFrame, load: str) -> None:
+            # Micro-batches follow one another, so the version leads the order of the values.
+            upsert_latest(fmt(batch, order), cfg.table(table), ["key"], ["version", *order], load)
 
         return write
 

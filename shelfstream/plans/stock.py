@@ -9,25 +9,26 @@ from shelfstream.operators.counts import with_event_time, with_fixed_window
 from shelfstream.operators.parse import good_rows, parse_errors, parse_json
 from shelfstream.schemas import STOCK
 from shelfstream.session import computed_once
-from shelfstream.sinks.append import append_table, archive_raw
+from shelfstream.sinks.append import append_table, archive_raw, new_load
 from shelfstream.sinks.dead_letter import dead_letter
 from shelfstream.streaming.runs import start_batches
 
 
-def store_stock(messages: DataFrame, cfg: RetailConfig, batch_id: int | None = None) -> None:
+def store_stock(messages: DataFrame, cfg: RetailConfig, load: str | None = None) -> None:
     """Archive the messages and append the stock events and the dead letters."""
-    archive_raw(messages, cfg.table("stock_raw"), batch_id, test_mode=cfg.test_mode)
+    archive_raw(messages, cfg.table("stock_raw"), load, test_mode=cfg.test_mode)
     with computed_once(parse_json(messages.select("value"), STOCK), "parsed") as parsed:
-        append_table(good_rows(parsed).select(*STOCK.names), cfg.table("stock_clean"), batch_id)
-        append_table(dead_letter(parse_errors(parsed)), cfg.letters("stock"), batch_id)
+        append_table(good_rows(parsed).select(*STOCK.names), cfg.table("stock_clean"), load)
+        append_table(dead_letter(parse_errors(parsed)), cfg.letters("stock"), load)
 
 
-def run_stock(messages: DataFrame, cfg: RetailConfig, batch_id: int = 0) -> DataFrame:
+def run_stock(messages: DataFrame, cfg: RetailConfig, load: str | None = None) -> DataFrame:
     """Batch job; returns the stock events with event time and fixed window."""
-    store_stock(messages, cfg, batch_id)
-    events = messages.sparkSession.read.parquet(f"{cfg.table('stock_clean')}/batch_id={batch_id}")
+    load = load or new_load()
+    store_stock(messages, cfg, load)
+    events = messages.sparkSession.read.parquet(f"{cfg.table('stock_clean')}/load={load}")
     return with_fixed_window(with_event_time(events), cfg.window_ms)
 
 
 def start_stock(messages: DataFrame, cfg: RetailConfig, checkpoint: str, **trigger):
-    return start_batches(messages, lambda batch, batch_id: store_stock(batch, cfg, batch_id), f"{checkpoint}/stock", **trigger)
+    return start_batches(messages, lambda batch, load: store_stock(batch, cfg, load), f"{checkpoint}/stock", **trigger)

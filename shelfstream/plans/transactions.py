@@ -12,7 +12,7 @@ from shelfstream.operators.enrich import enriched_rows, unknown_store_letters, e
 from shelfstream.operators.parse import good_rows, parse_errors, parse_json
 from shelfstream.schemas import TRANSACTION
 from shelfstream.session import computed_once
-from shelfstream.sinks.append import append_table, archive_raw
+from shelfstream.sinks.append import append_table, archive_raw, new_load
 from shelfstream.sinks.dead_letter import dead_letter
 from shelfstream.streaming.dimension import RefreshingDimension
 from shelfstream.streaming.runs import start_batches
@@ -32,19 +32,20 @@ def enriched_and_dead(joined: DataFrame) -> tuple[DataFrame, DataFrame]:
     return enriched_rows(good), unknown_store_letters(good).unionByName(parse_errors(joined))
 
 
-def store_transactions(messages: DataFrame, enrich: Enrich, cfg: RetailConfig, batch_id: int | None = None) -> None:
+def store_transactions(messages: DataFrame, enrich: Enrich, cfg: RetailConfig, load: str | None = None) -> None:
     """Archive the messages and append the enriched transactions and the dead letters."""
-    archive_raw(messages, cfg.table("transactions_raw"), batch_id, test_mode=cfg.test_mode)
+    archive_raw(messages, cfg.table("transactions_raw"), load, test_mode=cfg.test_mode)
     with computed_once(enrich(parsed(messages)), "parsed") as joined:
         enriched, dead = enriched_and_dead(joined)
-        append_table(enriched, cfg.table("transactions_clean"), batch_id)
-        append_table(dead_letter(dead), cfg.letters("transactions"), batch_id)
+        append_table(enriched, cfg.table("transactions_clean"), load)
+        append_table(dead_letter(dead), cfg.letters("transactions"), load)
 
 
-def run_transactions(messages: DataFrame, stores: DataFrame, cfg: RetailConfig, batch_id: int = 0) -> DataFrame:
+def run_transactions(messages: DataFrame, stores: DataFrame, cfg: RetailConfig, load: str | None = None) -> DataFrame:
     """Batch job; returns the enriched transactions with event time and fixed window."""
-    store_transactions(messages, lambda tx: enrich_with_store(tx, stores), cfg, batch_id)
-    enriched = messages.sparkSession.read.parquet(f"{cfg.table('transactions_clean')}/batch_id={batch_id}")
+    load = load or new_load()
+    store_transactions(messages, lambda tx: enrich_with_store(tx, stores), cfg, load)
+    enriched = messages.sparkSession.read.parquet(f"{cfg.table('transactions_clean')}/load={load}")
     return with_fixed_window(with_event_time(enriched), cfg.window_ms)
 
 
@@ -52,7 +53,7 @@ def start_transactions(messages: DataFrame, cfg: RetailConfig, checkpoint: str,
     """Streaming job; the store dimension is read again every ``refresh_seconds``."""
     dimension = RefreshingDimension(messages.sparkSession, cfg.table("store_locations"), cfg.refresh_seconds)
 
-    def work(batch: DataFrame, batch_id: int) -> None:
-        store_transactions(batch, dimension.enrich, cfg, batch_id)
+    def work(batch: DataFrame, load: str) -> None:
+        store_transactions(batch, dimension.enrich, cfg, load)
 
     return start_batches(messages, work, f"{checkpoint}/transactions", **trigger)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -11,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+SHARED_DIR = "spark.shelfstream.sharedDir"
+
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -47,13 +48,11 @@ def configure_streaming(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``, which every executor can reach.
 
-    Only a local-mode session may fall back to a temporary folder of this machine.
+    ``SHARED_DIR`` names another folder for sessions that were started without one.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(SHARED_DIR, None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="shelfstream-")
+        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 

@@ -1,19 +1,23 @@
-"""Append-only tables. A streaming batch writes its own folder, so running it again replaces it."""
+"""Append-only tables. Each load has a name and a folder of its own: a new name appends, a repeat replaces its own rows."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfstream.functions.scalars import duration_suffix
 
 
-def append_table(df: DataFrame, path: str, batch_id: int | None = None, partition_by: tuple[str, ...] = ()) -> None:
+def new_load() -> str:
+    """A name no other load has."""
+    return uuid.uuid4().hex
+
+
+def append_table(df: DataFrame, path: str, load: str | None = None, partition_by: tuple[str, ...] = ()) -> None:
     """Append to the table at ``path``, created if needed."""
-    if batch_id is None:
-        df.write.mode("append").partitionBy(*partition_by).parquet(path)
-    else:
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/batch_id={batch_id}")
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/load={load or new_load()}")
 
 
 def raw_rows(df: DataFrame, value_col: str = "value") -> DataFrame:
@@ -23,11 +27,11 @@ def raw_rows(df: DataFrame, value_col: str = "value") -> DataFrame:
 
 
 def archive_raw(
-    df: DataFrame, path: str, batch_id: int | None = None, value_col: str = "value", test_mode: bool = False
+    df: DataFrame, path: str, load: str | None = None, value_col: str = "value", test_mode: bool = False
 ) -> DataFrame:
     """Archive the raw messages by date and hand the input on; does nothing in test mode."""
     if not test_mode:
-        append_table(raw_rows(df, value_col), path, batch_id, ("date",))
+        append_table(raw_rows(df, value_col), path, load, ("date",))
     return df
 
 
@@ -36,18 +40,24 @@ def aggregate_path(base: str, name: str, duration_ms: int) -> str:
     return f"{base.rstrip('/')}/{name}_{duration_suffix(duration_ms)}"
 
 
-def append_aggregate(df: DataFrame, base: str, name: str, duration_ms: int, batch_id: int | None = None) -> str:
+def append_aggregate(df: DataFrame, base: str, name: str, duration_ms: int, load: str | None = None) -> str:
     path = aggregate_path(base, name, duration_ms)
-    append_table(df, path, batch_id)
+    append_table(df, path, load)
     return path
 
 
+def stream_load(checkpoint: str) -> str:
+    """The load name of a stream: the same for every restart on its checkpoint, another one on another checkpoint."""
+    return uuid.uuid5(uuid.NAMESPACE_URL, checkpoint).hex
+
+
 def stream_append(df: DataFrame, path: str, checkpoint: str, **trigger):
     """Start an append of a stream to the table at ``path``."""
     return (
         df.writeStream.outputMode("append")
         .format("parquet")
-        .option("path", path)
+        # A folder beside those of other loads; its own log of files stays below it.
+        .option("path", f"{path}/load={stream_load(checkpoint)}")
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()

@@ -6,6 +6,7 @@ success marker is what makes a version count.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -50,29 +51,33 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]
     return df.groupBy(*keys).agg(newest).select(*keys, *[F.col(f"newest.`{c}`").alias(c) for c in rest]).select(*df.columns)
 
 
-def _versions(spark: SparkSession, path: str, kind: str) -> list[int]:
-    """Complete versions of one kind, oldest first."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return []
-    names = [(status.getPath(), status.getPath().getName()) for status in fs.listStatus(root)]
-    return sorted(
-        int(name.split("=")[1])
-        for folder, name in names
-        if name.startswith(f"{kind}=") and fs.exists(jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS"))
-    )
+def _versions(spark: SparkSession, path: str) -> dict[int, tuple[str, str, str]]:
+    """{version: (kind, load, folder)} of the complete versions, from one listing."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, "*=*/_SUCCESS")
+    found = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(root)
+    versions = {}
+    for status in found or ():
+        folder = status.getPath().getParent()
+        kind, _, rest = folder.getName().partition("=")
+        number, _, load = rest.partition("@")
+        versions[int(number)] = (kind, load, folder.toString())
+    return versions
+
+
+def _remove(spark: SparkSession, folders: list[str]) -> None:
+    for folder in folders:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def read_latest(spark: SparkSession, path: str, keys: Sequence[str], order_cols: Sequence[str]) -> DataFrame | None:
+    """The newest row of every key in the serving table, with its ``version``; ``order_cols`` as they were written."""
+    return _merged(spark, _versions(spark, path), keys, order_cols)
 
 
-def read_latest(
-    spark: SparkSession, path: str, keys: Sequence[str], order_cols: Sequence[str], before: int | None = None
-) -> DataFrame | None:
-    """The newest row of every key in the serving table; with ``before`` only versions below that count."""
-    below = [v for v in _versions(spark, path, "full") if before is None or v < before]
-    base = below[-1] if below else -1
-    changes = [v for v in _versions(spark, path, "change") if v > base and (before is None or v < before)]
-    folders = [f"{path}/change={v}" for v in changes] + ([f"{path}/full={base}"] if below else [])
+def _merged(spark: SparkSession, versions: dict, keys: Sequence[str], order_cols: Sequence[str]) -> DataFrame | None:
+    base = max((v for v, (kind, *_) in versions.items() if kind == "full"), default=-1)
+    folders = [folder for v, (_, _, folder) in sorted(versions.items()) if v >= base]
     if not folders:
         return None
     rows = spark.read.parquet(*folders)
@@ -84,27 +89,34 @@ def upsert_latest(
     path: str,
     keys: Sequence[str],
     order_cols: Sequence[str],
-    version: int | None = None,
+    load: str | None = None,
     full_every: int = 20,
 ) -> int:
     """Merge the newest row per key into the serving table; returns the version written.
 
-    A version holds only the keys that changed, and every ``full_every`` versions all keys, so a
-    write costs about what changed and a read merges few folders. A streaming batch passes its id as
-    ``version``: run again, it starts from the same earlier versions and replaces its own.
-    ``order_cols`` are columns of ``df`` and stay in the table.
+    Versions count up by themselves, whoever writes. One holds only the keys that changed, and every ``full_every``-th all
+    keys, so a write costs about what changed and a read merges few folders. A ``load`` that is written again, as a repeated
+    micro-batch is, replaces its own version. Rows carry their ``version``, which ``order_cols`` may name: then later writes
+    win. Otherwise ``order_cols`` are columns of ``df``. Writers of one table take turns. A full version removes what lies
+    before the last full one, which readers that began earlier may still use.
     """
     spark = df.sparkSession
-    done = _versions(spark, path, "full") + _versions(spark, path, "change")
-    if version is None:
-        version = max(done, default=-1) + 1
-    newest = latest_per_key(df, keys, order_cols)
-    last_full = max((v for v in _versions(spark, path, "full") if v < version), default=None)
+    versions = _versions(spark, path)
+    load = load or uuid.uuid4().hex
+    version = next((v for v, (_, own, _) in versions.items() if own == load), max(versions, default=-1) + 1)
+    replaced = [folder for v, (_, _, folder) in versions.items() if v == version]
+    earlier = {v: x for v, x in versions.items() if v < version}
+    newest = latest_per_key(df.withColumn("version", F.lit(version).cast("bigint")), keys, order_cols)
+    last_full = max((v for v, (kind, *_) in earlier.items() if kind == "full"), default=None)
     if last_full is not None and version - last_full < full_every:
-        newest.write.mode("overwrite").parquet(f"{path}/change={version}")
+        newest.write.mode("overwrite").parquet(f"{path}/change={version}@{load}")
         return version
-    previous = read_latest(spark, path, keys, order_cols, version)
+    previous = _merged(spark, earlier, keys, order_cols)
     if previous is not None:
         newest = latest_per_key(previous.unionByName(newest), keys, order_cols)
-    newest.write.mode("overwrite").parquet(f"{path}/full={version}")
+    target = f"{path}/full={version}@{load}"
+    newest.write.mode("overwrite").parquet(target)
+    _remove(spark, [f for f in replaced if not f.endswith(target.rsplit("/", 1)[1])])
+    if last_full is not None:
+        _remove(spark, [folder for v, (_, _, folder) in earlier.items() if v < last_full])
     return version

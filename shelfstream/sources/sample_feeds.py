@@ -23,11 +23,10 @@ def batch_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The table as a stream; works for a single file and for a folder of part files."""
+    """The table as a stream, in no order; works for a single file and for a folder of part files."""
     schema = batch_table(spark, sf_dir, name).schema
-    # A glob keeps the file source from asking for a partition base folder. Bounded micro-batches keep
-    # the rows that one key brings to a stateful task bounded too.
-    return spark.readStream.schema(schema).option("maxBytesPerTrigger", 512 << 20).parquet(f"{sf_dir}/{name}.parque[t]")
+    # A glob keeps the file source from asking for a partition base folder.
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")
 
 
 def millis(ts: Column) -> Column:
@@ -83,7 +82,7 @@ def clickstream(spark: SparkSession, sf_dir: str, reader=batch_table) -> DataFra
     shown = F.when(F.col("event_id") % 89 == 0, F.expr("ts + interval 30 days")).otherwise(F.col("ts"))
     item = F.struct(
         F.when(F.col("event_id") % 5 != 0, F.concat(F.lit("N"), F.col("k"))).alias("item_name"),
-        F.col("k").cast("string").alias("item_id"),
+        F.when(F.col("event_id") % 13 == 0, F.concat(F.lit("X"), F.col("k"))).otherwise(F.col("k").cast("string")).alias("item_id"),
         F.col("value").cast("float").alias("price"),
         F.lit("B").alias("item_brand"),
         F.lit("cat").alias("item_category"),
@@ -146,7 +145,8 @@ def transactions(spark: SparkSession, sf_dir: str, reader=batch_table) -> DataFr
         F.col("o_custkey").cast("int").alias("uid"),
         F.concat_ws("-", F.lit("O"), "l_orderkey", "l_linenumber").alias("order_number"),
         F.col("o_custkey").cast("int").alias("user_id"),
-        F.col("l_suppkey").cast("int").alias("store_id"),
+        # Some sales name a store that no table knows.
+        F.expr("l_suppkey + if(l_orderkey % 11 = 0, 1000000, 0)").cast("int").alias("store_id"),
         _line_time().alias("time_of_sale"),
         F.col("l_linenumber").cast("int").alias("department_id"),
         _product().cast("int").alias("product_id"),
@@ -182,11 +182,10 @@ def as_json(df: DataFrame) -> DataFrame:
 
 
 def stores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Store dimension as it lies in the warehouse, without coordinates: the suppliers of some balance, so some stores are unknown."""
+    """Store dimension as it lies in the warehouse, without coordinates: the suppliers."""
     nation, region = (batch_table(spark, sf_dir, t) for t in ("nation", "region"))
     return (
         batch_table(spark, sf_dir, "supplier")
-        .filter("s_acctbal >= 1000")
         .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
         .select(
@@ -199,10 +198,9 @@ def stores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Item texts by id: the parts that are not oversized, so some items are unknown."""
+    """Item texts by id: the parts."""
     return (
         batch_table(spark, sf_dir, "part")
-        .filter("p_size <= 45")
         .select(
             F.col("p_partkey").cast("string").alias("item_id"),
             F.col("p_name").alias("item_name"),

@@ -8,7 +8,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfstream.operators.enrich import store_dimension, enrich_with_store
-from shelfstream.operators.sizes import is_small
 
 
 class RefreshingDimension:
@@ -21,15 +20,13 @@ class RefreshingDimension:
         self._spark, self._path, self._ttl, self._clock = spark, path, ttl_seconds, clock
         self._read_at: float | None = None
         self._frame: DataFrame | None = None
-        self._small = False
 
     def current(self) -> DataFrame:
         now = self._clock()
         if self._frame is None or now - self._read_at >= self._ttl:
             self._frame = store_dimension(self._spark.read.parquet(self._path))
-            self._small = is_small(self._frame)
             self._read_at = now
         return self._frame
 
     def enrich(self, batch: DataFrame, on_missing: str = "null") -> DataFrame:
-        return enrich_with_store(batch, self.current(), on_missing, self._small)
+        return enrich_with_store(batch, self.current(), on_missing)

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from shelfstream.session import configure_streaming, shared_dir
+from shelfstream.sinks.append import stream_load
 
 
 def run_to_table(df: DataFrame, path: str | None = None, checkpoint: str | None = None) -> DataFrame:
@@ -26,12 +28,51 @@ def run_to_table(df: DataFrame, path: str | None = None, checkpoint: str | None
     return spark.read.schema(df.schema).parquet(path)
 
 
-def start_batches(df: DataFrame, work: Callable[[DataFrame, int], None], checkpoint: str, **trigger):
-    """Run ``work(batch, batch_id)`` on every micro-batch of the stream."""
+def start_batches(df: DataFrame, work: Callable[[DataFrame, str], None], checkpoint: str, **trigger):
+    """Run ``work(batch, load)`` on every micro-batch; ``load`` names the batch of this checkpoint, so a repeat has the same name."""
     configure_streaming(df.sparkSession)
+    stream = stream_load(checkpoint)
     return (
-        df.writeStream.foreachBatch(work)
+        df.writeStream.foreachBatch(lambda batch, batch_id: work(batch, f"{stream}-{batch_id}"))
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
+
+
+def replay(
+    df: DataFrame,
+    time_col: str,
+    run: Callable[[DataFrame, str], None],
+    slices: int = 4,
+    closing: dict[str, Column] | None = None,
+) -> None:
+    """Feed a table to a stream in time order: one slice of ``time_col`` after another lands in a folder, and ``run(stream,
+    checkpoint)`` works off what is new, as a job does that starts with each delivery.
+
+    A slice is one micro-batch, and no later slice holds an earlier time. ``closing`` gives the columns of a last row of its own
+    micro-batch, e.g. a heartbeat beyond all windows that lets the watermark close them; its other columns are null.
+    """
+    spark = df.sparkSession
+    folder, checkpoint = shared_dir(spark, "feed"), shared_dir(spark, "progress")
+    bounds = sorted(set(df.approxQuantile(time_col, [i / slices for i in range(1, slices)], 0.01)))
+    cut = sum((F.when(F.col(time_col) >= b, 1).otherwise(0) for b in bounds), F.lit(0))
+    deliveries = [df.where(cut == i) for i in range(len(bounds) + 1)]
+    if closing:
+        last = [closing.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in df.schema]
+        deliveries.append(spark.range(1).select(*last))
+    for delivery in deliveries:
+        delivery.write.mode("append").parquet(folder)
+        run(spark.readStream.schema(df.schema).parquet(folder), checkpoint)
+
+
+def replay_to_table(df: DataFrame, time_col: str, plan: Callable[[DataFrame], DataFrame], slices: int = 4, closing=None) -> DataFrame:
+    """What ``plan`` makes of the table replayed as a stream, as a table."""
+    configure_streaming(df.sparkSession)
+    path, out = shared_dir(df.sparkSession, "table"), []
+
+    def run(stream: DataFrame, checkpoint: str) -> None:
+        out[:] = [run_to_table(plan(stream), path, checkpoint)]
+
+    replay(df, time_col, run, slices, closing)
+    return out[0]

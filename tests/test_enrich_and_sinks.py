@@ -23,12 +23,12 @@ def test_unknown_stores_become_letters(spark):
     joined = enrich.enrich_with_store(sales, stores(spark))
     assert [r.storeLocation.city for r in enrich.enriched_rows(joined).collect()] == ["Irving"]
     letters = enrich.unknown_store_letters(joined).collect()
-    assert sorted(r.error for r in letters) == [" No Store found for id 7", " No Store found for id null"]
+    assert sorted(r.error for r in letters) == ["unknown store 7", "unknown store null"]
 
 
 def test_unknown_store_can_fail_the_job(spark):
     sales = spark.createDataFrame([(7, 6, 2.0)], SALES)
-    with pytest.raises(Exception, match="No Store found for id 7"):
+    with pytest.raises(Exception, match="unknown store 7"):
         enrich.enrich_with_store(sales, stores(spark), on_missing="fail").collect()
     with pytest.raises(ValueError):
         enrich.enrich_with_store(sales, stores(spark), on_missing="skip")
@@ -67,9 +67,9 @@ def test_page_view_cells(spark):
 def test_serving_table_versions(spark, tmp_path):
     path = str(tmp_path / "serving")
 
-    def put(rows, version=None):
+    def put(rows, load=None):
         df = spark.createDataFrame(rows, "key string, value string, seq long")
-        return serving.upsert_latest(df, path, ["key"], ["seq"], version, full_every=2)
+        return serving.upsert_latest(df, path, ["key"], ["seq"], load, full_every=2)
 
     def now():
         return sorted((r.key, r.value) for r in serving.read_latest(spark, path, ["key"], ["seq"]).collect())
@@ -80,18 +80,21 @@ def test_serving_table_versions(spark, tmp_path):
     assert put([("a", "3", 3), ("c", "1", 3)]) == 1
     assert now() == [("a", "3"), ("b", "1"), ("c", "1")]
     assert put([("b", "4", 4)]) == 2
-    assert put([("b", "0", 0)]) == 3
+    assert put([("b", "0", 0)], "again") == 3
     assert now() == [("a", "3"), ("b", "4"), ("c", "1")]
-    put([("b", "9", 9)], version=3)
+    assert put([("b", "9", 9)], "again") == 3
     assert now() == [("a", "3"), ("b", "9"), ("c", "1")]
+    assert [put([("c", str(i), 10 + i)]) for i in range(3)] == [4, 5, 6]
+    assert now() == [("a", "3"), ("b", "9"), ("c", "2")]
+    assert sorted(f.name.split("@")[0] for f in (tmp_path / "serving").glob("*=*")) == ["change=5", "full=4", "full=6"]
 
 
 def test_streaming_appends_can_be_repeated(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.range(3)
     for _ in range(2):
-        append.append_table(df, path, batch_id=0)
-    append.append_table(df, path, batch_id=1)
+        append.append_table(df, path, "one")
+    append.append_table(df, path, "two")
     assert spark.read.parquet(path).count() == 6
     other = str(tmp_path / "u")
     append.append_table(df, other)
@@ -103,7 +106,7 @@ def test_raw_archive(spark, tmp_path):
     df = spark.createDataFrame([("{}",), (None,)], "value string")
     assert append.archive_raw(df, str(tmp_path / "raw")) is df
     got = spark.read.parquet(str(tmp_path / "raw"))
-    assert sorted(got.columns) == ["date", "json", "processed_timestamp"] and got.count() == 2
+    assert sorted(got.columns) == ["date", "json", "load", "processed_timestamp"] and got.count() == 2
     append.archive_raw(df, str(tmp_path / "none"), test_mode=True)
     assert not (tmp_path / "none").exists()
 
