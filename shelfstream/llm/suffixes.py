@@ -17,6 +17,7 @@ table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -124,6 +125,17 @@ def _tally(keys: np.ndarray, contents: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return keys[at], contents[at], np.diff(at, append=len(keys)), first[at]
 
 
+def _answers(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys, contents and bits (a row of bytes each) of the answers of a range, by rising content."""
+    keys = table.column("key").to_numpy().astype(np.int64).view(np.uint64)
+    contents = table.column("content").to_numpy().astype(np.int64).view(np.uint64)
+    packed = table.column("bits").to_pylist()
+    wide = max(map(len, packed), default=1)
+    bits = np.frombuffer(b"".join(b.ljust(wide, b"\0") for b in packed), np.uint8).reshape(len(packed), wide)
+    order = np.argsort(contents, kind="stable")
+    return keys[order], contents[order], bits[order]
+
+
 def _ordered(table: pa.Table) -> pa.Table:
     return table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
 
@@ -225,9 +237,16 @@ def _search(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Recor
             own = distinct.setdefault((key, content), [text, 0, []])
             own[1] += n
             own[2].append(part)
-        texted = {k: v for k, v in distinct.items() if v[0] is not None}
-        hits = dict(zip(texted, repeated_strings([v[0] for v in texted.values()], [v[1] for v in texted.values()], length))) if texted else {}
-        hits |= {k: np.array([v[1] >= 2]) for k, v in distinct.items() if v[0] is None}
+        # A context that is the only one of its anchor has no other to share strings with, unless it holds one twice itself.
+        alone = Counter(key for key, _ in distinct)
+        texted, hits = {}, {}
+        for k, v in distinct.items():
+            if v[0] is None or alone[k[0]] == 1 and v[1] >= 2:
+                hits[k] = np.full(1 if v[0] is None else len(v[0]) - length + 1, v[1] >= 2)
+            else:
+                texted[k] = v
+        if texted:
+            hits |= zip(texted, repeated_strings([v[0] for v in texted.values()], [v[1] for v in texted.values()], length))
         rows = [(part, *k, np.packbits(hits[k]).tobytes()) for k, v in distinct.items() if hits[k].any() for part in v[2]]
         if rows:
             kinds = (pa.int32(), pa.int64(), pa.int64(), pa.binary())
@@ -329,23 +348,21 @@ def dedup_bytes(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, par
     def cut(table: pa.Table, answers: pa.Table) -> pa.Table:
         table = _ordered(table)
         texts = _texts(table)
-        keys = np.array(answers.column("key").to_pylist(), np.int64).view(np.uint64)
-        contents = np.array(answers.column("content").to_pylist(), np.int64).view(np.uint64)
-        bits = dict(zip(zip(keys.tolist(), contents.tolist()), answers.column("bits").to_pylist()))
+        keys, contents, bits = _answers(answers)
         spans, kept = [], []
         for begin, c in _sliced(texts, length, anchor):
             edges = np.zeros(len(c.data) + length + 1, np.int32)
-            for i in np.flatnonzero(np.isin(c.anchors, keys)).tolist():
-                packed = bits.get((int(c.anchors[i]), int(c.contents[i])))
-                if packed is not None:
-                    at = int(c.starts[i]) + np.flatnonzero(np.unpackbits(np.frombuffer(packed, np.uint8), count=int(c.sizes[i])))
-                    edges[at] += 1
-                    edges[at + length] -= 1
+            row = np.minimum(np.searchsorted(contents, c.contents), max(0, len(contents) - 1))
+            known = np.flatnonzero((contents[row] == c.contents) & (keys[row] == c.anchors)) if len(contents) else row[:0]
+            which, within = np.nonzero(np.unpackbits(bits[row[known]], axis=1))
+            at = c.starts[known][which] + within
+            np.add.at(edges, at, 1)
+            np.add.at(edges, at + length, -1)
             crowded = np.flatnonzero(np.isin(c.anchors, keys[contents == 0]))
             places, owners = c.strings(crowded)
             single = np.isin(c.single_keys(places, owners)[0], keys) if len(places) else np.zeros(0, bool)
-            edges[places[single]] += 1
-            edges[places[single] + length] -= 1
+            np.add.at(edges, places[single], 1)
+            np.add.at(edges, places[single] + length, -1)
             mask = np.cumsum(edges)[: len(c.data)] > 0
             at = 0
             for text in texts[begin : begin + c.count]:
