@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 # The time range a warehouse timestamp can hold.
 MAX_DATE = "9999-12-31 00:00:00"
 MIN_DATE = "0001-01-01 00:00:00"
+# Fixed value: data, error, time and transform of a log line.
+LINE_FORMAT = "%s failed with %s at %s in %s"
 
 
 def dead_letter(letters: DataFrame) -> DataFrame:
@@ -27,5 +29,5 @@ def dead_letter_lines(letters: DataFrame) -> DataFrame:
     # date_format writes in the session time zone, so shift the instant to show UTC.
     utc = F.to_utc_timestamp("timestamp", F.current_timezone())
     at = F.coalesce(F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"), F.lit("null"))
-    line = F.format_string("%s failed with %s at %s in %s", text("data"), text("error"), at, text("transform"))
+    line = F.format_string(LINE_FORMAT, text("data"), text("error"), at, text("transform"))
     return letters.select(line.alias("line"))

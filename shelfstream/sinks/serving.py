@@ -15,6 +15,11 @@ from pyspark.sql import functions as F
 from shelfstream.functions.scalars import event_key, long_bytes
 
 
+# Prefixes and formats of the served keys and values, and the cells of a page-view row.
+SIGNAL_FORMAT = "Signal{type='%s', window='%s', count=%d}"
+CELL_FAMILY, PAGE_CELL, COUNT_CELL = "pageViewAgg", "pageViewRef", "pageViewCount"
+
+
 def serving_key(prefix: str) -> Column:
     """``prefix:store:product``; every dash inside the ids becomes a colon too."""
     key = event_key(F.col("store_id"), F.col("product_id"))
@@ -26,7 +31,7 @@ def format_stock_kv(inventory: DataFrame, keep: Sequence[str] = ()) -> DataFrame
 
 
 def format_signal_kv(signals: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    value = F.format_string("Signal{type='%s', window='%s', count=%d}", "type", "window", "count")
+    value = F.format_string(SIGNAL_FORMAT, "type", "window", "count")
     return signals.select(serving_key("signal").alias("key"), value.alias("value"), *keep)
 
 
@@ -34,12 +39,12 @@ def page_view_cells(views: DataFrame) -> DataFrame:
     """Page-view counts as cells of a wide row: ``row_key, family, qualifier, value`` (bytes)."""
     page = F.coalesce("page", F.lit(""))
     cells = F.array(
-        F.struct(F.lit("pageViewRef").alias("qualifier"), F.encode(page, "UTF-8").alias("value")),
-        F.struct(F.lit("pageViewCount").alias("qualifier"), long_bytes(F.coalesce("count", F.lit(0))).alias("value")),
+        F.struct(F.lit(PAGE_CELL).alias("qualifier"), F.encode(page, "UTF-8").alias("value")),
+        F.struct(F.lit(COUNT_CELL).alias("qualifier"), long_bytes(F.coalesce("count", F.lit(0))).alias("value")),
     )
     # A null page reads "null" in the row key, while its cell is empty.
     row_key = F.concat_ws("-", F.coalesce("page", F.lit("null")), F.coalesce(F.col("startTime").cast("string"), F.lit("null")))
-    return views.select(row_key.alias("row_key"), F.lit("pageViewAgg").alias("family"), F.explode(cells).alias("cell")).select(
+    return views.select(row_key.alias("row_key"), F.lit(CELL_FAMILY).alias("family"), F.explode(cells).alias("cell")).select(
         "row_key", "family", "cell.qualifier", "cell.value"
     )
 
