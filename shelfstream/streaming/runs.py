@@ -55,7 +55,7 @@ def replay(
     """
     spark = df.sparkSession
     folder, checkpoint = shared_dir(spark, "feed"), shared_dir(spark, "progress")
-    bounds = sorted(set(df.approxQuantile(time_col, [i / slices for i in range(1, slices)], 0.01)))
+    bounds = sorted(set(df.approxQuantile(time_col, [i / slices for i in range(1, slices)], 0.01))) if slices > 1 else []
     cut = sum((F.when(F.col(time_col) >= b, 1).otherwise(0) for b in bounds), F.lit(0))
     deliveries = [df.where(cut == i) for i in range(len(bounds) + 1)]
     if closing:

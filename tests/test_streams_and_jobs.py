@@ -193,7 +193,7 @@ def test_stock_job(spark, tmp_path):
     assert spark.read.parquet(cfg.letters("stock")).count() == 1
 
 
-@pytest.mark.parametrize("slices", [1, 4, 16])
+@pytest.mark.parametrize("slices", [1, 9])
 def test_replayed_streams_equal_batch_for_any_number_of_micro_batches(spark, slices):
     rows = random_rows(400, 5, 4000, reset_share=0.03)
     table = spark.createDataFrame(rows, SCHEMA)
