@@ -161,8 +161,13 @@ def near_duplicates(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each group of near duplicates: the first by doc_id, then by hash of the text; ids before null."""
+    return first_of_groups(docs, near_duplicates(docs))
+
+
+def first_of_groups(docs: DataFrame, grouped: DataFrame) -> DataFrame:
+    """The first row of each component of ``grouped`` (doc_id, mark, component of every row of ``docs``)."""
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "mark")
-    first = near_duplicates(docs).groupBy("component").agg(F.min(order).alias("low"))
+    first = grouped.groupBy("component").agg(F.min(order).alias("low"))
     first = first.select(F.col("low.doc_id").alias("kept_id"), F.col("low.mark").alias("kept_mark"))
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
     rows = rows.withColumn("own_id", F.col("row.doc_id").cast("long")).withColumn("own_mark", _mark("row.text"))

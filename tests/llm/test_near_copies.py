@@ -1,0 +1,53 @@
+"""Near copies against the Jaccard similarity of all pairs."""
+
+import random
+
+import pytest
+
+from shelfstream.llm import near_copies, simhash
+
+
+def _rows():
+    rng = random.Random(8)
+    rows = []
+    for group in range(12):
+        words = [f"w{rng.randrange(5000)}" for _ in range(300)]
+        for copy in range(4):
+            own = list(words)
+            for _ in range(copy * 5):
+                own[rng.randrange(300)] = f"x{rng.randrange(5000)}"
+            rows.append((group * 10 + copy, " ".join(own)))
+    # Half of the text in common is no near copy.
+    rows += [(900 + i, " ".join(f"c{j}" for j in range(150)) + " " + " ".join(f"d{i}-{j}" for j in range(100))) for i in range(60)]
+    return [*rows, (None, rows[0][1]), (None, ""), (5000, ""), (5001, "one two"), (5002, "One  two"), (5003, None)]
+
+
+def _kept(rows):
+    """Ids of the first row of each group that all pairs at 0.8 join."""
+    sets = [set(simhash.shingle_hashes(t or "", 5)) for _, t in rows]
+    names = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            union = len(sets[i] | sets[j])
+            if names[i] != names[j] and (not union or len(sets[i] & sets[j]) >= 0.8 * union):
+                names = [names[j] if n == names[i] else n for n in names]
+    return sorted(min(r[0] for r, n in zip(rows, names) if n == name and r[0] is not None) for name in set(names))
+
+
+@pytest.mark.parametrize("crowd", [1, 32])
+def test_near_copies_join_what_all_pairs_would(spark, crowd):
+    rows = _rows()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = near_copies.near_copies(docs, crowd=crowd).groupBy("component").agg({"doc_id": "min"})
+    assert sorted(r[1] for r in found.collect()) == _kept(rows)
+    assert sorted(r.doc_id for r in near_copies.one_of_each(docs).collect()) == _kept(rows)
+    assert near_copies.one_of_each(docs.where("false")).count() == 0
+
+
+def test_pipeline_drops_near_copies_whose_fingerprints_differ(spark):
+    import corpus_pipeline
+
+    rows = _rows()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()) == _kept(rows)
+    assert len(simhash.one_of_each(docs).collect()) > len(_kept(rows))
