@@ -277,3 +277,27 @@ def test_empty_tables(spark):
         packing.pack(packing.tokenized_pieces(none, TOKENIZER)),
     ):
         assert frame.count() == 0
+
+
+def test_trained_trees_add_wider_forms_and_extensions(spark):
+    """Spelled-out addresses, phones without a plus and bare keys; no token is assigned to a name in the second half."""
+    rng = random.Random(6)
+    digits = lambda n: "".join(rng.choices("0123456789", k=n))
+    said = []
+    for i in range(300):
+        phone = f"{rng.randint(1, 9)} ({digits(3)}) {digits(3)}-{digits(4)}"
+        key = f'token = "{rng.randbytes(16).hex()}"' if i < 150 else "none"
+        host = rng.choice(["mail.org", "b.net", "mail.example.org", "news.site.co.uk"])
+        said.append(f"so {rng.choice(['jo', 'ann.lee', 'x'])}{i if i % 2 else ''}@{host} or +{phone} with {key} in file-{digits(2)}-of-{digits(4)}-parts and {digits(8)} then 20{digits(2)}-01-{digits(2)}")
+    wide = "so jane (at) mail (dot) org then"
+    said += [wide, "so 1 (988) 555-2485 then", f"so {rng.randbytes(16).hex()} then", "so jane@mail.example (dot) org then", "so 20240117 then file-12-of-1234-parts"]
+    docs = table(spark, said)
+    for first in (0, 150):
+        part = docs.where(f"doc_id >= {first}")
+        trees = pii.train(part)
+        got = {r.doc_id: r.spans for r in pii.find(part, trees).where("row.doc_id >= 300").select("row.doc_id", pii.listed("spans").alias("spans")).collect()}
+        assert got[300] == "email:3:27" and got[301] == "phone:3:19"
+        assert got[302] == ("secret:3:35" if first == 0 else "")
+        assert got[303] == "email:3:20,email:3:30" and got[304] == ""
+        clean = {r.doc_id: r.text for r in pii.redact(part, trees).where("doc_id >= 300").collect()}
+        assert clean[300] == "so [EMAIL] then" and clean[303] == "so [EMAIL] then"
