@@ -1,6 +1,6 @@
 """Substring dedup: Rabin-Karp hashes of every window of words, counted over the whole corpus.
 
-The corpus is dealt into ranges of doc_id (``ranges.in_ranges``). Each range sends the distinct hashes of its windows, sorted
+The corpus is dealt into ranges of doc_id (``ranges.in_split_ranges``; rows of a heavy id, or of none, are spread over parts of one range). Each range sends the distinct hashes of its windows, sorted
 and cut by hash into buckets; a bucket meets in one task, which finds for every hash the ranges that an earlier range also
 has, and answers with one bit per hash. A range then knows of each of its windows whether a smaller doc_id has it, in an
 earlier range or in the same one, and merges the windows to remove into maximal intervals.
@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from .common import partitions
-from .ranges import in_ranges
+from .ranges import in_split_ranges
 from .rolling import window_hashes, word_hashes
 
 WINDOW = 50
@@ -79,9 +79,9 @@ def _intervals(mask: np.ndarray) -> list[tuple[int, int]]:
 def dedup_substrings(docs: DataFrame, width: int = WINDOW, part_bytes: int = PART_BYTES) -> DataFrame:
     """Per document its words, the maximal intervals of removed words, and the hash of what is kept."""
     n = partitions(docs.sparkSession)
-    rows, parts = in_ranges(docs, part_bytes)
+    rows, starts = in_split_ranges(docs, part_bytes)
     by_part = rows.repartition(n, "part")
-    buckets = parts
+    buckets = len(starts)
 
     def send(table: pa.Table) -> pa.Table:
         part = _Part(table, width)
@@ -101,9 +101,12 @@ def dedup_substrings(docs: DataFrame, width: int = WINDOW, part_bytes: int = PAR
         lists = [_unpack(x) for x in table.column("hashes").to_pylist()]
         hashes = np.concatenate(lists)
         order = np.argsort(hashes, kind="stable")  # of equal hashes, the earliest part comes first
-        ordered = hashes[order]
+        new = np.diff(hashes[order], prepend=~hashes[order[:1]]) != 0
+        # Parts of one range do not cut each other: it then is of one id.
+        ranges = np.searchsorted(starts, table.column("part").to_numpy(), "right")
+        ranges = np.repeat(ranges, [len(x) for x in lists])[order]
         earlier = np.zeros(len(hashes), bool)
-        earlier[order[1:]] = ordered[1:] == ordered[:-1]
+        earlier[order] = ranges > ranges[np.flatnonzero(new)][np.cumsum(new) - 1]
         bits = [np.packbits(x).tobytes() for x in np.split(earlier, np.cumsum([len(x) for x in lists])[:-1])]
         return pa.table({"bucket": table.column("bucket"), "part": table.column("part"), "bits": pa.array(bits, pa.binary())})
 

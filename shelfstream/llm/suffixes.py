@@ -1,7 +1,7 @@
 """Suffix-array dedup: every byte covered by a string of ``length`` bytes that also starts elsewhere goes.
 
 Strings meet by content. Each string of ``length`` bytes has an anchor, its piece of ``ANCHOR`` bytes with the smallest hash; equal
-strings have equal anchors. Neighbouring strings with one anchor form a context of less than twice the length. Ranges of documents
+strings have equal anchors. Neighbouring strings with one anchor form a context of less than twice the length. Parts of the documents, dealt by place,
 first count their anchors in hash buckets; contexts whose anchor occurs once in the corpus stay behind. The others meet by
 anchor, whole anchors at a time, as one text of about ``BATCH_BYTES``, whose Burrows-Wheeler transform is searched: breadth-first
 backward extension finds the common prefixes of neighbouring suffixes by increasing value and stops at ``length``. Suffixes
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import partitions
-from .ranges import in_ranges
+from .ranges import dealt
 from .rolling import BASE, INVERSE, mixed, powers
 from .substring import _intervals, _pack, _unpack
 
@@ -268,7 +268,7 @@ def _search(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Recor
 def dedup_bytes(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, part_bytes: int = PART_BYTES, crowd: int = CROWD) -> DataFrame:
     """Per document its bytes, the maximal removed runs, and the hash of the bytes that stay."""
     n_tasks = partitions(docs.sparkSession)
-    rows, parts = in_ranges(docs, part_bytes)
+    rows, parts = dealt(docs, part_bytes)
     by_part = rows.repartition(n_tasks, "part")
     bounds = np.array([(i << 64) // parts for i in range(1, parts)], np.uint64)
 
