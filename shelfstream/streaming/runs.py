@@ -6,11 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfstream.session import configure_streaming, shared_dir
 from shelfstream.sinks.append import stream_load
 
 
+#: Rows of a micro-batch that a replayed table is cut into; a key's rows of one are a frame in one worker.
+SLICE_ROWS = 1_000_000
+
+
 def run_to_table(df: DataFrame, path: str | None = None, checkpoint: str | None = None) -> DataFrame:
     """Append everything the stream has now to a parquet table and return that table."""
     spark = df.sparkSession
@@ -44,7 +49,7 @@ def replay(
     df: DataFrame,
     time_col: str,
     run: Callable[[DataFrame, str], None],
-    slices: int = 4,
+    slices: int | None = None,
     closing: dict[str, Column] | None = None,
 ) -> None:
     """Feed a table to a stream in time order: one slice of ``time_col`` after another lands in a folder, and ``run(stream,
@@ -52,12 +57,19 @@ def replay(
 
     A slice is one micro-batch, and no later slice holds an earlier time. ``closing`` gives the columns of a last row of its own
     micro-batch, e.g. a heartbeat beyond all windows that lets the watermark close them; its other columns are null.
+    Without ``slices`` there are 4, or more so that each has about ``SLICE_ROWS`` rows at most; rows of one time stay together.
     """
     spark = df.sparkSession
+    if slices is None:
+        slices = max(4, -(-df.count() // SLICE_ROWS))
     folder, checkpoint = shared_dir(spark, "feed"), shared_dir(spark, "progress")
-    bounds = sorted(set(df.approxQuantile(time_col, [i / slices for i in range(1, slices)], 0.01))) if slices > 1 else []
+    bounds = sorted(set(df.approxQuantile(time_col, [i / slices for i in range(1, slices)], min(0.01, 1 / (4 * slices))))) if slices > 1 else []
     cut = sum((F.when(F.col(time_col) >= b, 1).otherwise(0) for b in bounds), F.lit(0))
-    deliveries = [df.where(cut == i) for i in range(len(bounds) + 1)]
+    # Written once by slice, so that a delivery reads its own rows only.
+    cuts = shared_dir(spark, "slices")
+    df.withColumn("slice_no", cut).write.partitionBy("slice_no").parquet(cuts)
+    sliced = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("slice_no", T.IntegerType())])).parquet(cuts)
+    deliveries = [sliced.where(F.col("slice_no") == i).drop("slice_no") for i in range(len(bounds) + 1)]
     if closing:
         last = [closing.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in df.schema]
         deliveries.append(spark.range(1).select(*last))
@@ -66,7 +78,7 @@ def replay(
         run(spark.readStream.schema(df.schema).parquet(folder), checkpoint)
 
 
-def replay_to_table(df: DataFrame, time_col: str, plan: Callable[[DataFrame], DataFrame], slices: int = 4, closing=None) -> DataFrame:
+def replay_to_table(df: DataFrame, time_col: str, plan: Callable[[DataFrame], DataFrame], slices: int | None = None, closing=None) -> DataFrame:
     """What ``plan`` makes of the table replayed as a stream, as a table."""
     configure_streaming(df.sparkSession)
     path, out = shared_dir(df.sparkSession, "table"), []

@@ -239,3 +239,13 @@ def test_processors_travel_without_the_package():
     data = cloudpickle.dumps(VelocityProcessor(100, ["seq"], ["seq"]))
     code = "import sys, pickle; pickle.loads(sys.stdin.buffer.read()); assert 'shelfstream' not in sys.modules"
     subprocess.run([sys.executable, "-c", code], input=data, cwd="/", check=True, env={"PATH": "/usr/bin:/bin", "PYTHONPATH": ":".join(p for p in sys.path if "pyspark" in p or "site-packages" in p)})
+
+
+def test_slices_of_a_replay_follow_its_rows(spark, monkeypatch):
+    from shelfstream.streaming import runs
+
+    monkeypatch.setattr(runs, "SLICE_ROWS", 20)
+    table = spark.range(200).select(F.col("id").alias("seq"), F.lit("hot").alias("key"))
+    sizes, work = [], lambda batch, load: sizes.append(batch.count())
+    runs.replay(table, "seq", lambda stream, checkpoint: runs.start_batches(stream, work, checkpoint).awaitTermination())
+    assert sum(sizes) == 200 and max(sizes) <= 40
