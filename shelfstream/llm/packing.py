@@ -193,6 +193,6 @@ def pack(pieces: DataFrame, sequence_length: int = 4096, group_pieces: int = GRO
         rows["offset"] = pd.Series(offsets, dtype="int64")
         return rows.drop(columns="packing_group")
 
-    # A hash of its own: the shuffle deals groups by another.
-    dealt = pieces.withColumn("packing_group", F.pmod(F.xxhash64(F.lit(7), "doc_id", "piece"), F.lit(groups)))
+    # By place in the settled frame, as ids can repeat or lack; a hash of its own, since the shuffle deals groups by another.
+    dealt = pieces.withColumn("packing_group", F.pmod(F.xxhash64(F.lit(7), F.monotonically_increasing_id()), F.lit(groups)))
     return dealt.groupBy("packing_group").applyInPandas(run, schema)
