@@ -26,6 +26,8 @@ GROUP_PIECES = 16_384
 #: Bytes of words and ids that a task remembers; beyond it the memory starts anew.
 MEMORY_BYTES = 400 << 20
 
+_MARKED = re.compile(rb"[A-Z][\x80-\xff]")
+
 
 class WordIds:
     """Token ids of texts by a tokenizer that never merges across ASCII white space, remembered word by word.
@@ -48,9 +50,12 @@ class WordIds:
     def _words(self, text: str) -> list[bytes]:
         raw = text.encode()
         # Folding could make or break a special token, so texts that hold its start stay as they are.
-        if self.folds and not any(s[:2] in raw for s in self.specials):
-            raw = raw.lower()
-        return raw.split()
+        if not self.folds or any(s[:2] in raw for s in self.specials):
+            return raw.split()
+        # The tokenizer composes characters before it folds: a capital before a combining mark is not folded here.
+        if _MARKED.search(raw):
+            return [w.lower() if w.isascii() else w for w in raw.split()]
+        return raw.lower().split()
 
     def _learn(self, words: list[bytes]) -> None:
         if self.folds:

@@ -5,9 +5,19 @@ from pyspark.sql import functions as F
 
 from shelfstream.llm import packing
 
+TOKENIZER = pytest.importorskip("public_tokenizers").path("word_bpe_49k.json")
+
 
 @pytest.mark.parametrize("doc_id", [None, 5])
 def test_packing_groups_are_bounded_for_one_id(spark, doc_id):
     pieces = spark.range(600).select(F.lit(doc_id).cast("long").alias("doc_id"), F.lit(0).alias("piece"), F.lit(0).cast("long").alias("start"), F.lit(1000).cast("long").alias("length"))
     sizes = packing.pack(pieces, 4096, 50).groupBy(F.col("sequence_id").bitwiseAND(-1 << 32)).count().collect()
     assert sum(r[1] for r in sizes) == 600 and max(r[1] for r in sizes) < 100
+
+
+@pytest.mark.parametrize("text", ["T\u0308a", "H\u0331 Plain", "J\u030c.", "W\u030a É Élan"])
+def test_capitals_with_combining_marks_keep_the_tokenizers_ids(text):
+    import numpy as np
+
+    ids = packing.WordIds(TOKENIZER, "<|endoftext|>")
+    assert np.frombuffer(ids([text])[0], "<u4").tolist() == ids.tokenizer.encode(text, add_special_tokens=False).ids
