@@ -79,9 +79,10 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, size: float = 1.0, se
         joined = spread.join(salted, same_source & (F.col("row_salt") == F.col("rate_salt")))
     drawn = joined.withColumn("copies", _count(F.col("row.doc_id"), seed)).where("copies > 0")
     copies = drawn.select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
-    # The hash of id and copy number is the place in the new order; rows of one id spread by their copy number.
-    place = F.xxhash64(F.lit(seed), "row.doc_id", "copy")
-    return copies.repartition(partitions(docs.sparkSession), place).select("row.*")
+    # The hash of id, text and copy number is the place in the new order; rows without an id spread by their text.
+    text = [F.col("row.text")] if "text" in docs.columns else []
+    placed = copies.withColumn("place", F.xxhash64(F.lit(seed), "row.doc_id", "copy", *text))
+    return placed.repartition(partitions(docs.sparkSession), "place").sortWithinPartitions("place").select("row.*")
 
 
 def _count(doc_id: Column, seed: int) -> Column:
