@@ -6,10 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, packing, phrases, pii, simhash, substring, suffixes, topk, toxicity
+from . import chat, mixing, packing, phrases, pii, resampling, sentence_pieces, simhash, substring, suffixes, token_alignment, topk, toxicity
 from .common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
 
 
@@ -72,9 +74,44 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = sentence_pieces.encode(docs, PIECE_MODEL).drop("text")
+    found = sentence_pieces.decode(encoded, PIECE_MODEL)
+    return found.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align_and_count(table(spark, sf_dir, "documents"), BYTE_TOKENIZER, PIECE_MODEL, public_tokenizers.PATTERN)
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_substring_dedup, op2_exact_top_k, op3_document_fingerprints, op4_best_fit_packing, op5_simhash_golay, op6_suffix_dedup, op7_poisson_mixing, op8_toxicity, op9_chat_formatting, op10_pii)
+    for f in (
+        op1_substring_dedup,
+        op2_exact_top_k,
+        op3_document_fingerprints,
+        op4_best_fit_packing,
+        op5_simhash_golay,
+        op6_suffix_dedup,
+        op7_poisson_mixing,
+        op8_toxicity,
+        op9_chat_formatting,
+        op10_pii,
+        op11_importance_resampling,
+        op12_sentence_pieces,
+        op13_token_alignment,
+    )
 }
 
 ORACLE = {
@@ -108,6 +145,54 @@ drawn as (
 counted as (select doc_id, d.source, lang, len(list_filter(below, lambda b: b < u)) as copies
             from drawn d join below b on d.source is not distinct from b.source)
 select doc_id, source, lang from counted, range(copies)
+""",
+    # CRC-32 is folded over the bytes of each distinct word, with the table of the reflected polynomial.
+    "op11_importance_resampling": r"""
+with recursive folds as (
+    select i, 0 as k, i::bigint as v from range(256) t(i)
+    union all
+    select i, k + 1, case when v & 1 = 1 then xor(v >> 1, 3988292384::bigint) else v >> 1 end from folds where k < 8
+),
+crc as (select list(v order by i) as steps from folds where k = 8),
+texts as (
+    select 0 as side, row_number() over () as place, doc_id, text from documents
+    union all select 1, 0, null, text from benchmark
+),
+worded as (
+    select side, place, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words
+    from texts
+),
+used as (select side, place, unnest(words) as word from worded),
+distinct_words as (select distinct word, hex(encode(word)) as digits from used),
+hashed as (
+    select word, xor(list_reduce(
+        list_prepend(4294967295::bigint, list_transform(range(len(digits) // 2), lambda i: ('0x' || substr(digits, (2 * i + 1)::int, 2))::bigint)),
+        lambda acc, b: xor(acc >> 8, crc.steps[(xor(acc & 255, b) + 1)::int])), 4294967295::bigint) % 10000 as bucket
+    from distinct_words, crc
+),
+counts as (
+    select bucket, (count(*) filter (where side = 0))::double as s, (count(*) filter (where side = 1))::double as t
+    from used join hashed using (word) group by bucket
+),
+totals as (select coalesce(sum(s), 0) as all_s, coalesce(sum(t), 0) as all_t from counts),
+gains as (
+    select bucket, floor(1000 * ln((t + 1) * (all_s + 10000) / ((s + 1) * (all_t + 10000))))::bigint as gain from counts, totals
+),
+weights as (
+    select place, sum(gain)::bigint as weight from used join hashed using (word) join gains using (bucket) where side = 0 group by place
+),
+scored as (
+    select place, doc_id, len(words)::bigint as n_features, coalesce(weight, 0)::bigint as weight, coalesce(weight, 0)::bigint + floor(-1000 * ln(-ln(
+        (('0x' || substr(sha256('2024:' || coalesce(doc_id::varchar, '')), 1, 8))::bigint + 0.5::double) / 4294967296)))::bigint as score
+    from worded left join weights using (place) where side = 0
+),
+placed as (
+    select *, row_number() over (partition by n_features >= 20 order by score desc, doc_id nulls last) as rank,
+        count(*) filter (where n_features >= 20) over () as n
+    from scored
+)
+select doc_id, n_features, weight, score, case when n_features >= 20 and rank <= 10 * n // 100 then rank end as rank from placed
 """,
     "op9_chat_formatting": r"""
 with turns as (
