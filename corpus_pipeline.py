@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfstream.llm import mixing, near_copies, packing, pii, toxicity
+from shelfstream.llm import mixing, packing, pii, simhash, toxicity
 from shelfstream.llm.common import settled, table
 
 
@@ -23,8 +23,8 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that pairs of at least 0.8 Jaccard similarity of five-word shingles join."""
-    return near_copies.one_of_each(docs)
+    """One document of each group that SimHash fingerprints of three-word shingles within two bits join."""
+    return simhash.one_of_each(docs)
 
 
 def redact_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
