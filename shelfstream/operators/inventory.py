@@ -53,12 +53,46 @@ def dropped_by_reset(
     return rows.filter("not accepted").select(*events.columns, "last_reset")
 
 
-def _running_state(events, order_cols, keys, splits, min_chunk_rows) -> DataFrame:
+def inventory_from(
+    state: DataFrame | None,
+    events: DataFrame,
+    order_cols: Sequence[str],
+    keys: Sequence[str] = KEYS,
+    splits: int = skew.SPLITS,
+    min_chunk_rows: int = skew.MIN_CHUNK_ROWS,
+) -> DataFrame:
+    """:func:`inventory_batch` for events that follow earlier ones, with ``last_reset`` beside ``on_hand``.
+
+    ``state`` has ``last_reset`` and ``on_hand`` of each key so far (:func:`closing_inventory`), None at the start.
+    """
+    moves = events.filter(F.col("event_type").isin(*STOCK_EVENTS))
+    rows = _running_state(moves, order_cols, keys, splits, min_chunk_rows, state)
+    return rows.filter("accepted").select(*events.columns, "last_reset", "on_hand")
+
+
+def closing_inventory(rows: DataFrame, order_cols: Sequence[str], keys: Sequence[str] = KEYS) -> DataFrame:
+    """``last_reset, on_hand`` and the newest event time ``seen`` of each key after the rows of :func:`inventory_from`."""
+    last = F.max_by(F.struct("last_reset", "on_hand"), F.struct(*order_cols))
+    return rows.groupBy(*keys).agg(last.alias("last"), F.max("timestamp").alias("seen")).select(*keys, "last.*", "seen")
+
+
+def _running_state(events, order_cols, keys, splits, min_chunk_rows, state=None) -> DataFrame:
     keys, order_cols = list(keys), list(order_cols)
+    if state is not None:
+        # A key's state replays as one row before all others: null order columns sort first, in the chunks of a hot key as well.
+        replayed = state.select(
+            *keys,
+            F.when(F.col("last_reset").isNotNull(), "RESET").otherwise("RECEIPT").alias("event_type"),
+            F.col("on_hand").alias("quantity"),
+            F.col("last_reset").alias("timestamp"),
+            F.lit(False).alias("is_event"),
+        )
+        events = events.withColumn("is_event", F.lit(True)).unionByName(replayed, allowMissingColumns=True)
     split = skew.split_hot_keys(events, keys, order_cols[0], splits, min_chunk_rows)
-    rows = split.rows.withColumn("is_event", F.lit(True))
+    rows = split.rows if state is not None else split.rows.withColumn("is_event", F.lit(True))
     if split.chunks is not None:
         rows = rows.unionByName(_opening_rows(split, order_cols, keys), allowMissingColumns=True)
+    if split.chunks is not None or state is not None:
         order_cols = ["is_event", *order_cols]
 
     # One exchange and one sort serve all three running columns.

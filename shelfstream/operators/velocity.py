@@ -34,17 +34,39 @@ def velocity_batch(
     min_chunk_rows: int = skew.MIN_CHUNK_ROWS,
 ) -> DataFrame:
     """Every event of ``event_types`` with its signal columns ``type, window, count``."""
+    return velocity_from(None, events, order_cols, threshold, keys, event_types, splits, min_chunk_rows)
+
+
+def _sales(events: DataFrame, event_types: Sequence[str]) -> DataFrame:
+    sold = events.filter(F.col("event_type").isin(*event_types)).withColumn("sold", F.abs("quantity"))
+    return sold.withColumn("minute", F.expr(f"timestamp div {MINUTE_MS}"))
+
+
+def velocity_from(
+    state: DataFrame | None,
+    events: DataFrame,
+    order_cols: Sequence[str],
+    threshold: int = THRESHOLD,
+    keys: Sequence[str] = KEYS,
+    event_types: Sequence[str] = ("SALE",),
+    splits: int = skew.SPLITS,
+    min_chunk_rows: int = skew.MIN_CHUNK_ROWS,
+) -> DataFrame:
+    """:func:`velocity_batch` for events that follow earlier ones; ``state`` is that of :func:`closing_velocity`, None at the start."""
     keys, order_cols = list(keys), list(order_cols)
-    sales = (
-        events.filter(F.col("event_type").isin(*event_types))
-        .withColumn("sold", F.abs("quantity"))
-        .withColumn("minute", F.expr(f"timestamp div {MINUTE_MS}"))
-    )
+    sales = _sales(events, event_types)
+    if state is not None:
+        # Buckets replay as rows before all others, oldest minute first; null order columns keep them in a hot key's first chunk.
+        replayed = _bucket_rows(state, keys).withColumns({"bucket": F.col("minute"), "is_event": F.lit(False)})
+        sales = sales.withColumn("is_event", F.lit(True)).unionByName(replayed, allowMissingColumns=True)
     split = skew.split_hot_keys(sales, keys, order_cols[0], splits, min_chunk_rows)
-    rows = split.rows.withColumn("is_event", F.lit(True))
+    rows = split.rows
+    if state is None:
+        rows = rows.withColumn("is_event", F.lit(True))
     if split.chunks is not None:
-        rows = rows.withColumn("bucket", F.lit(None).cast("bigint"))
+        rows = rows if state is not None else rows.withColumn("bucket", F.lit(None).cast("bigint"))
         rows = rows.unionByName(_opening_buckets(split, keys), allowMissingColumns=True)
+    if split.chunks is not None or state is not None:
         order_cols = ["is_event", "bucket", *order_cols]
 
     so_far = (
@@ -73,6 +95,27 @@ def velocity_batch(
     )
 
 
+def _bucket_rows(state: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return state.select(*keys, F.explode("buckets").alias("bucket")).select(*keys, "bucket.minute", "bucket.sold")
+
+
+def closing_velocity(
+    state: DataFrame | None, events: DataFrame, keys: Sequence[str] = KEYS, event_types: Sequence[str] = ("SALE",)
+) -> DataFrame:
+    """Per key of ``events`` the minute ``buckets`` that are still in its day window, and its newest event time ``seen``.
+
+    At most ``DAY`` buckets a key; older ones are evicted here.
+    """
+    keys = list(keys)
+    sold = _sales(events, event_types).select(*keys, "minute", "sold")
+    if state is not None:
+        sold = sold.unionByName(_bucket_rows(state, keys))
+    minutes = sold.groupBy(*keys, "minute").agg(F.sum("sold").alias("sold"))
+    live = minutes.withColumn("ref", F.max("minute").over(Window.partitionBy(*keys))).filter(F.col("minute") > F.col("ref") - DAY)
+    buckets = F.sort_array(F.collect_list(F.struct("minute", "sold"))).alias("buckets")
+    return live.groupBy(*keys).agg(buckets, (F.max("ref") * MINUTE_MS).alias("seen"))
+
+
 def _opening_buckets(split: skew.Split, keys) -> DataFrame:
     """The minute buckets still in the day window when a later chunk of a hot key starts."""
     by_chunk = [*keys, "chunk"]

@@ -1,13 +1,16 @@
 """Latest value per key: formats and the versioned serving table.
 
 The table is a folder of numbered versions, each written once next to those readers use; Spark's
-success marker is what makes a version count.
+success marker is what makes a version count. Keys are dealt into a fixed number of buckets, and a
+version has files for the buckets it touches only: the changed rows of a bucket, or all its rows
+once the changes since the last such snapshot weigh as much as the snapshot.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +21,12 @@ from shelfstream.functions.scalars import event_key, long_bytes
 # Prefixes and formats of the served keys and values, and the cells of a page-view row.
 SIGNAL_FORMAT = "Signal{type='%s', window='%s', count=%d}"
 CELL_FAMILY, PAGE_CELL, COUNT_CELL = "pageViewAgg", "pageViewRef", "pageViewCount"
+CELL_KEYS = ("row_key", "family", "qualifier")
+
+#: Buckets of a new table; a bucket is written by one task, so tables of very many keys need more.
+BUCKETS = 16
+#: Changes of a bucket beside its snapshot at most, so that readers open a bounded number of files.
+MAX_CHANGES = 50
 
 
 def serving_key(prefix: str) -> Column:
@@ -56,16 +65,38 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]
     return df.groupBy(*keys).agg(newest).select(*keys, *[F.col(f"newest.`{c}`").alias(c) for c in rest]).select(*df.columns)
 
 
-def _versions(spark: SparkSession, path: str) -> dict[int, tuple[str, str, str]]:
-    """{version: (kind, load, folder)} of the complete versions, from one listing."""
-    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, "*=*/_SUCCESS")
-    found = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(root)
+@dataclass
+class _Version:
+    load: str
+    folder: str
+    #: {bucket: (kind, bytes, folder)}
+    buckets: dict[int, tuple[str, int, str]] = field(default_factory=dict)
+
+
+def _glob(spark: SparkSession, pattern: str) -> list:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    return list(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path) or ())
+
+
+def _bucket_count(spark: SparkSession, path: str) -> int | None:
+    """Number of buckets of the table at ``path``, None before its first version."""
+    return next((int(s.getPath().getName().partition("=")[2]) for s in _glob(spark, f"{path}/buckets=*")), None)
+
+
+def _versions(spark: SparkSession, path: str) -> dict[int, _Version]:
+    """The complete versions with what they hold of each bucket."""
     versions = {}
-    for status in found or ():
+    for status in _glob(spark, f"{path}/buckets=*/version=*/_SUCCESS"):
         folder = status.getPath().getParent()
-        kind, _, rest = folder.getName().partition("=")
-        number, _, load = rest.partition("@")
-        versions[int(number)] = (kind, load, folder.toString())
+        number, _, load = folder.getName().partition("=")[2].partition("@")
+        versions[int(number)] = _Version(load, folder.toString())
+    for status in _glob(spark, f"{path}/buckets=*/version=*/kind=*/bucket=*/*.parquet"):
+        folder = status.getPath().getParent()
+        bucket, kind = (p.getName().partition("=")[2] for p in (folder, folder.getParent()))
+        number = int(folder.getParent().getParent().getName().partition("=")[2].partition("@")[0])
+        if number in versions:
+            _, held, _ = versions[number].buckets.get(int(bucket), (kind, 0, ""))
+            versions[number].buckets[int(bucket)] = (kind, held + status.getLen(), folder.toString())
     return versions
 
 
@@ -75,18 +106,49 @@ def _remove(spark: SparkSession, folders: list[str]) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def read_latest(spark: SparkSession, path: str, keys: Sequence[str], order_cols: Sequence[str]) -> DataFrame | None:
-    """The newest row of every key in the serving table, with its ``version``; ``order_cols`` as they were written."""
-    return _merged(spark, _versions(spark, path), keys, order_cols)
+@dataclass
+class _Bucket:
+    """What readers need of a bucket: its last snapshot and the changes after it, oldest first."""
+
+    base: int
+    sizes: list[int] = field(default_factory=list)
+    folders: list[str] = field(default_factory=list)
 
+    @property
+    def due(self) -> bool:
+        return sum(self.sizes[1:]) >= self.sizes[0] or len(self.sizes) > MAX_CHANGES
 
-def _merged(spark: SparkSession, versions: dict, keys: Sequence[str], order_cols: Sequence[str]) -> DataFrame | None:
-    base = max((v for v, (kind, *_) in versions.items() if kind == "full"), default=-1)
-    folders = [folder for v, (_, _, folder) in sorted(versions.items()) if v >= base]
+
+def _current(versions: dict[int, _Version]) -> dict[int, _Bucket]:
+    found: dict[int, _Bucket] = {}
+    for number, version in sorted(versions.items()):
+        for bucket, (kind, size, folder) in version.buckets.items():
+            if kind == "full" or bucket not in found:
+                found[bucket] = _Bucket(number)
+            found[bucket].sizes.append(size)
+            found[bucket].folders.append(folder)
+    return found
+
+
+def _rows(spark: SparkSession, buckets: list[_Bucket], keys: Sequence[str], order_cols: Sequence[str]) -> DataFrame | None:
+    folders = [folder for bucket in buckets for folder in bucket.folders]
     if not folders:
         return None
     rows = spark.read.parquet(*folders)
-    return rows if len(folders) == 1 else latest_per_key(rows, keys, order_cols)
+    return rows if len(folders) == len(buckets) else latest_per_key(rows, keys, order_cols)
+
+
+def read_latest(
+    spark: SparkSession, path: str, keys: Sequence[str], order_cols: Sequence[str], before_load: str | None = None
+) -> DataFrame | None:
+    """The newest row of every key in the serving table, with its ``version``; ``order_cols`` as they were written.
+
+    With ``before_load``, what the table held before that load; a load that is not there yet comes last.
+    """
+    versions = _versions(spark, path)
+    end = next((n for n, v in versions.items() if v.load == before_load), None) if before_load else None
+    earlier = {n: v for n, v in versions.items() if end is None or n < end}
+    return _rows(spark, list(_current(earlier).values()), keys, order_cols)
 
 
 def upsert_latest(
@@ -95,33 +157,44 @@ def upsert_latest(
     keys: Sequence[str],
     order_cols: Sequence[str],
     load: str | None = None,
-    full_every: int = 20,
+    buckets: int = BUCKETS,
+    expired: Column | None = None,
 ) -> int:
     """Merge the newest row per key into the serving table; returns the version written.
 
-    Versions count up by themselves, whoever writes. One holds only the keys that changed, and every ``full_every``-th all
-    keys, so a write costs about what changed and a read merges few folders. A ``load`` that is written again, as a repeated
-    micro-batch is, replaces its own version. Rows carry their ``version``, which ``order_cols`` may name: then later writes
-    win. Otherwise ``order_cols`` are columns of ``df``. Writers of one table take turns. A full version removes what lies
-    before the last full one, which readers that began earlier may still use.
+    Versions count up by themselves, whoever writes. A write costs what changed: a bucket is written whole only once its
+    changes weigh as much as its snapshot (or number ``MAX_CHANGES``), and buckets without changes stay as they are. Rows
+    that ``expired`` holds for are left out when their bucket is written whole; to come round to all of them, every write then
+    renews one bucket in turn. ``buckets`` counts for a new table only.
+
+    A ``load`` that is written again, as a repeated micro-batch is, replaces its own version. Rows carry their ``version``,
+    which ``order_cols`` may name: then later writes win. Otherwise ``order_cols`` are columns of ``df``. Writers of one table
+    take turns. A snapshot removes what lies before the one before it, which readers that began earlier may still use.
     """
     spark = df.sparkSession
     versions = _versions(spark, path)
+    buckets = _bucket_count(spark, path) or buckets
     load = load or uuid.uuid4().hex
-    version = next((v for v, (_, own, _) in versions.items() if own == load), max(versions, default=-1) + 1)
-    replaced = [folder for v, (_, _, folder) in versions.items() if v == version]
-    earlier = {v: x for v, x in versions.items() if v < version}
-    newest = latest_per_key(df.withColumn("version", F.lit(version).cast("bigint")), keys, order_cols)
-    last_full = max((v for v, (kind, *_) in earlier.items() if kind == "full"), default=None)
-    if last_full is not None and version - last_full < full_every:
-        newest.write.mode("overwrite").parquet(f"{path}/change={version}@{load}")
-        return version
-    previous = _merged(spark, earlier, keys, order_cols)
-    if previous is not None:
-        newest = latest_per_key(previous.unionByName(newest), keys, order_cols)
-    target = f"{path}/full={version}@{load}"
-    newest.write.mode("overwrite").parquet(target)
-    _remove(spark, [f for f in replaced if not f.endswith(target.rsplit("/", 1)[1])])
-    if last_full is not None:
-        _remove(spark, [folder for v, (_, _, folder) in earlier.items() if v < last_full])
-    return version
+    number = next((n for n, v in versions.items() if v.load == load), max(versions, default=-1) + 1)
+    current = _current({n: v for n, v in versions.items() if n < number})
+    due = [b for b, held in current.items() if held.due or (expired is not None and b == number % buckets)]
+    rows = df.withColumn("version", F.lit(number).cast("bigint"))
+    earlier = _rows(spark, [current[b] for b in due], keys, order_cols)
+    if earlier is not None:
+        rows = earlier.unionByName(rows)
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    newest = latest_per_key(rows, keys, order_cols).withColumn("bucket", bucket)
+    whole = F.col("bucket").isin(due) | ~F.col("bucket").isin(list(current))
+    newest = newest.withColumn("kind", F.when(whole, "full").otherwise("change"))
+    if expired is not None:
+        newest = newest.filter((F.col("kind") == "change") | ~F.coalesce(expired, F.lit(False)))
+    target = f"{path}/buckets={buckets}/version={number}@{load}"
+    newest.repartition(buckets, "bucket").write.mode("overwrite").partitionBy("kind", "bucket").parquet(target)
+    if expired is not None:
+        # A bucket of expired rows only has no file yet that would replace its earlier ones.
+        left = {int(s.getPath().getName().partition("=")[2]) for s in _glob(spark, f"{target}/kind=full/bucket=*")}
+        for b in set(due) - left:
+            empty = spark.createDataFrame([], newest.drop("kind", "bucket").schema)
+            empty.write.mode("overwrite").parquet(f"{target}/kind=full/bucket={b}")
+    _remove(spark, [v.buckets[b][2] for n, v in versions.items() for b in due if n < current[b].base and b in v.buckets])
+    return number

@@ -1,70 +1,36 @@
-"""On-hand inventory of a stream: the keyed reset-barrier rules with the state in the state store."""
+"""On-hand inventory of a stream: the reset-barrier rules from micro-batch to micro-batch."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from shelfstream.operators.inventory import INCOMING, KEYS, OUTGOING, STOCK_EVENTS
+from shelfstream.operators import skew
+from shelfstream.operators.inventory import KEYS, STOCK_EVENTS, closing_inventory, inventory_from
+from shelfstream.streaming.keyed_fold import KeyedFold
 
 
-class OnHandProcessor(StatefulProcessor):
-    """State per key: time of the last reset and the current count."""
-
-    def __init__(self, order_cols: Sequence[str], output: Sequence[str]) -> None:
-        self._order, self._output = list(order_cols), list(output)
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._reset = handle.getValueState("last_reset", "time long")
-        self._count = handle.getValueState("on_hand", "count long")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        # Rows of a micro-batch come in any order.
-        batch = pd.concat(list(rows), ignore_index=True).sort_values(self._order, kind="stable", ignore_index=True)
-        kind = batch["event_type"]
-        is_reset = (kind == "RESET").to_numpy()
-        time = batch["timestamp"].to_numpy(np.int64)
-        quantity = batch["quantity"].to_numpy(np.int64)
-        sign = np.where(kind.isin(INCOMING), 1, np.where(kind.isin(OUTGOING), -1, 0))
-
-        # Position of the last reset at or before each row, -1 where only the stored state applies.
-        at_reset = np.maximum.accumulate(np.where(is_reset, np.arange(len(batch)), -1))
-        stored = self._reset.get()[0] if self._reset.exists() else None
-        floor = np.iinfo(np.int64).min if stored is None else stored
-        barrier = np.where(at_reset >= 0, time[at_reset], floor)
-        accepted = is_reset | (time >= barrier)
-        moved = np.cumsum(np.where(accepted & ~is_reset, sign * quantity, 0))
-        opening = self._count.get()[0] if self._count.exists() else 0
-        on_hand = moved + np.where(at_reset >= 0, quantity[at_reset] - moved[at_reset], opening)
-
-        self._count.update((int(on_hand[-1]),))
-        if at_reset[-1] >= 0:
-            self._reset.update((int(time[at_reset[-1]]),))
-        yield batch.assign(on_hand=on_hand)[accepted][self._output]
-
-    def close(self) -> None:
-        pass
-
-
-def inventory_stream(events: DataFrame, order_cols: Sequence[str], keys: Sequence[str] = KEYS) -> DataFrame:
+def inventory_stream(
+    events: DataFrame,
+    order_cols: Sequence[str],
+    keys: Sequence[str] = KEYS,
+    idle_ms: int | None = None,
+    min_chunk_rows: int = skew.MIN_CHUNK_ROWS,
+) -> KeyedFold:
     """Every accepted stock event of the stream with ``on_hand`` after it.
 
-    ``order_cols`` give the arrival order of the events of one key within a micro-batch; micro-batches
-    follow one another.
+    ``order_cols`` give the arrival order of the events of one key within a micro-batch (the first is a long);
+    micro-batches follow one another.
     """
-    moves = events.filter(F.col("event_type").isin(*STOCK_EVENTS)).select(
-        *keys, *order_cols, *[c for c in ("event_type", "quantity", "timestamp") if c not in order_cols]
-    )
-    output = T.StructType([*moves.schema.fields, T.StructField("on_hand", T.LongType())])
-    return moves.groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=OnHandProcessor(order_cols, output.names),
-        outputStructType=output,
-        outputMode="Append",
-        timeMode="None",
+    columns = list(dict.fromkeys([*keys, *order_cols, "event_type", "quantity", "timestamp"]))
+    moves = events.filter(events["event_type"].isin(*STOCK_EVENTS)).select(*columns)
+    return KeyedFold(
+        moves,
+        list(keys),
+        lambda state, batch: inventory_from(state, batch, order_cols, keys, min_chunk_rows=min_chunk_rows),
+        lambda state, batch, rows: closing_inventory(rows, order_cols, keys),
+        T.StructType([*moves.schema.fields, T.StructField("on_hand", T.LongType())]),
+        idle_ms,
     )

@@ -2,30 +2,35 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from shelfstream.session import configure_streaming, shared_dir
-from shelfstream.sinks.append import stream_load
+from shelfstream.sinks.append import append_table, stream_load
+from shelfstream.streaming.keyed_fold import KeyedFold, state_of
 
-
-#: Rows of a micro-batch that a replayed table is cut into; a key's rows of one are a frame in one worker.
+#: Rows of a micro-batch that a replayed table is cut into.
 SLICE_ROWS = 1_000_000
 
 
-def run_to_table(df: DataFrame, path: str | None = None, checkpoint: str | None = None) -> DataFrame:
+def run_to_table(df: DataFrame | KeyedFold, path: str | None = None, checkpoint: str | None = None) -> DataFrame:
     """Append everything the stream has now to a parquet table and return that table."""
-    spark = df.sparkSession
+    spark = _frame(df).sparkSession
     configure_streaming(spark)
-    path = path or shared_dir(spark, "table")
+    path, checkpoint = path or shared_dir(spark, "table"), checkpoint or shared_dir(spark, "progress")
+    if isinstance(df, KeyedFold):
+        start_batches(df, lambda rows, load: append_table(rows, path, load), checkpoint).awaitTermination()
+        # A stream without any rows has written nothing.
+        spark.createDataFrame([], df.schema).write.mode("overwrite").parquet(f"{path}/load=none")
+        return spark.read.schema(df.schema).parquet(path).drop("load")
     query = (
         df.writeStream.format("parquet")
         .outputMode("append")
         .option("path", path)
-        .option("checkpointLocation", checkpoint or shared_dir(spark, "progress"))
+        .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
@@ -33,18 +38,53 @@ def run_to_table(df: DataFrame, path: str | None = None, checkpoint: str | None
     return spark.read.schema(df.schema).parquet(path)
 
 
-def start_batches(df: DataFrame, work: Callable[[DataFrame, str], None], checkpoint: str, **trigger):
+def _frame(df: DataFrame | KeyedFold) -> DataFrame:
+    return df.events if isinstance(df, KeyedFold) else df
+
+
+def start_batches(df: DataFrame | KeyedFold, work: Callable[[DataFrame, str], None], checkpoint: str, **trigger):
     """Run ``work(batch, load)`` on every micro-batch; ``load`` names the batch of this checkpoint, so a repeat has the same name."""
-    configure_streaming(df.sparkSession)
+    configure_streaming(_frame(df).sparkSession)
     stream = stream_load(checkpoint)
+    step = df.work(work, state_of(checkpoint)) if isinstance(df, KeyedFold) else work
     return (
-        df.writeStream.foreachBatch(lambda batch, batch_id: work(batch, f"{stream}-{batch_id}"))
+        _frame(df)
+        .writeStream.foreachBatch(lambda batch, batch_id: step(batch, f"{stream}-{batch_id}"))
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
 
 
+def feed(df: DataFrame, time_col: str, slices: int | None = None, closing: dict[str, Column] | None = None) -> DataFrame:
+    """A table as a stream in time order: one file per slice of ``time_col`` in one write, and one micro-batch per file.
+
+    No later slice holds an earlier time, and rows of one time stay together. ``closing`` gives the columns of a last row of its own
+    micro-batch, e.g. a heartbeat beyond all windows that lets the watermark close them; its other columns are null.
+    Without ``slices`` there are 4, or more so that each has about ``SLICE_ROWS`` rows at most. The stream takes files by their
+    time of change, which is set after the write: the shared folder must be on a file system that keeps such times.
+    """
+    spark = df.sparkSession
+    slices = slices or max(4, -(-df.count() // SLICE_ROWS))
+    folder = shared_dir(spark, "feed")
+    df.repartitionByRange(slices, time_col).write.parquet(f"{folder}/0-rows")
+    if closing:
+        last = [closing.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in df.schema]
+        spark.range(1).select(*last).coalesce(1).write.parquet(f"{folder}/1-closing")
+    _put_in_order(spark, f"{folder}/*/*.parquet")
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/*")
+
+
+def _put_in_order(spark: SparkSession, pattern: str) -> None:
+    """Give the files rising times of change, in the order of their names."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files = sorted((f.getPath() for f in system.globStatus(path)), key=lambda p: p.toString())
+    start = int(time.time()) - len(files)
+    for i, file in enumerate(files):
+        system.setTimes(file, 1000 * (start + i), -1)
+
+
 def replay(
     df: DataFrame,
     time_col: str,
@@ -52,39 +92,13 @@ def replay(
     slices: int | None = None,
     closing: dict[str, Column] | None = None,
 ) -> None:
-    """Feed a table to a stream in time order: one slice of ``time_col`` after another lands in a folder, and ``run(stream,
-    checkpoint)`` works off what is new, as a job does that starts with each delivery.
-
-    A slice is one micro-batch, and no later slice holds an earlier time. ``closing`` gives the columns of a last row of its own
-    micro-batch, e.g. a heartbeat beyond all windows that lets the watermark close them; its other columns are null.
-    Without ``slices`` there are 4, or more so that each has about ``SLICE_ROWS`` rows at most; rows of one time stay together.
-    """
-    spark = df.sparkSession
-    if slices is None:
-        slices = max(4, -(-df.count() // SLICE_ROWS))
-    folder, checkpoint = shared_dir(spark, "feed"), shared_dir(spark, "progress")
-    bounds = sorted(set(df.approxQuantile(time_col, [i / slices for i in range(1, slices)], min(0.01, 1 / (4 * slices))))) if slices > 1 else []
-    cut = sum((F.when(F.col(time_col) >= b, 1).otherwise(0) for b in bounds), F.lit(0))
-    # Written once by slice, so that a delivery reads its own rows only.
-    cuts = shared_dir(spark, "slices")
-    df.withColumn("slice_no", cut).write.partitionBy("slice_no").parquet(cuts)
-    sliced = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("slice_no", T.IntegerType())])).parquet(cuts)
-    deliveries = [sliced.where(F.col("slice_no") == i).drop("slice_no") for i in range(len(bounds) + 1)]
-    if closing:
-        last = [closing.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in df.schema]
-        deliveries.append(spark.range(1).select(*last))
-    for delivery in deliveries:
-        delivery.write.mode("append").parquet(folder)
-        run(spark.readStream.schema(df.schema).parquet(folder), checkpoint)
+    """``run(stream, checkpoint)`` on a table as a stream (:func:`feed`); the work of ``run`` is one query on that checkpoint."""
+    run(feed(df, time_col, slices, closing), shared_dir(df.sparkSession, "progress"))
 
 
-def replay_to_table(df: DataFrame, time_col: str, plan: Callable[[DataFrame], DataFrame], slices: int | None = None, closing=None) -> DataFrame:
+def replay_to_table(
+    df: DataFrame, time_col: str, plan: Callable[[DataFrame], DataFrame | KeyedFold], slices: int | None = None, closing=None
+) -> DataFrame:
     """What ``plan`` makes of the table replayed as a stream, as a table."""
     configure_streaming(df.sparkSession)
-    path, out = shared_dir(df.sparkSession, "table"), []
-
-    def run(stream: DataFrame, checkpoint: str) -> None:
-        out[:] = [run_to_table(plan(stream), path, checkpoint)]
-
-    replay(df, time_col, run, slices, closing)
-    return out[0]
+    return run_to_table(plan(feed(df, time_col, slices, closing)))

@@ -1,78 +1,18 @@
-"""Sales velocity of a stream, with the minute buckets of every key in the state store."""
+"""Sales velocity of a stream, with the minute buckets of every key kept from micro-batch to micro-batch."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from shelfstream.operators import skew
 from shelfstream.operators.inventory import KEYS
-from shelfstream.operators.velocity import DAY, HOUR, MINUTE_MS, THRESHOLD
+from shelfstream.operators.velocity import THRESHOLD, closing_velocity, velocity_from
 from shelfstream.schemas import SIGNAL
-
-
-def to_minute(millis: np.ndarray) -> np.ndarray:
-    """Whole minutes, rounded toward zero."""
-    return np.sign(millis) * (np.abs(millis) // MINUTE_MS)
-
-
-def window_sums(minute: np.ndarray, sold: np.ndarray, ref: np.ndarray, width: int) -> np.ndarray:
-    """Per row in arrival order: quantity so far in the minutes after ``ref - width``."""
-    live = np.where(minute > ref - width, sold, 0)
-    order = np.argsort(minute, kind="stable")
-    running = np.concatenate([[0], np.cumsum(live[order])])
-    gone = running[np.searchsorted(minute[order], ref - width, side="right")]
-    return np.cumsum(live) - gone
-
-
-class VelocityProcessor(StatefulProcessor):
-    """State per key: newest event time and the minute buckets still inside the day window."""
-
-    def __init__(self, threshold: int, order_cols: Sequence[str], output: Sequence[str]) -> None:
-        self._threshold, self._order, self._output = threshold, list(order_cols), list(output)
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._newest = handle.getValueState("newest", "time long")
-        self._buckets = handle.getMapState("buckets", "minute long", "sold long")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True).sort_values(self._order, kind="stable", ignore_index=True)
-        stored = dict(sorted((k[0], v[0]) for k, v in self._buckets.iterator())) if self._buckets.exists() else {}
-        past = len(stored)
-
-        time = batch["timestamp"].to_numpy(np.int64)
-        newest = np.maximum.accumulate(time)
-        if self._newest.exists():
-            newest = np.maximum(newest, self._newest.get()[0])
-        # Stored buckets replay as earlier arrivals, oldest minute first.
-        minute = np.concatenate([np.fromiter(stored.keys(), np.int64, past), to_minute(time)])
-        sold = np.concatenate([np.fromiter(stored.values(), np.int64, past), np.abs(batch["quantity"].to_numpy(np.int64))])
-        ref = np.concatenate([minute[:past], to_minute(newest)])
-        hour, day = (window_sums(minute, sold, ref, width)[past:] for width in (HOUR, DAY))
-
-        self._newest.update((int(newest[-1]),))
-        oldest = ref[-1] - DAY
-        fresh = pd.Series(sold[past:]).groupby(minute[past:]).sum()
-        for m, quantity in fresh.items():
-            if m > oldest:
-                self._buckets.updateValue((int(m),), (int(quantity) + stored.get(m, 0),))
-        for m in stored:
-            if m <= oldest:
-                self._buckets.removeKey((m,))
-
-        fast = hour >= self._threshold
-        out = batch.assign(
-            type=np.where(fast, "FAST", "SLOW"), window=np.where(fast, "1h", "24h"), count=np.where(fast, hour, day)
-        )
-        yield out[self._output]
-
-    def close(self) -> None:
-        pass
+from shelfstream.streaming.keyed_fold import KeyedFold
 
 
 def velocity_stream(
@@ -80,15 +20,18 @@ def velocity_stream(
     order_cols: Sequence[str],
     threshold: int = THRESHOLD,
     keys: Sequence[str] = KEYS,
-) -> DataFrame:
+    event_types: Sequence[str] = ("SALE",),
+    idle_ms: int | None = None,
+    min_chunk_rows: int = skew.MIN_CHUNK_ROWS,
+) -> KeyedFold:
     """Every sale of the stream with its signal columns ``type, window, count``."""
-    sales = events.filter(F.col("event_type") == "SALE").select(
-        *keys, *order_cols, *[c for c in ("quantity", "timestamp") if c not in order_cols]
-    )
-    output = T.StructType([*sales.schema.fields, *SIGNAL.fields])
-    return sales.groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=VelocityProcessor(threshold, order_cols, output.names),
-        outputStructType=output,
-        outputMode="Append",
-        timeMode="None",
+    columns = list(dict.fromkeys([*keys, *order_cols, "event_type", "quantity", "timestamp"]))
+    sales = events.filter(F.col("event_type").isin(*event_types)).select(*columns)
+    return KeyedFold(
+        sales,
+        list(keys),
+        lambda state, batch: velocity_from(state, batch, order_cols, threshold, keys, event_types, min_chunk_rows=min_chunk_rows),
+        lambda state, batch, rows: closing_velocity(state, batch, keys, event_types),
+        T.StructType([f for f in sales.schema.fields if f.name != "event_type" or "event_type" in order_cols] + SIGNAL.fields),
+        idle_ms,
     )

@@ -69,10 +69,10 @@ def test_serving_table_versions(spark, tmp_path):
 
     def put(rows, load=None):
         df = spark.createDataFrame(rows, "key string, value string, seq long")
-        return serving.upsert_latest(df, path, ["key"], ["seq"], load, full_every=2)
+        return serving.upsert_latest(df, path, ["key"], ["seq"], load, buckets=1)
 
-    def now():
-        return sorted((r.key, r.value) for r in serving.read_latest(spark, path, ["key"], ["seq"]).collect())
+    def now(before=None):
+        return sorted((r.key, r.value) for r in serving.read_latest(spark, path, ["key"], ["seq"], before).collect())
 
     assert serving.read_latest(spark, path, ["key"], ["seq"]) is None
     assert put([("a", "1", 1), ("a", "2", 2), ("b", "1", 1)]) == 0
@@ -84,9 +84,41 @@ def test_serving_table_versions(spark, tmp_path):
     assert now() == [("a", "3"), ("b", "4"), ("c", "1")]
     assert put([("b", "9", 9)], "again") == 3
     assert now() == [("a", "3"), ("b", "9"), ("c", "1")]
+    assert now(before="again") == [("a", "3"), ("b", "4"), ("c", "1")] and now(before="new") == now()
     assert [put([("c", str(i), 10 + i)]) for i in range(3)] == [4, 5, 6]
     assert now() == [("a", "3"), ("b", "9"), ("c", "2")]
-    assert sorted(f.name.split("@")[0] for f in (tmp_path / "serving").glob("*=*")) == ["change=5", "full=4", "full=6"]
+
+
+def test_serving_writes_follow_the_changed_keys(spark, tmp_path):
+    path, n = tmp_path / "serving", 4000
+    rows = spark.range(n).select(F.col("id").cast("string").alias("key"), F.lit("x").alias("value"), F.lit(0).cast("long").alias("seq"))
+
+    def written(version):
+        files = list(path.glob(f"buckets=*/version={version}@*/kind=*/bucket=*/*.parquet"))
+        return {f.parent.name for f in files}, {f.parent.parent.name for f in files}, sum(f.stat().st_size for f in files)
+
+    serving.upsert_latest(rows, str(path), ["key"], ["seq"], buckets=8)
+    first = written(0)
+    assert len(first[0]) == 8 and first[1] == {"kind=full"}
+    for i in range(1, 4):
+        changed = spark.createDataFrame([("7", f"v{i}", i)], "key string, value string, seq long")
+        serving.upsert_latest(changed, str(path), ["key"], ["seq"], buckets=3)
+        buckets, kinds, size = written(i)
+        assert len(buckets) == 1 and kinds == {"kind=change"} and size < first[2] / 8
+    # All keys change: the changes weigh as much as the snapshots, which the next write then renews.
+    for i in (4, 5):
+        serving.upsert_latest(rows.withColumn("value", F.lit(f"w{i}")).withColumn("seq", F.lit(i).cast("long")), str(path), ["key"], ["seq"])
+    assert written(4)[1] == {"kind=change"} and "kind=full" in written(5)[1]
+    latest = serving.read_latest(spark, str(path), ["key"], ["seq"])
+    assert latest.count() == n and {r.value for r in latest.select("value").distinct().collect()} == {"w5"}
+
+
+def test_expired_keys_leave_with_the_next_snapshot(spark, tmp_path):
+    path = str(tmp_path / "serving")
+    for seq in range(3):
+        rows = spark.range(200 * seq, 200 * seq + 200).select("id", F.lit(seq).cast("long").alias("seq"))
+        serving.upsert_latest(rows, path, ["id"], ["seq"], buckets=1, expired=F.col("seq") < seq - 1)
+    assert serving.read_latest(spark, path, ["id"], ["seq"]).agg(F.min("seq")).first()[0] == 1
 
 
 def test_streaming_appends_can_be_repeated(spark, tmp_path):

@@ -1,5 +1,6 @@
 import json
 import random
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -228,19 +229,6 @@ def test_serving_table_takes_a_stream_on_a_new_checkpoint(spark, tmp_path):
     assert [(r.key, r.value) for r in latest] == [("stock:S1:P1", "-10")]
 
 
-def test_processors_travel_without_the_package():
-    import subprocess
-    import sys
-
-    from pyspark import cloudpickle
-
-    from shelfstream.streaming.velocity_state import VelocityProcessor
-
-    data = cloudpickle.dumps(VelocityProcessor(100, ["seq"], ["seq"]))
-    code = "import sys, pickle; pickle.loads(sys.stdin.buffer.read()); assert 'shelfstream' not in sys.modules"
-    subprocess.run([sys.executable, "-c", code], input=data, cwd="/", check=True, env={"PATH": "/usr/bin:/bin", "PYTHONPATH": ":".join(p for p in sys.path if "pyspark" in p or "site-packages" in p)})
-
-
 def test_slices_of_a_replay_follow_its_rows(spark, monkeypatch):
     from shelfstream.streaming import runs
 
@@ -249,3 +237,39 @@ def test_slices_of_a_replay_follow_its_rows(spark, monkeypatch):
     sizes, work = [], lambda batch, load: sizes.append(batch.count())
     runs.replay(table, "seq", lambda stream, checkpoint: runs.start_batches(stream, work, checkpoint).awaitTermination())
     assert sum(sizes) == 200 and max(sizes) <= 40
+
+
+@pytest.mark.parametrize("min_chunk_rows", [1_000_000, 40])
+def test_hot_key_of_a_stream_is_cut_into_chunks(spark, min_chunk_rows):
+    """State opens the first chunk of a hot key, whose rows lie in several micro-batches and, in each, in several chunks."""
+    rows = random_rows(1200, 17, 600, reset_share=0.01, hot_share=0.7, burst=True)
+    table = spark.createDataFrame(rows, SCHEMA)
+    got = replay_to_table(table, "seq", lambda events: inventory_stream(events, ["seq"], min_chunk_rows=min_chunk_rows), 3)
+    assert sorted(map(tuple, got.select("seq", "on_hand").collect())) == sorted((r["seq"], v) for r, v in inventory_fold(as_dicts(rows))[0])
+    got = replay_to_table(table, "seq", lambda events: velocity_stream(events, ["seq"], 60, min_chunk_rows=min_chunk_rows), 3)
+    assert sorted(map(tuple, got.select("seq", "type", "window", "count").collect())) == sorted((r["seq"], *s) for r, s in velocity_fold(as_dicts(rows), 60))
+
+
+def test_repeated_micro_batch_starts_from_the_state_before_it(spark, tmp_path):
+    table = spark.createDataFrame(RESET_SCRIPT, SCHEMA)
+    got = []
+    step = inventory_stream(table, ["seq"]).work(lambda rows, load: got.append([r.on_hand for r in rows.orderBy("seq").collect()]), str(tmp_path / "state"))
+    for low, high, load in ((0, 2, "a"), (2, 5, "b"), (2, 5, "b"), (0, 2, "a")):
+        step(table.where(F.col("seq").between(low, high - 1)), load)
+    assert got == [[-10, 90], [50, 48], [50, 48], [-10, 90]]
+
+
+def test_idle_keys_leave_the_state(spark, tmp_path):
+    day = 86_400_000
+    rows = [(i, "S1", f"P{i % 50 if i < 50 else 50}", "SALE", 60, T0 + i * day // 20, None) for i in range(120)]
+    table, state = spark.createDataFrame(rows, SCHEMA), str(tmp_path / "state")
+    kept, sizes = [], []
+    fold = velocity_stream(table, ["seq"], 100, idle_ms=day)
+    step = replace(fold, buckets=3).work(lambda out, load: kept.extend(out.collect()), state)
+    for i in range(0, 120, 10):
+        step(table.where(F.col("seq").between(i, i + 9)), str(i))
+        sizes.append(serving.read_latest(spark, state, ["store_id", "product_id"], ["version"]).count())
+    assert max(sizes) >= 30 and sizes[-1] < 10 and len(kept) == len(rows)
+    want = velocity_batch(table, ["seq"], 100)
+    columns = ("seq", "type", "window", "count")
+    assert sorted(tuple(r[c] for c in columns) for r in kept) == sorted(map(tuple, want.select(*columns).collect()))
