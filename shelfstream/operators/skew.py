@@ -42,12 +42,16 @@ def split_hot_keys(
     order_col: str,
     splits: int = SPLITS,
     min_chunk_rows: int = MIN_CHUNK_ROWS,
+    most: int | None = None,
 ) -> Split:
     """Split ``df`` by ``keys`` along ``order_col``, a long. Chunk numbers follow the order.
 
-    Counts the rows per key right away (a scan of the key and order columns, combined before the shuffle).
+    Counts the rows per key right away (a scan of the key and order columns, combined before the shuffle), unless a known
+    bound ``most`` of a key's rows tells that no key is hot.
     """
     keys = list(keys)
+    if most is not None and most <= min_chunk_rows:
+        return Split(df, keys)
     hot = _fetch(_hot_keys(df, keys, order_col, splits, min_chunk_rows))
     if hot is None:
         return Split(df, keys)

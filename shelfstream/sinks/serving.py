@@ -159,13 +159,14 @@ def upsert_latest(
     load: str | None = None,
     buckets: int = BUCKETS,
     expired: Column | None = None,
+    unique: bool = False,
 ) -> int:
     """Merge the newest row per key into the serving table; returns the version written.
 
     Versions count up by themselves, whoever writes. A write costs what changed: a bucket is written whole only once its
     changes weigh as much as its snapshot (or number ``MAX_CHANGES``), and buckets without changes stay as they are. Rows
     that ``expired`` holds for are left out when their bucket is written whole; to come round to all of them, every write then
-    renews one bucket in turn. ``buckets`` counts for a new table only.
+    renews one bucket in turn. ``buckets`` counts for a new table only. ``unique`` says that ``df`` has one row per key.
 
     A ``load`` that is written again, as a repeated micro-batch is, replaces its own version. Rows carry their ``version``,
     which ``order_cols`` may name: then later writes win. Otherwise ``order_cols`` are columns of ``df``. Writers of one table
@@ -183,7 +184,8 @@ def upsert_latest(
     if earlier is not None:
         rows = earlier.unionByName(rows)
     bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-    newest = latest_per_key(rows, keys, order_cols).withColumn("bucket", bucket)
+    newest = rows if unique and earlier is None else latest_per_key(rows, keys, order_cols)
+    newest = newest.withColumn("bucket", bucket)
     whole = F.col("bucket").isin(due) | ~F.col("bucket").isin(list(current))
     newest = newest.withColumn("kind", F.when(whole, "full").otherwise("change"))
     if expired is not None:

@@ -29,8 +29,9 @@ def inventory_stream(
     return KeyedFold(
         moves,
         list(keys),
-        lambda state, batch: inventory_from(state, batch, order_cols, keys, min_chunk_rows=min_chunk_rows),
+        lambda state, batch, most: inventory_from(state, batch, order_cols, keys, min_chunk_rows=min_chunk_rows, most=most),
         lambda state, batch, rows: closing_inventory(rows, order_cols, keys),
         T.StructType([*moves.schema.fields, T.StructField("on_hand", T.LongType())]),
-        idle_ms,
+        state_rows=1,
+        idle_ms=idle_ms,
     )

@@ -10,11 +10,10 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfstream.session import computed_once
 from shelfstream.sinks.serving import BUCKETS, read_latest, upsert_latest
 
 
@@ -22,16 +21,18 @@ from shelfstream.sinks.serving import BUCKETS, read_latest, upsert_latest
 class KeyedFold:
     """A stream under an ordered rule.
 
-    ``run(state, events)`` gives the rows to hand on, ``close(state, events, rows)`` the new state of the keys that ``events``
-    name, with the newest event time ``seen``. ``schema`` is that of the rows. Keys that saw nothing for ``idle_ms`` before the
-    oldest event of a micro-batch start anew, and their state is removed as its bucket is written whole.
+    ``run(state, events, most)`` gives the rows to hand on (``most`` is a bound of their number with the state's), and
+    ``close(state, events, rows)`` the new state of the keys that ``events`` name, one row each, with the newest event time
+    ``seen``. ``schema`` is that of the rows. Keys that saw nothing for ``idle_ms`` before the oldest event of a micro-batch
+    start anew, and their state is removed as its bucket is written whole. ``state_rows`` is the most that one key's state replays as.
     """
 
     events: DataFrame
     keys: Sequence[str]
-    run: Callable[[DataFrame | None, DataFrame], DataFrame]
+    run: Callable[[DataFrame | None, DataFrame, int], DataFrame]
     close: Callable[[DataFrame | None, DataFrame, DataFrame], DataFrame]
     schema: T.StructType
+    state_rows: int
     idle_ms: int | None = None
     buckets: int = BUCKETS
 
@@ -39,25 +40,30 @@ class KeyedFold:
         """``foreachBatch`` work that hands the rows of each micro-batch to ``sink`` and keeps the state."""
 
         def step(batch: DataFrame, load: str) -> None:
-            with computed_once(batch, "batch") as events:
-                state, expired = self._state(events, state_path, load)
-                with computed_once(self.run(state, events), "fold") as rows:
-                    sink(rows.select(*self.schema.names), load)
-                    upsert_latest(self.close(state, events, rows), state_path, self.keys, ["version"], load, self.buckets, expired)
+            # These frames are read several times; what a lost executor held is computed again.
+            events = batch.persist()
+            size = events.agg(F.count(F.lit(1)).alias("n"), F.min("timestamp").alias("oldest")).first()
+            expired = None
+            if self.idle_ms is not None and size.oldest is not None:
+                expired = F.col("seen") < F.lit(size.oldest - self.idle_ms)
+            state = self._state(events, state_path, load, expired)
+            kept = [events] if state is None else [events, state.persist()]
+            rows = self.run(state, events, size.n + self.state_rows).persist()
+            sink(rows.select(*self.schema.names), load)
+            closing = self.close(state, events, rows)
+            upsert_latest(closing, state_path, self.keys, ["version"], load, self.buckets, expired, unique=True)
+            for frame in (rows, *kept):
+                frame.unpersist()
 
         return step
 
-    def _state(self, events: DataFrame, state_path: str, load: str):
-        """(state of the keys in ``events``, condition under which state is no longer needed)."""
+    def _state(self, events: DataFrame, state_path: str, load: str, expired: Column | None) -> DataFrame | None:
+        """State of the keys in ``events`` before ``load``."""
         state = read_latest(events.sparkSession, state_path, self.keys, ["version"], load)
-        expired = None
-        if self.idle_ms is not None:
-            oldest = events.agg(F.min("timestamp")).first()[0]
-            expired = F.col("seen") < F.lit(None if oldest is None else oldest - self.idle_ms).cast("bigint")
         if state is None:
-            return None, expired
+            return None
         named = state.join(events.select(*self.keys).distinct(), list(self.keys), "left_semi")
-        return (named if expired is None else named.filter(~F.coalesce(expired, F.lit(False)))), expired
+        return named if expired is None else named.filter(~F.coalesce(expired, F.lit(False)))
 
 
 def state_of(checkpoint: str) -> str:

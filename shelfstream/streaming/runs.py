@@ -14,6 +14,8 @@ from shelfstream.streaming.keyed_fold import KeyedFold, state_of
 
 #: Rows of a micro-batch that a replayed table is cut into.
 SLICE_ROWS = 1_000_000
+#: Files of a micro-batch at most.
+FILES = 64
 
 
 def run_to_table(df: DataFrame | KeyedFold, path: str | None = None, checkpoint: str | None = None) -> DataFrame:
@@ -57,22 +59,23 @@ def start_batches(df: DataFrame | KeyedFold, work: Callable[[DataFrame, str], No
 
 
 def feed(df: DataFrame, time_col: str, slices: int | None = None, closing: dict[str, Column] | None = None) -> DataFrame:
-    """A table as a stream in time order: one file per slice of ``time_col`` in one write, and one micro-batch per file.
+    """A table as a stream in time order: files by ranges of ``time_col`` in one write, and a micro-batch per slice of consecutive files.
 
-    No later slice holds an earlier time, and rows of one time stay together. ``closing`` gives the columns of a last row of its own
-    micro-batch, e.g. a heartbeat beyond all windows that lets the watermark close them; its other columns are null.
+    No later file holds an earlier time, and rows of one time stay together. ``closing`` gives the columns of a last row, e.g. a heartbeat beyond all windows that lets the watermark close them; its other columns are null.
     Without ``slices`` there are 4, or more so that each has about ``SLICE_ROWS`` rows at most. The stream takes files by their
     time of change, which is set after the write: the shared folder must be on a file system that keeps such times.
     """
     spark = df.sparkSession
     slices = slices or max(4, -(-df.count() // SLICE_ROWS))
     folder = shared_dir(spark, "feed")
-    df.repartitionByRange(slices, time_col).write.parquet(f"{folder}/0-rows")
+    # A file is read by one task, so a slice has several.
+    files = min(spark.sparkContext.defaultParallelism, FILES)
+    df.repartitionByRange(slices * files, time_col).write.parquet(f"{folder}/0-rows")
     if closing:
         last = [closing.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in df.schema]
         spark.range(1).select(*last).coalesce(1).write.parquet(f"{folder}/1-closing")
     _put_in_order(spark, f"{folder}/*/*.parquet")
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/*")
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(f"{folder}/*")
 
 
 def _put_in_order(spark: SparkSession, pattern: str) -> None:
