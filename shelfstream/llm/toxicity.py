@@ -28,9 +28,8 @@ from pyspark.sql import functions as F
 
 from .common import map_steps, settled, texts
 
-#: Bound on the labelled rows that train, and on the tokens with a score; both keep the model to a few MB at any corpus size.
+#: Bound on the labelled rows that train. Every form with enough evidence in them has a score, so the model is bounded by them too.
 TRAIN_ROWS = 20_000
-LEXICON = 20_000
 PRIOR_TOKENS = 10_000.0
 DRIFT = 0.05
 LEAST_Z = 5.0
@@ -87,7 +86,8 @@ def maximal_segments(found: list[tuple[int, float]], drift: float) -> list[tuple
 
     The linear-time scan of Ruzzo and Tompa; runs of plain tokens are one step, as no segment starts or ends in them.
     """
-    stack: list[tuple[int, int, float, float]] = []  # start, end, sum before, sum through
+    # start, end, sum before, sum through, and the nearest earlier segment that begins lower (-1: none)
+    stack: list[tuple[int, int, float, float, int]] = []
     total, at = 0.0, 0
     for place, score in found:
         total -= drift * (place - at)
@@ -98,17 +98,19 @@ def maximal_segments(found: list[tuple[int, float]], drift: float) -> list[tuple
             continue
         start, before = place, total
         total += gain
-        while stack:
-            # Nearest earlier segment that begins lower; without one, or if that one ends as high, this segment stands.
-            j = len(stack) - 1
-            while j >= 0 and stack[j][2] >= before:
-                j -= 1
-            if j < 0 or stack[j][3] >= total:
+        lower = len(stack) - 1
+        while True:
+            # Segments between one and its link all begin as high as that one or higher, so they need no look.
+            while lower >= 0 and stack[lower][2] >= before:
+                lower = stack[lower][4]
+            if lower < 0 or stack[lower][3] >= total:
+                # Without a segment that begins lower, or if that one ends as high, this one stands.
                 break
-            start, before = stack[j][0], stack[j][2]
-            del stack[j:]
-        stack.append((start, place + 1, before, total))
-    return [(a, z, after - before) for a, z, before, after in stack]
+            start, _, before, _, link = stack[lower]
+            del stack[lower:]
+            lower = link
+        stack.append((start, place + 1, before, total, lower))
+    return [(a, z, after - before) for a, z, before, after, _ in stack]
 
 
 def _counted(sample: DataFrame) -> DataFrame:
@@ -118,7 +120,7 @@ def _counted(sample: DataFrame) -> DataFrame:
         counts: tuple[Counter, Counter] = (Counter(), Counter())
         for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
             # Once per document: a rare word repeated in one text is no evidence.
-                counts[bool(toxic)].update({f for w in set(tokens(text)) for f in forms(w)})
+            counts[bool(toxic)].update({f for w in set(tokens(text)) for f in forms(w)})
         for toxic, own in enumerate(counts):
             if own:
                 kind = pa.array([toxic] * len(own), pa.int32())
@@ -204,8 +206,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     odds = _log_odds(counts, n1, n0)
     shrunk = F.signum("delta") * F.greatest(F.lit(0.0), F.abs("delta") - 2 * F.col("deviation"))
     kept = odds.withColumn("score", shrunk).where((F.col("score") != 0) & (F.col("strength") >= LEAST_Z))
-    kept = kept.orderBy(F.desc("strength"), "word").limit(LEXICON)
-    lexicon = kept.select("word", "score", ((F.col("y0") + F.col("prior")) / (n0 + PRIOR_TOKENS)).alias("chance")).collect()
+    lexicon = kept.orderBy(F.desc("strength"), "word").select("word", "score", ((F.col("y0") + F.col("prior")) / (n0 + PRIOR_TOKENS)).alias("chance")).collect()
     if not any(r["score"] > DRIFT for r in lexicon):
         return Model(base=base)
     chances = np.array([r["chance"] for r in lexicon])
