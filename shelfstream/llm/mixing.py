@@ -68,6 +68,7 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, size: float = 1.0, se
     The rates are broadcast if there are at most ``BROADCAST_ROWS`` sources; otherwise they are joined on keys with a salt,
     so that a source with a third of all rows is spread over ``SALTS`` tasks.
     """
+    n = partitions(docs.sparkSession)
     rates = settled(source_rates(docs, weights, size))
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
     same_source = F.col("row.source").eqNullSafe(F.col("rate_source"))
@@ -77,23 +78,21 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, size: float = 1.0, se
         salted = rates.withColumn("rate_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         spread = rows.withColumn("row_salt", F.pmod(F.xxhash64("row.doc_id"), F.lit(SALTS)).cast("int"))
         joined = spread.join(salted, same_source & (F.col("row_salt") == F.col("rate_salt")))
-    drawn = joined.withColumn("copies", _count(F.col("row.doc_id"), seed)).where("copies > 0")
-    copies = drawn.select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
-    # The hash of id, text and copy number is the place in the new order; rows without an id spread by their text.
+    # A row with a very high rate goes to as many tasks as its rate has parts; each draws and writes the copies of its part.
+    few = joined.where("parts = 1").withColumn("part", F.lit(1))
+    many = joined.where("parts > 1").withColumn("part", F.explode(F.sequence(F.lit(1), F.col("parts"))))
+    spread = few.unionByName(many.repartition(n, F.xxhash64(F.col("row.doc_id"), F.col("part"))))
+    drawn = spread.withColumn("copies", _count(F.col("row.doc_id"), seed)).where("copies > 0")
+    copies = drawn.select("row", "part", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
+    # The hash of id, text and copy is the place in the new order; rows without an id spread by their text.
     text = [F.col("row.text")] if "text" in docs.columns else []
-    placed = copies.withColumn("place", F.xxhash64(F.lit(seed), "row.doc_id", "copy", *text))
-    return placed.repartition(partitions(docs.sparkSession), "place").sortWithinPartitions("place").select("row.*")
+    placed = copies.withColumn("place", F.xxhash64(F.lit(seed), "row.doc_id", "part", "copy", *text))
+    return placed.repartition(n, "place").sortWithinPartitions("place").select("row.*")
 
 
 def _count(doc_id: Column, seed: int) -> Column:
-    """The first part uses the id's own number; further parts of a very high rate use numbers of their own."""
-    step = lambda u: F.size(F.filter(F.col("below"), lambda b: b < u))
-    more = F.when(
-        F.col("parts") > 1,
-        F.aggregate(
-            F.sequence(F.lit(2), F.col("parts")),
-            F.lit(0),
-            lambda acc, k: acc + step(uniform(F.concat_ws("/", doc_id.cast("string"), k.cast("string")), seed)),
-        ),
-    ).otherwise(F.lit(0))
-    return step(uniform(doc_id, seed)) + more
+    """Copies of a part: the first part uses the id's own number, further parts of a very high rate numbers of their own."""
+    own = uniform(doc_id, seed)
+    further = uniform(F.concat_ws("/", doc_id.cast("string"), F.col("part").cast("string")), seed)
+    drawn = F.when(F.col("part") == 1, own).otherwise(further)
+    return F.size(F.filter(F.col("below"), lambda b: b < drawn))
