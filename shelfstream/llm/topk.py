@@ -1,7 +1,7 @@
 """Exact top-k search by inner product: a KD-tree per shard, best-first traversal, and a kth score that travels with the query.
 
 Components become floor(1024 * x). A vector that is null, empty or holds a null or non-finite component takes no part, nor does
-one without a vec_id; values beyond 2^26 are cut to it so that scores stay exact in 64 bits. Vectors are compared only with
+one without a vec_id; components and scores beyond the range of a long are cut to its ends. Vectors are compared only with
 vectors of their length. Equal scores rank by smaller vec_id. Repeated vec_ids are candidates each, never for a query of
 their own id; of several query rows with one id the smallest vector asks. An empty table gives no rows.
 """
@@ -20,7 +20,8 @@ from pyspark.sql import Window as W
 from .common import partitions, settled
 
 SCALE = 1024
-LARGEST = 1 << 26
+#: Scores whose terms cannot sum up to this are exact in 64 bits; others are summed in unbounded integers.
+EXACT = float(1 << 62)
 #: Vectors of a shard, and of a leaf of its tree.
 SHARD_ROWS = 8_192
 LEAF_ROWS = 64
@@ -29,7 +30,8 @@ QUERY_ROWS = 256
 #: Different vector lengths up to which their table is broadcast.
 FEW = 1_000
 FOUND = "query_id long, vec_id long, score long"
-NONE_YET = -(1 << 63)
+LOWEST, HIGHEST = -(1 << 63), (1 << 63) - 1
+NONE_YET = LOWEST
 
 
 class KDTree:
@@ -59,14 +61,23 @@ class KDTree:
                 cut = np.argpartition(own[:, axis], half)
                 work.append((np.sort(rows[cut[:half]]), node, 0))
                 work.append((np.sort(rows[cut[half:]]), node, 1))
-        self.low, self.high = np.array(low), np.array(high)
+        self.low, self.high = np.array(low, float), np.array(high, float)
+        self.extent = np.maximum(np.abs(self.low), np.abs(self.high))
         self.first_id = np.array([self.ids[r[0]] for r in self.rows])
 
-    def bounds(self, queries: np.ndarray) -> np.ndarray:
-        """(queries, nodes): the highest inner product any point of a node's box can have."""
-        return np.maximum(queries, 0) @ self.high.T + np.minimum(queries, 0) @ self.low.T
+    def bounds(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(queries, nodes): a bound of the inner products of a node's box, and of the sum of their terms' sizes.
 
-    def search(self, query: np.ndarray, bounds: np.ndarray, k: int, own_id: int, least: int) -> list[tuple[int, int]]:
+        Both are doubles; the first is raised by more than all rounding can take away.
+        """
+        queries = queries.astype(float)
+        sizes = np.abs(queries) @ self.extent.T
+        highest = np.maximum(queries, 0) @ self.high.T + np.minimum(queries, 0) @ self.low.T
+        return np.ceil(highest + sizes * (len(queries[0]) + 4) * 2.0**-50) + 1, sizes * 1.001
+
+    def search(
+        self, query: np.ndarray, bounds: np.ndarray, sizes: np.ndarray, k: int, own_id: int, least: int
+    ) -> list[tuple[int, int]]:
         """(score, id) of the best ``k`` rows, best first, leaving out scores below ``least``, which others already fill."""
         best: list[tuple[int, int]] = []  # a heap with the worst in front: score, -id
         open_nodes = [(-int(bounds[0]), int(self.first_id[0]), 0)]
@@ -80,7 +91,10 @@ class KDTree:
                     heapq.heappush(open_nodes, (-int(bounds[child]), int(self.first_id[child]), child))
                 continue
             rows = self.rows[node]
-            scores = self.vectors[rows] @ query
+            if sizes[node] < EXACT:
+                scores = self.vectors[rows] @ query
+            else:
+                scores = np.clip(self.vectors[rows].astype(object) @ query.astype(object), LOWEST, HIGHEST)
             floor = max(least, best[0][0]) if len(best) == k else least
             for at in np.flatnonzero(scores >= floor):
                 found = (int(scores[at]), -int(self.ids[rows[at]]))
@@ -95,7 +109,7 @@ class KDTree:
 
 def integers(vector: Column) -> Column:
     """The vector in integers, or null if it takes no part."""
-    scaled = F.transform(vector, lambda x: F.greatest(F.lit(-LARGEST), F.least(F.lit(LARGEST), F.floor(x.cast("double") * SCALE))))
+    scaled = F.transform(vector, lambda x: F.floor(x.cast("double") * SCALE))
     # Infinite parts are kept out here, as floor() of them is a number.
     sound = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")))
     return F.when((F.size(vector) > 0) & sound, scaled)
@@ -118,11 +132,11 @@ def _searched(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBa
                 for start in range(0, len(queries), QUERY_ROWS):
                     part = queries.iloc[start : start + QUERY_ROWS]
                     asked = np.stack(part["v"].to_list()).astype(np.int64)
-                    bounds = tree.bounds(asked)
+                    bounds, sizes = tree.bounds(asked)
                     out = [
                         (own_id, vec_id, score)
-                        for own_id, q, b, least in zip(part["vec_id"].tolist(), asked, bounds, part["least"].tolist())
-                        for score, vec_id in tree.search(q, b, k, own_id, least)
+                        for own_id, q, b, s, least in zip(part["vec_id"].tolist(), asked, bounds, sizes, part["least"].tolist())
+                        for score, vec_id in tree.search(q, b, s, k, own_id, least)
                     ]
                     if out:
                         columns = [pa.array(c, pa.int64()) for c in zip(*out)]
