@@ -5,12 +5,16 @@ from __future__ import annotations
 import math
 from itertools import accumulate
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import texts
 
+LAST_ID = (1 << 63) - 1
+
 
 def _bucketed(rows: DataFrame, bounds: list[float], name: str) -> DataFrame:
     """``rows`` with the number of bounds that are at most ``place``."""
@@ -58,6 +62,18 @@ def _lot(parts: int | Column) -> Column:
     return F.pmod(F.xxhash64(F.monotonically_increasing_id()), parts).cast("int")
 
 
+def _by_bounds(rows: DataFrame, bounds: list[int], name: str) -> DataFrame:
+    """``rows`` with the number of bounds that are at most ``doc_id``, compared as longs; rows without an id count as the lowest."""
+    limits = np.array(bounds, np.int64)
+
+    @F.pandas_udf("int")
+    def number(ids: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(limits, ids.to_numpy(), "right"))
+
+    # Without nulls, as pandas would make doubles of longs.
+    return rows.withColumn(name, number(F.coalesce("doc_id", F.lit(-LAST_ID - 1))))
+
+
 def in_split_ranges(docs: DataFrame, part_bytes: int) -> tuple[DataFrame, list[int]]:
     """(doc_id, text, part) of every row and the first part of each range; ranges rise with doc_id, those without an id come first.
 
@@ -70,14 +86,13 @@ def in_split_ranges(docs: DataFrame, part_bytes: int) -> tuple[DataFrame, list[i
     nameless = rows.where("doc_id is null").agg(size).first()[0] or 0
     heavy = dict(rows.where("doc_id is not null").groupBy("doc_id").agg(size).where(F.col("size") > part_bytes).collect())
     rest = rows.where("doc_id is not null").where(~F.col("doc_id").isin(*heavy)) if heavy else rows.where("doc_id is not null")
-    rest = rest.withColumn("place", F.col("doc_id").cast("double"))
     total = rest.agg(size).first()[0] or 0
     fine = 4 * (total // part_bytes + 1)
-    cuts = set(rest.approxQuantile("place", [i / fine for i in range(1, fine)], 1 / (4 * fine))) if total > part_bytes else set()
-    alone = {float(i): -(-held // part_bytes) for i, held in heavy.items()}
-    ends = {math.nextafter(place, math.inf) for place in alone}
-    cuts = sorted(cuts.union(alone, ends))
-    held = dict(_bucketed(rest, cuts, "fine").groupBy("fine").agg(size).collect()) if cuts else {}
+    quantiles = rest.approxQuantile("doc_id", [i / fine for i in range(1, fine)], 1 / (4 * fine)) if total > part_bytes else []
+    alone = {i: -(-held // part_bytes) for i, held in heavy.items()}
+    ends = {i + 1 for i in alone if i < LAST_ID}
+    cuts = sorted(ends.union(alone, (min(int(q), LAST_ID) for q in quantiles)))
+    held = dict(_by_bounds(rest, cuts, "fine").groupBy("fine").agg(size).collect()) if cuts else {}
     bounds, full, splits = [], held.get(0, 0), [-(-nameless // part_bytes) or 1, 1]
     for i, cut in enumerate(cuts, 1):
         if cut in alone or cut in ends or full and full + held.get(i, 0) > part_bytes:
@@ -86,7 +101,7 @@ def in_split_ranges(docs: DataFrame, part_bytes: int) -> tuple[DataFrame, list[i
             full = 0
         full += held.get(i, 0)
     starts = [0, *accumulate(splits)][:-1]
-    placed = _bucketed(rows.withColumn("place", F.col("doc_id").cast("double")).withColumn("place", F.coalesce("place", F.lit(-1e300))), bounds, "range")
+    placed = _by_bounds(rows, bounds, "range")
     rank = F.when(F.col("doc_id").isNull(), 0).otherwise(F.col("range") + 1)
     many = {i: n for i, n in enumerate(splits) if n > 1}
     sub = F.lit(0)

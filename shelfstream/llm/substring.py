@@ -24,6 +24,8 @@ from .ranges import in_split_ranges
 from .rolling import window_hashes, word_hashes
 
 WINDOW = 50
+#: Buckets of hashes for each shuffle partition.
+BUCKETS_PER_TASK = 2
 PART_BYTES = 8 << 20
 RESULT = "doc_id long, n_words long, n_removed long, removed array<struct<start: long, stop: long>>, kept_sha256 string"
 
@@ -81,7 +83,8 @@ def dedup_substrings(docs: DataFrame, width: int = WINDOW, part_bytes: int = PAR
     n = partitions(docs.sparkSession)
     rows, starts = in_split_ranges(docs, part_bytes)
     by_part = rows.repartition(n, "part")
-    buckets = len(starts)
+    # By the tasks, not by the parts, so that the rows sent grow with the corpus and not with its square.
+    buckets = BUCKETS_PER_TASK * n
 
     def send(table: pa.Table) -> pa.Table:
         part = _Part(table, width)
