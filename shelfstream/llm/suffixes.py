@@ -32,6 +32,8 @@ from .substring import _intervals, _pack, _unpack
 LENGTH = 200
 ANCHOR = 64
 CROWD = 2_000
+#: Buckets of anchors for each shuffle partition.
+BUCKETS_PER_TASK = 2
 PART_BYTES = 8 << 20
 SLICE_BYTES = 1 << 20
 BATCH_BYTES = 1 << 20
@@ -268,9 +270,11 @@ def _search(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Recor
 def dedup_bytes(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, part_bytes: int = PART_BYTES, crowd: int = CROWD) -> DataFrame:
     """Per document its bytes, the maximal removed runs, and the hash of the bytes that stay."""
     n_tasks = partitions(docs.sparkSession)
-    rows, parts = dealt(docs, part_bytes)
+    rows, _ = dealt(docs, part_bytes)
     by_part = rows.repartition(n_tasks, "part")
-    bounds = np.array([(i << 64) // parts for i in range(1, parts)], np.uint64)
+    # By the tasks, not by the parts, so that the rows sent grow with the corpus and not with its square.
+    buckets = BUCKETS_PER_TASK * n_tasks
+    bounds = np.array([(i << 64) // buckets for i in range(1, buckets)], np.uint64)
 
     def send(table: pa.Table) -> pa.Table:
         found = [c for _, c in _sliced(_texts(_ordered(table)), length, anchor)]
