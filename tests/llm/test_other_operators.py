@@ -7,6 +7,7 @@ import random
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from check import TABLES, compare
@@ -40,12 +41,27 @@ def test_kd_tree_opens_few_boxes_in_low_dimensions():
     vectors = rng.integers(-1000, 1000, (5000, 2))
     tree = topk.KDTree(np.arange(5000), vectors)
     query = np.array([3, 5])
-    bounds = tree.bounds(query[None])[0]
-    best = tree.search(query, bounds, 5, -1, topk.NONE_YET)
+    (bounds,), (sizes,) = tree.bounds(query[None])
+    best = tree.search(query, bounds, sizes, 5, -1, topk.NONE_YET)
     assert [s for s, _ in best] == sorted((vectors @ query).tolist(), reverse=True)[:5]
     assert (bounds >= best[-1][0]).sum() < len(bounds) / 4
 
 
+def test_top_k_of_large_components(spark):
+    rng = random.Random(2)
+    rows = [(0, [1.0, 1.0]), (1, [70000.0, 0.0]), (2, [90000.0, -1.0]), (3, [80000.0, 5.0])]
+    rows += [(10 + i, [rng.uniform(-1, 1) * 2 ** rng.randint(-3, 21) for _ in range(2)]) for i in range(80)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk.top_k(frame, frame.where("vec_id % 10 = 0"), 3, 20).collect()
+    assert sorted(map(tuple, got)) == sorted(brute.top_k(rows, {i for i, _ in rows if i % 10 == 0}, 3))
+    assert [r.vec_id for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == 0][:1] != [1]
+    # Scores beyond a long end at its ends, and terms beyond it that cancel out do not disturb the score.
+    far = [(0, [1e15, 1e15, 1.0]), (1, [1e15, -1e15, 2.0]), (2, [1e15, 1e15, 0.0]), (3, [-1e15, -1e15, 0.0]), (4, [0.0, 0.0, 3.0])]
+    frame = spark.createDataFrame(far, "vec_id long, embedding array<double>")
+    got = topk.top_k(frame, frame.where("vec_id = 0"), 4).orderBy("rank").collect()
+    assert [(r.vec_id, r.score) for r in got] == [(2, (1 << 63) - 1), (4, 3 << 20), (1, 2 << 20), (3, -(1 << 63))]
+
+
 @pytest.mark.parametrize("salted", [False, True])
 def test_mixing_draws_by_inverse_poisson(spark, salted, monkeypatch):
     if salted:
@@ -83,6 +99,27 @@ def test_mixing_draws_by_inverse_poisson(spark, salted, monkeypatch):
     assert 1700 < rare < 2300  # a rate beyond the range of exp(-rate)
 
 
+def test_mixing_spreads_the_copies_of_one_row(spark):
+    docs = spark.createDataFrame([(i, "a", f"t{i}") for i in range(20000)] + [(-1, "b", "only")], "doc_id long, source string, text string")
+    mixed = mixing.mix(docs)
+    assert 9500 < mixed.where("source = 'b'").count() < 10500
+    # The copies come out of the parts of the rate, each of at most 500 on average, in several tasks.
+    rates = {r.rate_source: r.parts for r in mixing.source_rates(docs).collect()}
+    assert rates == {"a": 1, "b": 21}
+    assert mixed.where("source = 'b'").select(F.spark_partition_id().alias("p")).distinct().count() > 1
+
+
+def test_maximal_segments_in_linear_time():
+    import time
+
+    found = [(40 * i, 1.0 + (i % 7) / 10) for i in range(100_000)]
+    start = time.process_time()
+    assert len(toxicity.maximal_segments(found, 0.05)) == 100_000
+    rising = [(i, 1.0) for i in range(0, 200_000, 2)]
+    assert len(toxicity.maximal_segments(rising, 0.05)) == 1
+    assert time.process_time() - start < 2
+
+
 def test_maximal_segments_by_brute_force():
     rng = random.Random(9)
     for _ in range(300):

@@ -31,3 +31,11 @@ def test_results_with_hot_and_null_ids(spark, skewed):
     assert sorted(map(tuple, got), key=repr) == sorted(brute.substring_dedup(skewed, 10), key=repr)
     got = suffixes.dedup_bytes(docs, 60, 20, 1000).selectExpr("doc_id", "n_bytes", "n_removed", "size(removed) n", "kept_sha256").collect()
     assert sorted(map(tuple, got), key=repr) == sorted(brute.byte_dedup(skewed, 60), key=repr)
+
+
+def test_heavy_ids_that_doubles_cannot_tell_apart(spark):
+    shared = " ".join(f"s{i}" for i in range(120))
+    rows = [((1 << 60) + i, f"{shared} " + " ".join(f"o{i}-{j}" for j in range(200))) for i in range(6)] + [(None, shared), ((1 << 63) - 1, shared)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = substring.dedup_substrings(docs, 10, 500).select("doc_id", "n_words", "n_removed", "kept_sha256").collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(brute.substring_dedup(rows, 10), key=repr)
