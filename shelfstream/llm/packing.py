@@ -6,6 +6,7 @@ come; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -27,6 +28,50 @@ GROUP_PIECES = 16_384
 MEMORY_BYTES = 400 << 20
 
 _MARKED = re.compile(rb"[A-Z][\x80-\xff]")
+# How tokenizers with word ends cut a text, and the same for folded ASCII words.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_RUNS = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+
+
+class LetterRuns:
+    """Ids of many runs of the letters a to z at once, by a BPE that marks the end of a word.
+
+    A capital stands for the letter with the mark. The entries of letters alone then are a byte-level vocabulary whose ids serve
+    as ranks, as they follow the order of the merges.
+    """
+
+    @staticmethod
+    def of(path: str) -> LetterRuns | None:
+        """None if the tokenizer at ``path`` cuts or numbers words in another way."""
+        with open(path, encoding="utf-8") as file:
+            rules = json.load(file)
+        model, cuts = rules["model"], json.dumps(rules["pre_tokenizer"])
+        mark = model.get("end_of_word_suffix")
+        if not mark or json.dumps(WORD_PATTERN) not in cuts:
+            return None
+        merged = [model["vocab"]["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+        return LetterRuns(model["vocab"], mark) if merged == sorted(merged) else None
+
+    def __init__(self, vocabulary: dict[str, int], mark: str):
+        import tiktoken
+
+        ranks = {}
+        for entry, number in vocabulary.items():
+            run = entry.removesuffix(mark)
+            if run and run.isascii() and run.isalpha() and run.islower():
+                ranks[(run if run == entry else run[:-1] + run[-1].upper()).encode()] = number
+        size = max(vocabulary.values()) + 1
+        self.ends = np.zeros(size + 256, bool)
+        self.ends[[number for run, number in ranks.items() if run[-1:].isupper()]] = True
+        # Every byte needs a rank; those that no run has come last.
+        ranks |= {bytes([b]): size + b for b in range(256) if bytes([b]) not in ranks}
+        self.bpe = tiktoken.Encoding("runs", pat_str="[a-z]*[A-Z]", mergeable_ranks=ranks, special_tokens={})
+
+    def __call__(self, runs: list[bytes]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each run."""
+        ids = np.array(self.bpe.encode_ordinary(b"".join(r[:-1] + r[-1:].upper() for r in runs).decode()), "<u4")
+        data, stops = ids.tobytes(), (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+        return [data[a:z] for a, z in zip([0, *stops], stops)]
 
 
 class WordIds:
@@ -44,6 +89,7 @@ class WordIds:
         self.boundary, self.boundary_id = boundary, self.tokenizer.token_to_id(boundary)
         self.specials = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.folds, self.memory_bytes = folds, memory_bytes
+        self.letters = LetterRuns.of(path) if folds else None
         self.known: dict[bytes, bytes] = {}
         self.held = 0
 
@@ -68,6 +114,21 @@ class WordIds:
             self._encode(words)
 
     def _encode(self, words: list[bytes]) -> None:
+        if self.letters:
+            # Folded ASCII words fall into runs, most of which are letters.
+            split = {w: _RUNS.findall(w) for w in words if w.isascii() and w == w.lower() and not any(s[:2] in w for s in self.specials)}
+            runs = {r for own in split.values() for r in own}.difference(self.known)
+            letters = [r for r in runs if r.isalpha()]
+            self.known.update(zip(letters, self.letters(letters)))
+            self.held += sum(map(len, letters)) + 200 * len(letters)
+            self._encode_by_library([*runs.difference(letters), *(w for w in words if w not in split)])
+            parted = {w: b"".join(map(self.known.__getitem__, own)) for w, own in split.items() if w not in self.known}
+            self.known |= parted
+            self.held += sum(5 * len(w) + 180 for w in parted)
+        else:
+            self._encode_by_library(words)
+
+    def _encode_by_library(self, words: list[bytes]) -> None:
         odd = []
         for start in range(0, len(words), 2048):
             part = words[start : start + 2048]
