@@ -21,3 +21,20 @@ def test_capitals_with_combining_marks_keep_the_tokenizers_ids(text):
 
     ids = packing.WordIds(TOKENIZER, "<|endoftext|>")
     assert np.frombuffer(ids([text])[0], "<u4").tolist() == ids.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_letter_runs_give_the_ids_of_the_tokenizer():
+    import random
+
+    import numpy as np
+    from tokenizers import Tokenizer
+
+    from shelfstream.llm import queries
+    from shelfstream.llm.packing import LetterRuns, WordIds
+
+    assert LetterRuns.of(queries.TOKENIZER) and LetterRuns.of(queries.BYTE_TOKENIZER) is None
+    rng, library = random.Random(8), Tokenizer.from_file(queries.TOKENIZER)
+    parts = ["don't", "we'll", "'s", "A", "zz", "x1y22", "--", "\"'tis", "e.g.,", "It's.", "naïve", "\x01b", "\x1cq", "<|end", "<|endoftext|>", "%%%", "é'd", "'", "12.5,"]
+    texts = [" ".join(rng.choice(parts) + "".join(rng.choices("abcdefghijklmnoprstuvw'.,-3", k=rng.randint(0, 12))) for _ in range(60)) for _ in range(60)]
+    found = WordIds(queries.TOKENIZER, "<|endoftext|>")(texts)
+    assert [np.frombuffer(f, "<u4").tolist() for f in found] == [library.encode(t, add_special_tokens=False).ids for t in texts]
