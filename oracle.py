@@ -204,6 +204,23 @@ MISSING_TEXT = "Event requires item to be set, but not set"
 PARSE_TEXT = "case when event_id % 101 = 0 then 'Message does not match the schema' else 'Empty message' end"
 PARSE_DATA = "case when event_id % 101 = 0 then '{broken' else '' end"
 
+PAGE_CELLS = f"""with v as ({_page_views(3600000)})
+select page || '-' || "startTime" as row_key, 'pageViewAgg' as family, 'pageViewRef' as qualifier,
+  hex(encode(page)) as value from v
+union all
+select page || '-' || "startTime", 'pageViewAgg', 'pageViewCount', lpad(hex(count), 16, '0') from v"""
+
+CLICK_JOB_VIEWS = f"""with {CHECKED}
+select cast(5000 as bigint) as "durationMS", t // 5000 * 5000 as "startTime", page, count(*) as count
+from (select *, case when bad_time then arrival_ms else event_ms end as t from checked)
+where event = 'browse' and not ({BROKEN}) group by 2, 3"""
+
+LATEST_SIGNAL = f"""with {VELOCITY}
+select 'signal:' || store_id || ':' || product_id as key,
+  case when h >= 100 then printf('Signal{{type=''FAST'', window=''1h'', count=%d}}', h)
+       else printf('Signal{{type=''SLOW'', window=''24h'', count=%d}}', d) end as value
+from signal qualify row_number() over (partition by store_id, product_id order by n desc) = 1"""
+
 ORACLE = {
     "inventory_on_hand": f"with {INVENTORY} select {EVENT_COLS}, on_hand from on_hand",
     "inventory_on_hand_stream": f"with {INVENTORY} select {EVENT_COLS}, on_hand from on_hand",
@@ -218,11 +235,7 @@ ORACLE = {
     "velocity_signal": _signal(100),
     "velocity_signal_stream": _signal(100),
     "velocity_signal_20": _signal(20),
-    "velocity_latest_kv": f"""with {VELOCITY}
-        select 'signal:' || store_id || ':' || product_id as key,
-          case when h >= 100 then printf('Signal{{type=''FAST'', window=''1h'', count=%d}}', h)
-               else printf('Signal{{type=''SLOW'', window=''24h'', count=%d}}', d) end as value
-        from signal qualify row_number() over (partition by store_id, product_id order by n desc) = 1""",
+    "velocity_latest_kv": LATEST_SIGNAL,
     "unify_clickstream": f"""with {CLICKS}
         select event_id, page as product_id, 'WEB' as store_id,
           case when event in ('view_item', 'browse') then 'VIEW' when event = 'add-to-cart' then 'CART_ADD' else 'SALE' end as event_type,
@@ -255,11 +268,7 @@ ORACLE = {
     "aggregate_table_roundtrip": _page_views(5000),
     "page_views_1h": _page_views(3600000),
     "page_views_1h_stream": _page_views(3600000),
-    "page_view_cells": f"""with v as ({_page_views(3600000)})
-        select page || '-' || "startTime" as row_key, 'pageViewAgg' as family, 'pageViewRef' as qualifier,
-          hex(encode(page)) as value from v
-        union all
-        select page || '-' || "startTime", 'pageViewAgg', 'pageViewCount', lpad(hex(count), 16, '0') from v""",
+    "page_view_cells": PAGE_CELLS,
     "non_error_events": f"with {CLICKS} select event, count(*) as n from c where event <> 'ERROR' group by 1",
     "stock_counts": f"""with {STOCK_COUNTS}
         select cast(5000 as bigint) as "durationMS", "startTime", product_id, store_id, count from counted""",
@@ -282,6 +291,39 @@ ORACLE = {
         select client_id, session_start, cast(0 as bigint) as part, cast(count(*) as int) as n_events,
           string_agg(event, ',' order by "timestamp", event_datetime, event) as events
         from tagged group by 1, 2""",
+    "sessionized_12h_stream": f"""with {_sessions(43200000)}
+        select client_id, session_start, cast(0 as bigint) as part, cast(count(*) as int) as n_events,
+          string_agg(event, ',' order by "timestamp", event_datetime, event) as events
+        from tagged group by 1, 2""",
+    "late_views_stream": f"""with {CLICKS},
+        span as (select min(arrival_ms) as low, max(arrival_ms) as high from c),
+        planted as (select c.*, event_id % 50 = 0 and arrival_ms * 10 > low + 9 * high as late from c, span)
+        select page, "timestamp" // 3600000 * 3600000 as "startTime", count(*) as count
+        from planted where event = 'browse' and not late group by 1, 2
+        union all select 'late', null, count(*) from planted where late""",
+    "clickstream_job_stream": CLICK_JOB_VIEWS,
+    "clickstream_job_stream_sessions": f"""with {CHECKED},
+        clean as (
+          select *, case when bad_time then arrival_ms else event_ms end as t from checked
+          where not (needs_item and not has_item) and not ({BROKEN})),
+        marked as (
+          select *, case when t - lag(t) over (partition by client_id order by t, event_id) < 30000 then 0 else 1 end as opens from clean),
+        numbered as (select *, sum(opens) over (partition by client_id order by t, event_id rows unbounded preceding) as no from marked)
+        select client_id, min(t) as session_start, cast(count(*) as int) as n_events from numbered group by client_id, no""",
+    "inventory_job_stream": f"select * from ({LATEST_STOCK}) union all select * from ({LATEST_SIGNAL})",
+    "attribute_time_views_stream": f"""with {CLICKS}
+        select cast(3600000 as bigint) as "durationMS", arrival_ms // 3600000 * 3600000 as "startTime", page, count(*) as count
+        from c where event = 'browse' and not ({BROKEN}) group by 2, 3""",
+    "versioned_stores_stream": f"""with {TRANSACTIONS}, {STORES}
+        select {TX_COLS}, id, cast(zip + 100000 * least(2, ("timestamp" - 1704067200000) // 259200000) as int) as zip, city, state, lat, lng
+        from tx join stores on store_id = id""",
+    "parse_failure_metrics": f"""with {CLICKS}
+        select 'clickstream' as feed, true as has_good, true as same, count(*) as failures from c where {BROKEN}
+        union all select 'stock', true, true, null""",
+    "raw_archive_content": f"""with {CLICKS}
+        select event_datetime, event, "timestamp", user_id, client_id, page, page_previous, {ITEM_COLS}
+        from i where not ({BROKEN})""",
+    "page_view_cells_table": PAGE_CELLS,
     "missing_items_dead_letter": f"""with {CLICKS}
         select event_id, '{MISSING_TEXT}' as error, arrival_ms as at_ms from i where needs_item and not has_item""",
     "invalid_items": f"""with {CHECKED}
@@ -327,10 +369,7 @@ ORACLE = {
           case when h >= 100 then printf('Signal{{type=''FAST'', window=''1h'', count=%d}}', h)
                else printf('Signal{{type=''SLOW'', window=''24h'', count=%d}}', d) end as value
         from sums""",
-    "clickstream_job_views": f"""with {CHECKED}
-        select cast(5000 as bigint) as "durationMS", t // 5000 * 5000 as "startTime", page, count(*) as count
-        from (select *, case when bad_time then arrival_ms else event_ms end as t from checked)
-        where event = 'browse' and not ({BROKEN}) group by 2, 3""",
+    "clickstream_job_views": CLICK_JOB_VIEWS,
     "clickstream_job_letters": f"""with {CLICKS}
         select error, count(*) as n, max(arrival_ms) as last_ms from (
           select '{MISSING_TEXT}' as error, arrival_ms from i where needs_item and not has_item and not ({BROKEN})

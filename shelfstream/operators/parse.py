@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,6 +43,13 @@ def parse_errors(parsed: DataFrame, arrival: Column | None = None, value_col: st
     return bad.select(*ERROR_MSG.names)
 
 
+def with_failure_count(parsed: DataFrame) -> tuple[DataFrame, Observation]:
+    """``parsed`` and an observation that has ``rows`` and ``json_parse_failures`` once the frame has been written."""
+    counted = Observation()
+    failures = F.count_if(F.col("error").isNotNull()).alias("json_parse_failures")
+    return parsed.observe(counted, F.count(F.lit(1)).alias("rows"), failures), counted
+
+
 def observe_failures(parsed: DataFrame, name: str = "json_conversion") -> DataFrame:
     """Count parse failures while the rows pass; read them from an Observation or a query listener."""
     return parsed.observe(name, F.count(F.when(F.col("error").isNotNull(), 1)).alias("json_parse_failures"))

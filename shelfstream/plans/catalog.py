@@ -21,9 +21,11 @@ from shelfstream.session import shared_dir
 from shelfstream.sinks import append, dead_letter, serving
 from shelfstream.sources import json_lines
 from shelfstream.sources import sample_feeds as feeds
-from shelfstream.streaming.dimension import RefreshingDimension
+from shelfstream.streaming.dimension import RefreshingDimension, VersionedDimension
 from shelfstream.streaming.inventory_state import inventory_stream
-from shelfstream.streaming.runs import replay, replay_to_table, start_batches
+from shelfstream.streaming.lateness import start_gate
+from shelfstream.streaming.runs import put_in_order, replay, replay_to_table, run_to_table, start_batches
+from shelfstream.streaming.session_state import closed_session_events
 from shelfstream.streaming.velocity_state import velocity_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -255,7 +257,10 @@ def session_events_12h(spark, sf_dir):
 @query
 def sessionized_12h(spark, sf_dir):
     """Nested sessions, shown with the number and the names of their events in time order."""
-    nested = sessions.sessionize(feeds.clickstream(spark, sf_dir), TWELVE_HOURS)
+    return _session_view(sessions.sessionize(feeds.clickstream(spark, sf_dir), TWELVE_HOURS))
+
+
+def _session_view(nested):
     names = F.array_join(F.transform("value", lambda e: e["event"]), ",")
     return nested.select(
         F.col("key.client_id").alias("client_id"), "session_start", "part", F.size("value").alias("n_events"), names.alias("events")
@@ -342,6 +347,26 @@ def raw_archive_counts(spark, sf_dir):
     return archived.groupBy("json").agg(F.count(F.lit(1)).alias("n")).groupBy("n").agg(F.count(F.lit(1)).alias("messages"))
 
 
+@query
+def raw_archive_content(spark, sf_dir):
+    """The archived messages parsed again: nothing of a message is lost or changed."""
+    path = shared_dir(spark, "raw")
+    append.archive_raw(feeds.clickstream_json(spark, sf_dir), path)
+    archived = spark.read.parquet(path).select(F.col("json").alias("value"))
+    return _click_view(parse.good_rows(parse.parse_json(archived, CLICKSTREAM)))
+
+
+@query
+def page_view_cells_table(spark, sf_dir):
+    """Cells of early counts in a serving table by cell, then those of all events: a later count replaces its cell alone."""
+    path, clicks = shared_dir(spark, "cells"), _clicks(spark, sf_dir)
+    for part in (clicks.where("event_id % 3 > 0"), clicks):
+        cells = serving.page_view_cells(conform(counts.page_views(counts.with_event_time(part), HOUR), PAGE_VIEW_AGG))
+        serving.upsert_latest(cells, path, serving.CELL_KEYS, ["version"])
+    latest = serving.read_latest(spark, path, serving.CELL_KEYS, ["version"])
+    return latest.select(*serving.CELL_KEYS, F.hex("value").alias("value"))
+
+
 @query
 def aggregate_table_roundtrip(spark, sf_dir):
     path = append.append_aggregate(page_views_5s(spark, sf_dir), shared_dir(spark, "aggregates"), "PageView", 5_000)
@@ -414,6 +439,23 @@ def stock_job_rows(spark, sf_dir):
     return rows.select("product_id", "store_id", "count", "timestamp", F.unix_millis("window.start").alias("window_ms"))
 
 
+@query
+def parse_failure_metrics(spark, sf_dir):
+    """Parse failures that the jobs counted on the way, beside the dead letters of parsing."""
+    cfg = _warehouse(spark)
+    clickstream_plan.run_clickstream(feeds.clickstream_json(spark, sf_dir), feeds.catalogue(spark, sf_dir), cfg)
+    stock = feeds.as_json(feeds.stock(spark, sf_dir))
+    broken = stock.select(F.concat(F.lit("{"), "value").alias("value")).where(F.crc32("value") % 7 == 0)
+    stock_plan.run_stock(stock.unionByName(broken), cfg)
+    counted = spark.read.parquet(cfg.table("metrics")).select("feed", "rows", "json_parse_failures")
+    letters = spark.read.parquet(cfg.table("dead_letters")).where(F.col("error").isin(parse.BLANK_ERROR, parse.JSON_ERROR))
+    letters = letters.groupBy("feed").agg(F.count(F.lit(1)).alias("letters"))
+    return counted.join(letters, "feed").select(
+        "feed", (F.col("rows") > F.col("json_parse_failures")).alias("has_good"), (F.col("json_parse_failures") == F.col("letters")).alias("same"),
+        F.when(F.col("feed") == "clickstream", F.col("json_parse_failures")).alias("failures"),
+    )
+
+
 # Streams: the feed replayed in time order, and the table the stream wrote ----------------------------
 
 # Beyond any window, session and delay after the last event.
@@ -470,6 +512,132 @@ def sessions_12h_stream(spark, sf_dir):
     return replay_to_table(clicks, "timestamp", closed, closing=_closing(clicks))
 
 
+@query
+def sessionized_12h_stream(spark, sf_dir):
+    """Nested sessions that the stream builds as it closes them."""
+    clicks, table = feeds.clickstream(spark, sf_dir), shared_dir(spark, "sessions")
+
+    def run(stream, checkpoint):
+        closed = closed_session_events(counts.with_event_time(stream, watermark="10 minutes"), TWELVE_HOURS)
+
+        def work(batch, load):
+            append.append_table(sessions.sessionize(batch, TWELVE_HOURS), table, load)
+
+        start_batches(closed, work, checkpoint).awaitTermination()
+
+    replay(clicks, "timestamp", run, closing=_closing(clicks))
+    return _session_view(spark.read.parquet(table))
+
+
+@query
+def late_views_stream(spark, sf_dir):
+    """Page views of a stream with planted late events, and the number of letters that those became."""
+    clicks = feeds.clickstream(spark, sf_dir)
+    span = clicks.agg(F.min("arrival_ms").alias("low"), F.max("arrival_ms").alias("high")).first()
+    # Late in every micro-batch but the first, so the last tenth of the arrivals is planted.
+    planted = (F.col("event_id") % 50 == 0) & (F.col("arrival_ms") * 10 > span.low + 9 * span.high)
+    late = clicks.withColumn("timestamp", F.when(planted, F.col("timestamp") - 400 * 86_400_000).otherwise(F.col("timestamp")))
+    table, letters = shared_dir(spark, "on-time"), shared_dir(spark, "letters")
+    replay(late, "arrival_ms", lambda stream, checkpoint: start_gate(stream, table, letters, checkpoint, HOUR, 600_000).awaitTermination())
+    on_time = spark.read.parquet(table).drop("load")
+
+    def views(stream):
+        timed = counts.with_event_time(unify.drop_error_events(stream), watermark="10 minutes")
+        return conform(counts.page_views(timed, HOUR), PAGE_VIEW_AGG)
+
+    counted = replay_to_table(on_time, "arrival_ms", views, closing=_closing(on_time, event=F.lit("heartbeat"), arrival_ms=F.lit(1 << 60)))
+    lost = spark.read.parquet(letters).agg(F.count(F.lit(1)).alias("count"))
+    return counted.select("page", "startTime", "count").unionByName(
+        lost.select(F.lit("late").alias("page"), F.lit(None).cast("bigint").alias("startTime"), "count")
+    )
+
+
+def _clickstream_job(spark, sf_dir):
+    """Both parts of the streaming job over the messages, with a last message that closes all windows."""
+    cfg, messages = _warehouse(spark), feeds.clickstream_json(spark, sf_dir)
+    end = messages.agg(F.max("arrival_ms")).first()[0] + _CLOSING_MS
+    heartbeat = F.to_json(F.struct(F.lit("heartbeat").alias("event"), F.date_format(F.timestamp_millis(F.lit(end)), "yyyy-MM-dd HH:mm:ss").alias("event_datetime")))
+    closing = {"value": heartbeat, "arrival_ms": F.lit(end)}
+
+    def run(stream, checkpoint):
+        clickstream_plan.start_clickstream(stream, feeds.catalogue(spark, sf_dir), cfg, checkpoint).awaitTermination()
+        for running in clickstream_plan.start_clickstream_counts(spark, cfg, checkpoint):
+            running.awaitTermination()
+
+    replay(messages, "arrival_ms", run, closing=closing)
+    return cfg
+
+
+@query
+def clickstream_job_stream(spark, sf_dir):
+    """The whole clickstream job as streams, then its page-view table."""
+    cfg = _clickstream_job(spark, sf_dir)
+    views = spark.read.parquet(append.aggregate_path(cfg.table("aggregates"), "PageView", cfg.window_ms))
+    return conform(views, PAGE_VIEW_AGG)
+
+
+@query
+def clickstream_job_stream_sessions(spark, sf_dir):
+    """The same job's table of nested sessions."""
+    cfg = _clickstream_job(spark, sf_dir)
+    nested = spark.read.parquet(cfg.table("clickstream_sessions"))
+    return nested.select(F.col("key.client_id").alias("client_id"), "session_start", F.size("value").alias("n_events"))
+
+
+@query
+def inventory_job_stream(spark, sf_dir):
+    """Both serving tables of the streaming inventory job."""
+    cfg = _warehouse(spark)
+
+    def run(stream, checkpoint):
+        for running in inventory_plan.start_inventory(stream, cfg, checkpoint, feeds.ARRIVAL):
+            running.awaitTermination()
+
+    replay(feeds.unified(spark, sf_dir), "arrival_ms", run)
+    tables = [serving.read_latest(spark, cfg.table(t), ["key"], ["version", *feeds.ARRIVAL]) for t in ("stock_serving", "signal_serving")]
+    return tables[0].select("key", "value").unionByName(tables[1].select("key", "value"))
+
+
+@query
+def attribute_time_views_stream(spark, sf_dir):
+    """Page views by the time in a message attribute, from text files that micro-batches admit by their bytes."""
+    folder = shared_dir(spark, "lines")
+    lines = feeds.clickstream_json(spark, sf_dir).select("arrival_ms", F.concat_ws("\t", "arrival_ms", "value").alias("value"))
+    last = lines.agg(F.max("arrival_ms")).first()[0] + _CLOSING_MS
+    lines.repartitionByRange(8, "arrival_ms").select("value").write.text(f"{folder}/0-lines")
+    spark.range(1).select(F.lit(f'{last}\t{{"event": "heartbeat"}}').alias("value")).write.text(f"{folder}/1-closing")
+    put_in_order(spark, f"{folder}/*/*.txt")
+    size = sum(f.getLen() for f in serving.files(spark, f"{folder}/0-lines/*.txt"))
+    stream = json_lines.stream_json_lines(spark, f"{folder}/*", max_bytes_per_trigger=str(max(1, size // 3)))
+    timed = json_lines.assign_event_time(json_lines.split_attribute(stream), watermark="10 minutes")
+    clicks = unify.drop_error_events(parse.good_rows(parse.parse_json(timed, CLICKSTREAM)))
+    return run_to_table(conform(counts.page_views(clicks, HOUR), PAGE_VIEW_AGG))
+
+
+@query
+def versioned_stores_stream(spark, sf_dir):
+    """Micro-batches joined with the stores as they were at the time of each sale; the last snapshot comes while the stream runs."""
+    stores, table = feeds.stores(spark, sf_dir), shared_dir(spark, "enriched")
+    dimension = VersionedDimension(spark, shared_dir(spark, "stores"))
+
+    def snapshot(number):
+        dimension.add(stores.withColumn("zip", F.col("zip") + 100_000 * number), 1704067200000 + 3 * 86_400_000 * number)
+
+    snapshot(0)
+    snapshot(1)
+
+    def run(stream, checkpoint):
+        def work(batch, load):
+            if 1704067200000 + 6 * 86_400_000 not in dimension.versions():
+                snapshot(2)
+            append.append_table(enrich.enriched_rows(dimension.enrich(batch)), table, load)
+
+        start_batches(stream, work, checkpoint).awaitTermination()
+
+    replay(feeds.transactions(spark, sf_dir), "timestamp", run)
+    return _store_view(spark.read.parquet(table).drop("load"))
+
+
 @query
 def enriched_transactions_stream(spark, sf_dir):
     """Micro-batches joined with a store table that is read again while the stream runs."""

@@ -8,15 +8,17 @@ from pyspark.sql import functions as F
 from shelfstream.config import RetailConfig
 from shelfstream.functions.scalars import conform
 from shelfstream.operators.counts import page_views, with_event_time
-from shelfstream.operators.parse import good_rows, parse_errors, parse_json
+from shelfstream.operators.parse import good_rows, parse_errors, parse_json, with_failure_count
 from shelfstream.operators.quality import validate_and_correct
-from shelfstream.operators.sessions import events_of_sessions, session_stream, sessionize
+from shelfstream.operators.sessions import sessionize
 from shelfstream.operators.unify import drop_error_events
 from shelfstream.schemas import CLICKSTREAM, PAGE_VIEW_AGG
 from shelfstream.session import computed_once, configure_streaming
-from shelfstream.sinks.append import aggregate_path, append_aggregate, append_table, archive_raw, new_load, stream_append
+from shelfstream.sinks.append import aggregate_path, append_aggregate, append_failures, append_table, archive_raw, new_load, stream_append, table_exists
 from shelfstream.sinks.dead_letter import dead_letter
+from shelfstream.streaming.lateness import start_gate
 from shelfstream.streaming.runs import start_batches
+from shelfstream.streaming.session_state import closed_session_events
 
 ARRIVAL = "arrival_ms"
 
@@ -40,12 +42,14 @@ def store_clean(
     cfg: RetailConfig,
     load: str | None = None,
 ) -> None:
-    """Archive the messages and append their clean events and dead letters."""
+    """Archive the messages, count parse failures and append their clean events and dead letters."""
     archive_raw(messages, cfg.table("clickstream_raw"), load, test_mode=cfg.test_mode)
-    with computed_once(parse_json(with_arrival(messages), CLICKSTREAM), "parsed") as parsed:
+    counted_rows, counted = with_failure_count(parse_json(with_arrival(messages), CLICKSTREAM))
+    with computed_once(counted_rows, "parsed") as parsed:
         clean, dead = clean_and_dead(parsed, catalogue)
         append_table(clean, cfg.table("clickstream_clean"), load)
         append_table(dead_letter(dead), cfg.letters("clickstream"), load)
+    append_failures(messages.sparkSession, cfg.table("metrics"), "clickstream", counted, load)
 
 
 def run_clickstream(messages: DataFrame, catalogue: DataFrame, cfg: RetailConfig, load: str | None = None) -> DataFrame:
@@ -73,28 +77,37 @@ def start_clickstream(messages: DataFrame, catalogue: DataFrame, cfg: RetailConf
     return start_batches(messages, work, f"{checkpoint}/clean", **trigger)
 
 
-def store_sessions(closed: DataFrame, cfg: RetailConfig, load: str) -> None:
-    """Append the nested rows of sessions the stream has closed, with their events from the clean table."""
-    spark = closed.sparkSession
-    span = closed.agg(F.min("session_start").alias("lo"), F.max("session_end").alias("hi")).first()
-    if span.lo is None:
-        return
-    clean = conform(spark.read.parquet(cfg.table("clickstream_clean")), CLICKSTREAM)
-    near = clean.filter(F.col("timestamp").between(span.lo, span.hi))
-    events = events_of_sessions(near, closed, cfg.session_gap_ms)
-    append_table(sessionize(events, cfg.session_gap_ms), cfg.table("clickstream_sessions"), load)
-
-
 def start_clickstream_counts(spark: SparkSession, cfg: RetailConfig, checkpoint: str, **trigger):
-    """Streaming job, second part: follows the clean table with closed sessions and page views."""
+    """Streaming job, second part: follows the clean table with closed sessions, and with page views of the events in time.
+
+    Views follow a table of their own, from which events later than the watermark have been turned into dead letters.
+    """
     configure_streaming(spark)
-    path = cfg.table("clickstream_clean")
-    clean = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
-    timed = with_event_time(clean, watermark=cfg.watermark)
-    views = conform(page_views(drop_error_events(timed), cfg.window_ms), PAGE_VIEW_AGG)
-    sessions = session_stream(timed, cfg.session_gap_ms)
+
+    def follow(path: str) -> DataFrame:
+        schema = spark.read.parquet(path).drop("load").schema
+        return spark.readStream.schema(schema).parquet(path).select(*schema.names)
+
+    clean, on_time = cfg.table("clickstream_clean"), cfg.table("clickstream_on_time")
+    gate = start_gate(
+        follow(clean), on_time, cfg.letters("clickstream_late"), f"{checkpoint}/gate", cfg.window_ms, cfg.watermark_ms, **trigger
+    )
+    if not trigger:
+        # Everything there is: the views then have their whole table.
+        gate.awaitTermination()
+    if not table_exists(spark, on_time):
+        spark.createDataFrame([], spark.read.parquet(clean).drop("load").schema).write.parquet(f"{on_time}/load=none")
+    timed = with_event_time(conform(follow(clean), CLICKSTREAM), watermark=cfg.watermark)
+    sessions = closed_session_events(timed, cfg.session_gap_ms)
+
+    def store_sessions(closed: DataFrame, load: str) -> None:
+        append_table(sessionize(closed, cfg.session_gap_ms), cfg.table("clickstream_sessions"), load)
+
+    viewed = with_event_time(follow(on_time), watermark=cfg.watermark)
+    views = conform(page_views(drop_error_events(viewed), cfg.window_ms), PAGE_VIEW_AGG)
     return (
-        start_batches(sessions, lambda batch, load: store_sessions(batch, cfg, load), f"{checkpoint}/sessions", **trigger),
+        gate,
+        start_batches(sessions, store_sessions, f"{checkpoint}/sessions", **trigger),
         stream_append(
             views, aggregate_path(cfg.table("aggregates"), "PageView", cfg.window_ms), f"{checkpoint}/views", **trigger
         ),

@@ -86,7 +86,7 @@ def start_inventory(events: DataFrame, cfg: RetailConfig, checkpoint: str, order
         return write
 
     on_hand = inventory_stream(events, order)
-    signals = velocity_stream(events, order, cfg.fast_threshold)
+    signals = velocity_stream(events, order, cfg.fast_threshold, idle_ms=cfg.velocity_idle_ms)
     return (
         start_batches(on_hand, writer(format_stock_kv, "stock_serving"), f"{checkpoint}/stock", **trigger),
         start_batches(signals, writer(format_signal_kv, "signal_serving"), f"{checkpoint}/signal", **trigger),

@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame
 from shelfstream.config import RetailConfig
 from shelfstream.operators.counts import with_event_time, with_fixed_window
 from shelfstream.operators.enrich import enriched_rows, unknown_store_letters, enrich_with_store
-from shelfstream.operators.parse import good_rows, parse_errors, parse_json
+from shelfstream.operators.parse import good_rows, parse_errors, parse_json, with_failure_count
 from shelfstream.schemas import TRANSACTION
 from shelfstream.session import computed_once
-from shelfstream.sinks.append import append_table, archive_raw, new_load
+from shelfstream.sinks.append import append_failures, append_table, archive_raw, new_load
 from shelfstream.sinks.dead_letter import dead_letter
 from shelfstream.streaming.dimension import RefreshingDimension
 from shelfstream.streaming.runs import start_batches
@@ -33,12 +33,14 @@ def enriched_and_dead(joined: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def store_transactions(messages: DataFrame, enrich: Enrich, cfg: RetailConfig, load: str | None = None) -> None:
-    """Archive the messages and append the enriched transactions and the dead letters."""
+    """Archive the messages, count parse failures and append the enriched transactions and the dead letters."""
     archive_raw(messages, cfg.table("transactions_raw"), load, test_mode=cfg.test_mode)
-    with computed_once(enrich(parsed(messages)), "parsed") as joined:
+    counted_rows, counted = with_failure_count(parsed(messages))
+    with computed_once(enrich(counted_rows), "parsed") as joined:
         enriched, dead = enriched_and_dead(joined)
         append_table(enriched, cfg.table("transactions_clean"), load)
         append_table(dead_letter(dead), cfg.letters("transactions"), load)
+    append_failures(messages.sparkSession, cfg.table("metrics"), "transactions", counted, load)
 
 
 def run_transactions(messages: DataFrame, stores: DataFrame, cfg: RetailConfig, load: str | None = None) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shelfstream.functions.scalars import duration_suffix
@@ -20,6 +20,12 @@ def append_table(df: DataFrame, path: str, load: str | None = None, partition_by
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/load={load or new_load()}")
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether any load has been written to the table at ``path``."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/load=*")
+    return bool(folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(folder))
+
+
 def raw_rows(df: DataFrame, value_col: str = "value") -> DataFrame:
     """Raw messages with their processing time and its date for partitioning."""
     now = F.current_timestamp()
@@ -35,6 +41,13 @@ def archive_raw(
     return df
 
 
+def append_failures(spark: SparkSession, path: str, feed: str, counted: Observation, load: str | None = None) -> None:
+    """Append what a job's observation counted: rows and parse failures of one load of a feed."""
+    found = counted.get
+    row = spark.createDataFrame([(found["rows"], found["json_parse_failures"])], "rows long, json_parse_failures long")
+    append_table(row, f"{path}/feed={feed}", load)
+
+
 def aggregate_path(base: str, name: str, duration_ms: int) -> str:
     """Table of an aggregate, e.g. ``base/PageView_5S``."""
     return f"{base.rstrip('/')}/{name}_{duration_suffix(duration_ms)}"

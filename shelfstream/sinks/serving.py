@@ -73,24 +73,25 @@ class _Version:
     buckets: dict[int, tuple[str, int, str]] = field(default_factory=dict)
 
 
-def _glob(spark: SparkSession, pattern: str) -> list:
+def files(spark: SparkSession, pattern: str) -> list:
+    """Status of the files and folders that a path pattern matches."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
     return list(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path) or ())
 
 
 def _bucket_count(spark: SparkSession, path: str) -> int | None:
     """Number of buckets of the table at ``path``, None before its first version."""
-    return next((int(s.getPath().getName().partition("=")[2]) for s in _glob(spark, f"{path}/buckets=*")), None)
+    return next((int(s.getPath().getName().partition("=")[2]) for s in files(spark, f"{path}/buckets=*")), None)
 
 
 def _versions(spark: SparkSession, path: str) -> dict[int, _Version]:
     """The complete versions with what they hold of each bucket."""
     versions = {}
-    for status in _glob(spark, f"{path}/buckets=*/version=*/_SUCCESS"):
+    for status in files(spark, f"{path}/buckets=*/version=*/_SUCCESS"):
         folder = status.getPath().getParent()
         number, _, load = folder.getName().partition("=")[2].partition("@")
         versions[int(number)] = _Version(load, folder.toString())
-    for status in _glob(spark, f"{path}/buckets=*/version=*/kind=*/bucket=*/*.parquet"):
+    for status in files(spark, f"{path}/buckets=*/version=*/kind=*/bucket=*/*.parquet"):
         folder = status.getPath().getParent()
         bucket, kind = (p.getName().partition("=")[2] for p in (folder, folder.getParent()))
         number = int(folder.getParent().getParent().getName().partition("=")[2].partition("@")[0])
@@ -194,7 +195,7 @@ def upsert_latest(
     newest.repartition(buckets, "bucket").write.mode("overwrite").partitionBy("kind", "bucket").parquet(target)
     if expired is not None:
         # A bucket of expired rows only has no file yet that would replace its earlier ones.
-        left = {int(s.getPath().getName().partition("=")[2]) for s in _glob(spark, f"{target}/kind=full/bucket=*")}
+        left = {int(s.getPath().getName().partition("=")[2]) for s in files(spark, f"{target}/kind=full/bucket=*")}
         for b in set(due) - left:
             empty = spark.createDataFrame([], newest.drop("kind", "bucket").schema)
             empty.write.mode("overwrite").parquet(f"{target}/kind=full/bucket={b}")

@@ -74,11 +74,11 @@ def feed(df: DataFrame, time_col: str, slices: int | None = None, closing: dict[
     if closing:
         last = [closing.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in df.schema]
         spark.range(1).select(*last).coalesce(1).write.parquet(f"{folder}/1-closing")
-    _put_in_order(spark, f"{folder}/*/*.parquet")
+    put_in_order(spark, f"{folder}/*/*.parquet")
     return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(f"{folder}/*")
 
 
-def _put_in_order(spark: SparkSession, pattern: str) -> None:
+def put_in_order(spark: SparkSession, pattern: str) -> None:
     """Give the files rising times of change, in the order of their names."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
     system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

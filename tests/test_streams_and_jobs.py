@@ -159,7 +159,7 @@ def test_clickstream_job(spark, tmp_path):
 
 def test_clickstream_job_on_a_stream(spark, tmp_path):
     catalogue = spark.createDataFrame([("1", "one", "b", "c")], CATALOGUE)
-    cfg = RetailConfig(str(tmp_path / "w"), watermark="1 second")
+    cfg = RetailConfig(str(tmp_path / "w"), watermark_ms=1000)
     rows = messages(spark, CLICKS, "{broken").collect()
     stream = as_stream(spark, tmp_path / "in", "value string, arrival_ms long", rows[:3], rows[3:])
     clickstream_plan.start_clickstream(stream, catalogue, cfg, str(tmp_path / "p1")).awaitTermination()
