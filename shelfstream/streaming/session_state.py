@@ -95,12 +95,14 @@ def closed_session_events(df: DataFrame, gap_ms: int = DEFAULT_GAP_MS) -> DataFr
     """The events of a stream, each once the watermark on ``event_time`` has closed its session; without ``event_time``.
 
     All events of a session come out in one micro-batch, on which :func:`shelfstream.operators.sessions.sessionize` builds the
-    nested rows. Events older than the watermark are dropped; those without ``event_time`` never close a session.
+    nested rows. Events at or before the watermark are dropped; those without ``event_time`` never close a session.
     """
     fields = [f for f in df.schema.fields if f.name != "event_time"]
     payload = F.to_json(F.struct(*[f.name for f in fields]))
-    waiting = df.where("event_time is not null").select("client_id", "event_time", "timestamp", payload.alias("payload"))
-    closed = waiting.groupBy("client_id").transformWithStateInPandas(
+    # Events without a client are a client of their own; null keys would be lost on the way.
+    client = F.coalesce(F.concat(F.lit("client "), "client_id"), F.lit("none")).alias("client")
+    waiting = df.where("event_time is not null").select(client, "event_time", "timestamp", payload.alias("payload"))
+    closed = waiting.groupBy("client").transformWithStateInPandas(
         statefulProcessor=SessionHolder(gap_ms), outputStructType=HELD, outputMode="Append", timeMode="EventTime"
     )
     return closed.select(F.from_json("payload", T.StructType(fields)).alias("event")).select("event.*")

@@ -2,6 +2,7 @@ import json
 import random
 from dataclasses import replace
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -16,9 +17,12 @@ from shelfstream.plans import transactions as transactions_plan
 from shelfstream.schemas import CATALOGUE
 from shelfstream.session import shared_dir
 from shelfstream.sinks import serving
-from shelfstream.sources.json_lines import assign_event_time, read_json_lines, stream_json_lines
+from shelfstream.sources.json_lines import assign_event_time, read_json_lines, split_attribute, stream_json_lines
 from shelfstream.streaming.inventory_state import inventory_stream
+from shelfstream.streaming.dimension import VersionedDimension
+from shelfstream.streaming.lateness import LATE, start_gate
 from shelfstream.streaming.runs import replay_to_table, run_to_table
+from shelfstream.streaming.session_state import closed_session_events, merged_spans
 from shelfstream.streaming.velocity_state import velocity_stream
 from tests.folds import inventory_fold, velocity_fold
 from tests.test_keyed_state import RESET_SCRIPT, SCHEMA, T0, as_dicts, random_rows
@@ -273,3 +277,89 @@ def test_idle_keys_leave_the_state(spark, tmp_path):
     want = velocity_batch(table, ["seq"], 100)
     columns = ("seq", "type", "window", "count")
     assert sorted(tuple(r[c] for c in columns) for r in kept) == sorted(map(tuple, want.select(*columns).collect()))
+
+
+def test_spans_merge_where_less_than_the_gap_lies_between():
+    rng = random.Random(12)
+    for _ in range(200):
+        times = [rng.randrange(400) for _ in range(rng.randint(1, 30))]
+        gap, starts, ends = rng.choice([1, 10, 40]), np.array([], np.int64), np.array([], np.int64)
+        for i in range(0, len(times), 4):
+            part = np.array(times[i : i + 4], np.int64)
+            starts, ends = merged_spans(np.concatenate([starts, part]), np.concatenate([ends, part]), gap)
+        want = []
+        for t in sorted(times):
+            if want and t - want[-1][1] < gap:
+                want[-1][1] = t
+            else:
+                want.append([t, t])
+        assert list(zip(starts.tolist(), ends.tolist())) == [tuple(w) for w in want]
+
+
+def test_stream_emits_whole_sessions_as_they_close(spark, tmp_path, monkeypatch):
+    from shelfstream.streaming import session_state
+
+    monkeypatch.setattr(session_state, "FRAME_ROWS", 3)
+    schema = "client_id string, event string, timestamp long, items array<struct<id: string, price: float>>"
+    # Spark takes rows at its first watermark, the epoch, for late.
+    row = lambda c, t: (c, f"e{t}", T0 + t, [(None, 0.1)] if t % 2 else None)
+    # Out of order within the delay; client c goes on while an earlier session of it closes.
+    batches = [
+        [row("c", t) for t in (0, 40_000, 25_000, 35_000, 29_000)] + [row(None, 5)],
+        [row("c", t) for t in (69_999, 100_000, 99_999)] + [row("d", 90_000)],
+        [row("d", 130_000), row("c", 131_000)],
+        [row("end", 1_000_000)],
+    ]
+    events = counts.with_event_time(as_stream(spark, tmp_path, schema, *batches), watermark="20 seconds")
+    got = run_to_table(closed_session_events(events, 30_000))
+    assert got.schema.simpleString() == spark.createDataFrame([], schema).schema.simpleString()
+    rows = [r for batch in batches[:-1] for r in batch]
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, spark.createDataFrame(rows, schema).collect()))
+
+
+def test_gate_splits_late_rows_and_repeats_itself(spark, tmp_path):
+    batches = [[(1, 0), (2, 100_000)], [(3, 39_000), (4, 20_000), (5, 200_000), (6, None)], [(7, 129_000), (8, 135_000), (9, 99_000)]]
+    stream = as_stream(spark, tmp_path / "in", "id long, timestamp long", *batches)
+    late = []
+    table, letters = str(tmp_path / "on-time"), str(tmp_path / "letters")
+    start_gate(stream, table, letters, str(tmp_path / "p"), 10_000, 60_000, on_late=late.append).awaitTermination()
+    # Windows of 10 s: watermarks 40 s, then 140 s.
+    assert sorted(r.id for r in spark.read.parquet(table).collect()) == [1, 2, 5, 6]
+    found = spark.read.parquet(letters).collect()
+    assert sorted(json.loads(r.data)["id"] for r in found) == [3, 4, 7, 8, 9] and {r.error for r in found} == {LATE} and late == [0, 2, 3]
+
+
+def test_stores_as_they_were_at_the_time_of_a_sale(spark, tmp_path):
+    dimension = VersionedDimension(spark, str(tmp_path / "stores"))
+    sales = spark.createDataFrame([(1, t) for t in (5, 10, 25, 30, None)] + [(2, 25)], "store_id int, timestamp long")
+    assert dimension.enrich(sales).where("storeLocation is not null").count() == 0
+    for start, zips in ((10, [(1, 100)]), (20, [(1, 200), (2, 201)]), (30, [(1, 300)])):
+        stores = [(i, "Irving", "TX", z) for i, z in zips]
+        dimension.add(spark.createDataFrame(stores, "id long, city string, state string, zip long"), start)
+    got = {(r.store_id, r.timestamp): r.storeLocation and r.storeLocation.zip for r in dimension.enrich(sales).collect()}
+    assert got == {(1, 5): None, (1, 10): 100, (1, 25): 200, (1, 30): 300, (1, None): None, (2, 25): 201}
+    assert dimension.enrich(sales.where("timestamp = 25")).where("storeLocation.zip >= 200").count() == 2
+
+
+def test_attribute_before_the_message(spark):
+    lines = spark.createDataFrame([("5\t{\"a\": \"x\ty\"}",), ("no attribute",), ("\t",), (None,)], "value string")
+    got = [(r.TIMESTAMP, r.value) for r in split_attribute(lines).collect()]
+    assert got == [("5", '{"a": "x\ty"}'), (None, "no attribute"), ("", ""), (None, None)]
+
+
+def test_micro_batches_follow_the_bytes(spark, tmp_path):
+    for i in range(6):
+        (tmp_path / f"{i}.txt").write_text("x" * 1000 + "\n")
+    sizes = []
+    from shelfstream.streaming.runs import start_batches
+
+    start_batches(stream_json_lines(spark, str(tmp_path), max_bytes_per_trigger="2100"), lambda batch, load: sizes.append(batch.count()), str(tmp_path / "p")).awaitTermination()
+    assert sum(sizes) == 6 and 2 <= len(sizes) and max(sizes) <= 3
+
+
+def test_jobs_count_parse_failures(spark, tmp_path):
+    cfg = RetailConfig(str(tmp_path / "w"))
+    stream = as_stream(spark, tmp_path / "in", "value string", [(json.dumps(ARRIVED),), ("{broken",)], [("",), ("{",), (json.dumps(ARRIVED),)])
+    stock_plan.start_stock(stream, cfg, str(tmp_path / "p")).awaitTermination()
+    got = sorted((r.feed, r.rows, r.json_parse_failures) for r in spark.read.parquet(cfg.table("metrics")).collect())
+    assert got == [("stock", 2, 1), ("stock", 3, 2)]
