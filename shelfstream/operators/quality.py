@@ -94,11 +94,15 @@ def correct_items(df: DataFrame, catalogue: DataFrame) -> DataFrame:
     join or the exchange. The optimizer decides by the catalogue's bytes whether to broadcast it.
     """
     flagged = F.array_contains("errors", CORR_ITEM)
-    columns = df.columns
+    return df.filter(~flagged).unionByName(_corrected(df.filter(flagged), catalogue))
+
+
+def _corrected(faulty: DataFrame, catalogue: DataFrame) -> DataFrame:
+    columns = faulty.columns
     # Grouping needs a name per event. Equal copies within one input partition share theirs and are
     # counted, so it can be derived from the content and survives a rerun of a lost task.
     event = F.struct(*columns)
-    named = df.filter(flagged).select(
+    named = faulty.select(
         event.alias("event"),
         F.spark_partition_id().alias("part"),
         F.sha2(F.to_json(event, {"ignoreNullFields": "false"}), 256).alias("digest"),
@@ -123,7 +127,7 @@ def correct_items(df: DataFrame, catalogue: DataFrame) -> DataFrame:
         .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies")))
         .select("event.*")
     )
-    return df.filter(~flagged).unionByName(corrected.select(*columns))
+    return corrected.select(*columns)
 
 
 def validate_and_correct(
@@ -135,6 +139,7 @@ def validate_and_correct(
     """(clean events in the input's columns, dead letters)."""
     complete, letters = split_missing_items(df, F.timestamp_millis(F.col(arrival_ms)), events)
     # Items are settled before times are looked at, so the routing filter need not parse any time.
-    items_done = correct_items(flag_invalid_items(with_errors(complete), events), catalogue)
+    sound, faulty = route_by_errors(flag_invalid_items(with_errors(complete), events))
+    items_done = sound.unionByName(_corrected(faulty, catalogue))
     clean = correct_event_time(flag_bad_event_time(items_done, arrival_ms), arrival_ms).drop("errors")
     return clean, letters

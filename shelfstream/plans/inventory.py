@@ -17,7 +17,8 @@ from shelfstream.streaming.inventory_state import inventory_stream
 from shelfstream.streaming.runs import start_batches
 from shelfstream.streaming.velocity_state import velocity_stream
 
-# Files carry no arrival order of their own, so events are taken in the order of their times.
+# Files carry no arrival order of their own, so events are taken in the order of their times. With the key these are all
+# columns of an event: rows that still tie are equal, and any order of them gives the same rows.
 FILE_ORDER = ("timestamp", "event_type", "quantity", "metadata")
 
 
