@@ -123,3 +123,56 @@ def top_k(rows, queries, k):
         scored = sorted((-sum(a * b for a, b in zip(vector, v)), i) for i, v in known if i != own and len(v) == len(vector))
         out += [(own, rank, i, -s) for rank, (s, i) in enumerate(scored[:k], 1)]
     return out
+
+
+_M64 = (1 << 64) - 1
+#: Fixed values of the fingerprints: hashes of bytes, the odd multiplier, the steps of the mixer and the bins.
+_BYTE_NAMES = np.random.default_rng(20240301).integers(0, 1 << 64, 256, np.uint64, endpoint=False).tolist()
+_BASE, _MIX_A, _MIX_B, _SALT, _LOW, _HIGH, _LEVELS = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD, 0x51ED2701, 64, 192, 8
+
+
+def _mix(x):
+    x = (x ^ x >> 32) * _MIX_A & _M64
+    x = (x ^ x >> 29) * _MIX_B & _M64
+    return x ^ x >> 32
+
+
+def _tossed(values):
+    """Each value as twice the lowest bit in which it differs from its left neighbour, plus that bit; the first against its flipped bit 0."""
+    out = []
+    for value, left in zip(values, [values[0] ^ 1, *values]):
+        place = next(k for k in range(64) if (value ^ left) >> k & 1)
+        out.append(2 * place + (value >> place & 1))
+    return out
+
+
+def fingerprint(text):
+    """Hex fingerprint of a text by locally consistent parsing, symbol by symbol."""
+    values = list((text or "").encode())
+    names, bins = [_BYTE_NAMES[v] for v in values], {}
+    for level in range(1, _LEVELS + 1):
+        if not values:
+            break
+        # Runs of one symbol become one symbol.
+        heads, symbols = [], []
+        for value, name in zip(values, names):
+            if heads and heads[-1] == value:
+                symbols[-1][1] += 1
+            else:
+                heads.append(value)
+                symbols.append([name, 1])
+        symbols = [_mix(name + n & _M64) if n > 1 else name for name, n in symbols]
+        small = heads
+        for _ in range(4 if level == 1 else 5):
+            small = _tossed(small)
+        assert max(small) < 6
+        around = [0, *small, 0]
+        opens = [i for i in range(len(small)) if i == 0 or around[i] < small[i] >= around[i + 2]]
+        phrases = [symbols[a:z] for a, z in zip(opens, [*opens[1:], len(symbols)])]
+        names = [_mix(sum(s * pow(_BASE, k, 1 << 64) for k, s in enumerate(phrase)) & _M64) for phrase in phrases]
+        for name in names:
+            hashed = _mix(name + level + _SALT & _M64)
+            place = (hashed >> 32) % _LOW if level == 1 else _LOW + (hashed >> 32) % _HIGH
+            bins[place] = min(hashed & 0xFFFFFFFF, bins.get(place, 1 << 32))
+        values = names = names if len(names) > 1 else []
+    return bytes(1 + bins[i] % 255 if i in bins else 0 for i in range(_LOW + _HIGH)).hex()

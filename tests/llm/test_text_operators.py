@@ -301,3 +301,16 @@ def test_trained_trees_add_wider_forms_and_extensions(spark):
         assert got[303] == "email:3:20,email:3:30" and got[304] == ""
         clean = {r.doc_id: r.text for r in pii.redact(part, trees).where("doc_id >= 300").collect()}
         assert clean[300] == "so [EMAIL] then" and clean[303] == "so [EMAIL] then"
+
+
+def test_fingerprints_by_plain_parsing(spark):
+    rng = random.Random(15)
+    said = ["", "a", "aaaa", "ab" * 400, "é日本" * 30, "x" * 5000, " ".join(rng.choices(["one", "two", "three", "\n"], k=700))]
+    said += ["".join(rng.choices("abc ", k=rng.randint(1, 900))) for _ in range(25)] + [None]
+    docs = table(spark, said)
+    got = {r.doc_id: r for r in phrases.fingerprint_edits(docs, part_bytes=500).collect()}
+    for i, text in enumerate(said):
+        following = said[(i + 1) % len(said)] or ""
+        text = text or ""
+        edited = text[: len(text) - len(text) // 4] + following[: len(text) // 4]
+        assert (got[i].fingerprint, got[i].edited_fingerprint) == (brute.fingerprint(text), brute.fingerprint(edited)), text[:40]
