@@ -88,6 +88,7 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.boundary, self.boundary_id = boundary, self.tokenizer.token_to_id(boundary)
         self.specials = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.starts = {s[:2] for s in self.specials}
         self.folds, self.memory_bytes = folds, memory_bytes
         self.letters = LetterRuns.of(path) if folds else None
         self.known: dict[bytes, bytes] = {}
@@ -96,7 +97,7 @@ class WordIds:
     def _words(self, text: str) -> list[bytes]:
         raw = text.encode()
         # Folding could make or break a special token, so texts that hold its start stay as they are.
-        if not self.folds or any(s[:2] in raw for s in self.specials):
+        if not self.folds or any(start in raw for start in self.starts):
             return raw.split()
         # The tokenizer composes characters before it folds: a capital before a combining mark is not folded here.
         if _MARKED.search(raw):
@@ -116,7 +117,10 @@ class WordIds:
     def _encode(self, words: list[bytes]) -> None:
         if self.letters:
             # Folded ASCII words fall into runs, most of which are letters.
-            split = {w: _RUNS.findall(w) for w in words if w.isascii() and w == w.lower() and not any(s[:2] in w for s in self.specials)}
+            plain = [w for w in words if w.isascii() and w == w.lower()]
+            if any(start in b" ".join(plain) for start in self.starts):
+                plain = [w for w in plain if not any(start in w for start in self.starts)]
+            split = dict(zip(plain, map(_RUNS.findall, plain)))
             runs = {r for own in split.values() for r in own}.difference(self.known)
             letters = [r for r in runs if r.isalpha()]
             self.known.update(zip(letters, self.letters(letters)))
@@ -132,8 +136,8 @@ class WordIds:
         odd = []
         for start in range(0, len(words), 2048):
             part = words[start : start + 2048]
-            if any(s[:2] in b" ".join(part) for s in self.specials):
-                odd += [w for w in part if any(s[:2] in w for s in self.specials)]
+            if any(start in b" ".join(part) for start in self.starts):
+                odd += [w for w in part if any(start in w for start in self.starts)]
                 part = list(set(part).difference(odd))
             text = b" ".join(part).decode().replace(" ", self.boundary)
             ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
@@ -153,10 +157,11 @@ class WordIds:
             self.known, self.held = {}, 0
         split = [self._words(text) for text in batch]
         found = [list(map(self.known.get, words)) for words in split]
-        lacking = [i for i, ids in enumerate(found) if None in ids]
-        self._learn(list({word for i in lacking for word, ids in zip(split[i], found[i]) if ids is None}))
-        for i in lacking:
-            found[i] = map(self.known.__getitem__, split[i])
+        gaps = [[at for at, ids in enumerate(own) if ids is None] for own in found]
+        self._learn(list({words[at] for words, places in zip(split, gaps) for at in places}))
+        for words, own, places in zip(split, found, gaps):
+            for at in places:
+                own[at] = self.known[words[at]]
         return [b"".join(ids) for ids in found]
 
 
