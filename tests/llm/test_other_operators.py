@@ -47,6 +47,26 @@ def test_kd_tree_opens_few_boxes_in_low_dimensions():
     assert (bounds >= best[-1][0]).sum() < len(bounds) / 4
 
 
+def test_spaces_are_even_and_few_are_reached():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    vectors, asked = rng.integers(-1000, 1000, (5000, 2)), rng.integers(-1000, 1000, (40, 2))
+    places = topk._placed(vectors, topk._cuts(vectors[::5], 50))
+    counts = np.bincount(places)
+    assert len(counts) == 50 and counts.min() > 40 and counts.max() < 200
+    low, high = (np.array([f(vectors[places == p], 0) for p in range(50)]) for f in (np.min, np.max))
+    bounds, _ = topk._bounds(asked, low, high, np.maximum(abs(low), abs(high)))
+    scores = asked @ vectors.T
+    fifth = np.sort(scores, 1)[:, -5]
+    reached = topk._promising(bounds, fifth)
+    assert all(reached[q, p] for q in range(40) for p in np.unique(places[scores[q] >= fifth[q]]))
+    assert reached.mean() < 0.25
+    # Equal vectors cannot be cut; nearly equal ones are, at the value that differs.
+    assert topk._cuts(np.ones((9, 2), np.int64), 4) == 0
+    assert topk._cuts(np.array([[1, 1]] * 8 + [[5, 1]]), 2) == (0, 5, 0, 1)
+
+
 def test_top_k_of_large_components(spark):
     rng = random.Random(2)
     rows = [(0, [1.0, 1.0]), (1, [70000.0, 0.0]), (2, [90000.0, -1.0]), (3, [80000.0, 5.0])]
