@@ -18,7 +18,7 @@ from shelfstream.sinks.append import aggregate_path, append_aggregate, append_fa
 from shelfstream.sinks.dead_letter import dead_letter
 from shelfstream.streaming.lateness import start_gate
 from shelfstream.streaming.runs import start_batches
-from shelfstream.streaming.session_state import closed_session_events
+from shelfstream.streaming.session_state import append_sessions, closed_session_events
 
 ARRIVAL = "arrival_ms"
 
@@ -101,7 +101,7 @@ def start_clickstream_counts(spark: SparkSession, cfg: RetailConfig, checkpoint:
     sessions = closed_session_events(timed, cfg.session_gap_ms)
 
     def store_sessions(closed: DataFrame, load: str) -> None:
-        append_table(sessionize(closed, cfg.session_gap_ms), cfg.table("clickstream_sessions"), load)
+        append_sessions(closed, cfg.table("clickstream_sessions"), cfg.session_gap_ms, load)
 
     viewed = with_event_time(follow(on_time), watermark=cfg.watermark)
     views = conform(page_views(drop_error_events(viewed), cfg.window_ms), PAGE_VIEW_AGG)

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from shelfstream.operators.sessions import DEFAULT_GAP_MS
+from shelfstream.operators.sessions import DEFAULT_GAP_MS, sessionize
+from shelfstream.sinks.append import append_table
 
 #: Events that are read from or handed on by the state at once.
 FRAME_ROWS = 10_000
@@ -30,7 +31,8 @@ class SessionHolder(StatefulProcessor):
     """State per client: the spans of its open sessions, and their events in one of two lists.
 
     Events are never held in memory together: they are appended frame by frame as they come and read frame by frame when a
-    session closes; those of sessions still open then move to the other list.
+    session closes; those of sessions still open then move to the other list. One timer waits for the session that closes
+    first; so a client costs a fixed number of state calls per micro-batch, however many sessions it has.
     """
 
     def __init__(self, gap_ms: int) -> None:
@@ -42,7 +44,7 @@ class SessionHolder(StatefulProcessor):
         self._lists = [handle.getListState(f"events_{side}", HELD) for side in (0, 1)]
 
     def _spans(self) -> tuple[np.ndarray, np.ndarray, int]:
-        starts, ends, side = self._open.get() if self._open.exists() else ([], [], 0)
+        starts, ends, side = self._open.get() or ([], [], 0)
         return np.array(starts, np.int64), np.array(ends, np.int64), side
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
@@ -52,15 +54,18 @@ class SessionHolder(StatefulProcessor):
             self._lists[side].appendList(list(zip(times.tolist(), frame["payload"].tolist())))
             starts, ends = merged_spans(np.concatenate([starts, times]), np.concatenate([ends, times]), self._gap)
         self._open.update((starts.tolist(), ends.tolist(), side))
-        for end in ends.tolist():
-            self._handle.registerTimer(end + self._gap)
+        self._wait(ends)
         return iter(())
 
+    def _wait(self, ends: np.ndarray) -> None:
+        # Spans lie apart, so the first one ends first.
+        self._handle.registerTimer(int(ends[0]) + self._gap)
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         starts, ends, side = self._spans()
         closed = ends + self._gap <= timerValues.getCurrentWatermarkInMs()
         if not closed.any():
-            # A session has grown since this timer was set.
+            # The session has grown since this timer was set, and has a later one.
             return
         held, kept = self._lists[side], self._lists[1 - side]
         for frame in _frames(held.get()):
@@ -75,6 +80,7 @@ class SessionHolder(StatefulProcessor):
             self._open.clear()
         else:
             self._open.update((starts[~closed].tolist(), ends[~closed].tolist(), 1 - side))
+            self._wait(ends[~closed])
 
     def close(self) -> None:
         pass
@@ -106,3 +112,11 @@ def closed_session_events(df: DataFrame, gap_ms: int = DEFAULT_GAP_MS) -> DataFr
         statefulProcessor=SessionHolder(gap_ms), outputStructType=HELD, outputMode="Append", timeMode="EventTime"
     )
     return closed.select(F.from_json("payload", T.StructType(fields)).alias("event")).select("event.*")
+
+
+def append_sessions(closed: DataFrame, path: str, gap_ms: int, load: str) -> None:
+    """Append the nested sessions of a micro-batch of :func:`closed_session_events` to the table at ``path``."""
+    # Sessions are built in several passes, and each would run the state again.
+    events = closed.persist()
+    append_table(sessionize(events, gap_ms), path, load)
+    events.unpersist()
