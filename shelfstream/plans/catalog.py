@@ -25,7 +25,7 @@ from shelfstream.streaming.dimension import RefreshingDimension, VersionedDimens
 from shelfstream.streaming.inventory_state import inventory_stream
 from shelfstream.streaming.lateness import start_gate
 from shelfstream.streaming.runs import put_in_order, replay, replay_to_table, run_to_table, start_batches
-from shelfstream.streaming.session_state import closed_session_events
+from shelfstream.streaming.session_state import append_sessions, closed_session_events
 from shelfstream.streaming.velocity_state import velocity_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -521,7 +521,7 @@ def sessionized_12h_stream(spark, sf_dir):
         closed = closed_session_events(counts.with_event_time(stream, watermark="10 minutes"), TWELVE_HOURS)
 
         def work(batch, load):
-            append.append_table(sessions.sessionize(batch, TWELVE_HOURS), table, load)
+            append_sessions(batch, table, TWELVE_HOURS, load)
 
         start_batches(closed, work, checkpoint).awaitTermination()
 
