@@ -1,7 +1,7 @@
 """Personal data: pattern generators, boosted trees over format and context, and a calibrated threshold, all in SQL expressions.
 
 Four base patterns with their checks (``BASE``) always count. High-recall generators propose further, overlapping spans
-(``WIDE``). Boosted trees are fitted to a bounded sample of proposals: one that is a valid base match, or a token assigned to a
+(``WIDE``). Boosted trees are fitted to all proposals, counted by kind, features and label: one that is a valid base match, or a token assigned to a
 name like password, is private. Others are unlabelled: those near a hint, beside a base match, or in a format like that of
 private ones may be either and teach nothing; the rest count as not private. Features see neither the assignment nor the signs
 that base patterns need (a plus; an at-sign or dot that may be spelled out or stand apart), and phones are learnt from without
@@ -46,7 +46,6 @@ ASSIGNED = r"(?i)(?:password|passwd|pwd|token|secret|api_?key|key)\W{1,4}$"
 HINTS = r"(?i)(?:mail|contact|tel|phone|call|fax|card|visa|iban|account|login|user|host|server|address)\W{0,4}\w*\W*$"
 CONTEXT = 24
 BLOCK = 128
-TRAIN_ROWS = 20_000
 LEAST_ROWS = 8
 PRECISION = 0.9
 FEATURES = (
@@ -275,28 +274,30 @@ def _searched(docs: DataFrame) -> DataFrame:
     return found.withColumn("base", F.array_sort(F.concat(*BASE)))
 
 
-def train(docs: DataFrame, rows: int = TRAIN_ROWS) -> Trees:
-    """Trees and threshold from at most ``rows`` proposals, the first by hash of their document and place."""
+def train(docs: DataFrame) -> Trees:
+    """Trees and thresholds from all proposals; equal ones (kind, features, label) are one row that weighs their number. A hash of
+    document and place keeps a quarter of them for the thresholds."""
     # A plain explode() would have its size test pushed below all steps, with their expressions inlined and computed again.
     proposals = _proposed(_searched(docs), national=True).select(F.col("row.doc_id").alias("doc_id"), F.explode_outer("proposals").alias("p")).where("p is not null")
     private = F.col("p.exact") | F.col("p.span.assigned")
     flat = proposals.where(F.col("p.exact") | ~F.col("p.covered") & (private | ~(F.col("p.known") | _doubtful("p.span")))).select(
-        F.xxhash64("doc_id", "p.span.start", "p.span.order").alias("lot"),
+        (F.pmod(F.xxhash64("doc_id", "p.span.start", "p.span.order"), F.lit(4)) == 0).alias("held"),
         F.col("p.span.order").alias("order"),
         private.cast("double").alias("label"),
         *(F.col(f"p.span.{c}").alias(c) for c in FEATURES),
     )
-    sample = settled(flat.orderBy("lot", "label", *FEATURES).limit(rows))
-    counts = dict(sample.groupBy("label").count().collect())
+    different = ["held", "order", "label", *FEATURES]
+    # Sorted, so that a rerun sums in the same order.
+    counted = settled(flat.groupBy(*different).agg(F.count(F.lit(1)).cast("double").alias("n")).sortWithinPartitions(*different))
+    counts = dict(counted.groupBy("label").agg(F.sum("n")).collect())
     if min(counts.get(0.0, 0), counts.get(1.0, 0)) < LEAST_ROWS:
         return Trees()
-    assembled = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(sample).select("lot", "label", "features")
-    fit, held = assembled.where("pmod(lot, 4) <> 0"), sample.where("pmod(lot, 4) = 0")
-    model = GBTClassifier(maxIter=8, maxDepth=3, maxBins=32, stepSize=0.3, seed=7).fit(fit)
+    fit = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(counted.where("not held")).select("label", "n", "features")
+    model = GBTClassifier(maxIter=8, maxDepth=3, maxBins=32, stepSize=0.3, seed=7, weightCol="n").fit(fit)
     trees = tuple((float(w), _parsed(t.toDebugString)) for w, t in zip(model.treeWeights, model.trees))
-    scored = held.select("order", "label", Trees(trees).probability(F.struct(*FEATURES)).alias("score"))
+    scored = counted.where("held").select("order", "label", "n", Trees(trees).probability(F.struct(*FEATURES)).alias("score"))
     # One row per kind and distinct score of the trees.
-    tally = scored.groupBy("order", "score").agg(F.sum("label").alias("good"), F.sum(1 - F.col("label")).alias("bad"))
+    tally = scored.groupBy("order", "score").agg(F.sum(F.col("label") * F.col("n")).alias("good"), F.sum((1 - F.col("label")) * F.col("n")).alias("bad"))
     by_kind: dict[int, list] = {}
     for r in tally.orderBy(F.desc("score")).collect():
         by_kind.setdefault(r["order"], []).append((r["score"], r["good"], r["bad"]))

@@ -4,6 +4,7 @@ import os
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from shelfstream.llm import pii
 
@@ -43,3 +44,17 @@ def test_planted_forms_are_found_and_plain_numbers_stay(spark):
     assert shares[len(private)] == 0 and shares[-2:] == [0, 0], shares
     # A tenth of random digits passes the card's check and is a base span.
     assert shares[len(private) + 1] <= 0.4, shares
+
+
+def test_trees_learn_from_every_proposal(spark, monkeypatch):
+    """More proposals than the 20,000 that training once took; each counts in what the trees are fitted to."""
+    kept, settled = [], pii.settled
+    monkeypatch.setattr(pii, "settled", lambda frame: kept.append(settled(frame)) or kept[-1])
+    # A phone is proposed as written, without its country code, and so with dashes; the eight digits are proposed once.
+    text = F.concat(F.lit("so +1 (988) 555-"), F.lpad(F.col("id").cast("string"), 4, "0"), F.lit(" and 12345678 then"))
+    docs = spark.range(6_000).select(F.col("id").alias("doc_id"), text.alias("text"))
+    trees = pii.train(docs)
+    (frame,) = kept
+    n = F.sum("n") if "n" in frame.columns else F.count(F.lit(1))
+    assert frame.agg(n).first()[0] == 4 * 6_000
+    assert pii.find(docs, trees).where(pii.listed("spans") != pii.listed("base")).count() == 0
