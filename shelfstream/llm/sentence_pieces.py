@@ -18,6 +18,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,16 +27,23 @@ from .common import steps
 
 #: Fixed value: the character that stands for a space.
 MARKER = "▁"
-#: Bytes of chunks and ids that a worker remembers; beyond it the table starts anew. Longer chunks are not remembered.
-TABLE_BYTES = 300 << 20
+#: Bytes of chunks and ids that a worker remembers at most, besides those of one step. Longer chunks are not remembered.
+TABLE_BYTES = 96 << 20
 LONG_CHUNK = 1000
+#: Bytes of text and number of ids that a worker takes apart at once; a single longer text is taken at once.
+STEP_BYTES = 1 << 20
+STEP_IDS = 1 << 18
 
 _CHUNK = re.compile(" +[^ ]*")
 _INNER_MARKER = re.compile(f"[^{MARKER}]{MARKER}")
 
 
 class ChunkTable:
-    """Ids of distinct chunks, by the text behind the chunk's first marker."""
+    """Ids of distinct chunks, by the text behind the chunk's first marker.
+
+    Chunks are kept in two halves: once the newer is full it becomes the older, whose chunks move back as they come again. So
+    common chunks stay known, and rare ones are forgotten.
+    """
 
     def __init__(self, model_path: str, table_bytes: int = TABLE_BYTES):
         from sentencepiece import SentencePieceProcessor
@@ -44,6 +52,7 @@ class ChunkTable:
         _refuse_other_vocabularies(self.model)
         self.table_bytes, self.held = table_bytes, 0
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     @staticmethod
     def chunks(text: str) -> list[str]:
@@ -63,13 +72,15 @@ class ChunkTable:
 
     def __call__(self, batch: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text, without an end id."""
-        if self.held > self.table_bytes:
-            self.known, self.held = {}, 0
+        if 2 * self.held > self.table_bytes:
+            self.older, self.known, self.held = self.known, {}, 0
         split = [self.chunks(text) for text in batch]
         found = [list(map(self.known.get, chunks)) for chunks in split]
         lacking = [i for i, ids in enumerate(found) if None in ids]
-        new = list({chunk for i in lacking for chunk, ids in zip(split[i], found[i]) if ids is None})
-        fresh = dict(zip(new, self._segment(new)))
+        new = {chunk for i in lacking for chunk, ids in zip(split[i], found[i]) if ids is None}
+        fresh = {chunk: self.older[chunk] for chunk in new if chunk in self.older}
+        unknown = [chunk for chunk in new if chunk not in fresh]
+        fresh.update(zip(unknown, self._segment(unknown)))
         for i in lacking:
             found[i] = [fresh[chunk] if ids is None else ids for chunk, ids in zip(split[i], found[i])]
         for chunk, ids in fresh.items():
@@ -118,6 +129,17 @@ def _added(df: DataFrame, column: str, kind: T.DataType, needed: str, run) -> Da
     return made.select(*(F.col(f"row.`{c}`") for c in df.columns if c != column), F.col("made").alias(column))
 
 
+def _steps_of_ids(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose lists hold at most ``STEP_IDS`` ids, or one row."""
+    ends = np.cumsum(pc.fill_null(pc.list_value_length(batch.column("needed")), 0).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < batch.num_rows:
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + STEP_IDS, "right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 def encode(docs: DataFrame, model_path: str, column: str = "ids", end_id: bool = True) -> DataFrame:
     """``docs`` with the ids of each text; ``model_path`` is opened by every worker and must be a file of the installation."""
     end = end_id
@@ -125,7 +147,7 @@ def encode(docs: DataFrame, model_path: str, column: str = "ids", end_id: bool =
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         table = chunk_table(model_path)
         last = np.array([table.model.eos_id()], "<i4").tobytes() if end else b""
-        for step in steps(batch, "needed"):
+        for step in steps(batch, "needed", STEP_BYTES):
             ids = [i + last for i in table([t or "" for t in step.column("needed").to_pylist()])]
             yield pa.RecordBatch.from_arrays([step.column("row"), lists(ids)], ["row", "made"])
 
@@ -137,8 +159,7 @@ def decode(rows: DataFrame, model_path: str, ids: str = "ids", column: str = "de
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         table = chunk_table(model_path)
-        for start in range(0, batch.num_rows, 256):
-            step = batch.slice(start, 256)
+        for step in _steps_of_ids(batch):
             texts = table.model.decode([i or [] for i in step.column("needed").to_pylist()], num_threads=1)
             yield pa.RecordBatch.from_arrays([step.column("row"), pa.array(texts, pa.string())], ["row", "made"])
 

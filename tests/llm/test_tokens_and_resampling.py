@@ -10,6 +10,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -48,6 +49,27 @@ def test_encoding_equals_the_library(spark):
     assert [r.decoded for r in sentence_pieces.decode(docs.limit(1).withColumn("ids", F.lit(None).cast("array<int>")), PIECES).collect()] == [""]
 
 
+def test_chunk_table_keeps_common_chunks_and_stays_small():
+    table, texts = sentence_pieces.ChunkTable(PIECES, table_bytes=4000), [f"the word{i} of" for i in range(300)]
+    asked, segment = [], table._segment
+    table._segment = lambda chunks: asked.extend(chunks) or segment(chunks)
+    for text in texts:
+        table([text])
+        # A step may take the newer half over its share by its own chunks.
+        assert sum(len(c) + len(i) + 200 for half in (table.known, table.older) for c, i in half.items()) <= 4000 + 2 * 3 * 220
+    assert asked.count("the") == asked.count("of") == 1 and len(asked) == 302
+
+
+def test_decoding_takes_bounded_numbers_of_ids(monkeypatch):
+    monkeypatch.setattr(sentence_pieces, "STEP_IDS", 10, raising=False)
+    lists = [[1] * n for n in (3, 7, 0, 1, 25, 9, 2)] + [None, [4]]
+    batch = pa.RecordBatch.from_arrays([pa.array(lists, pa.list_(pa.int32()))], ["needed"])
+    got = [step.column("needed").to_pylist() for step in sentence_pieces._steps_of_ids(batch)]
+    assert sum(got, []) == lists
+    assert all(len(step) == 1 or sum(len(ids or []) for ids in step) <= 10 for step in got)
+    assert list(sentence_pieces._steps_of_ids(batch.slice(0, 0))) == []
+
+
 def test_chunk_table_starts_anew_when_full():
     table = sentence_pieces.ChunkTable(PIECES, table_bytes=2000)
     model = sentencepiece.SentencePieceProcessor(model_file=PIECES)
