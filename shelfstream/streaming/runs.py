@@ -14,6 +14,8 @@ from shelfstream.streaming.keyed_fold import KeyedFold, state_of
 
 #: Rows of a micro-batch that a replayed table is cut into.
 SLICE_ROWS = 1_000_000
+#: Micro-batches of that size; a table of more rows gets ``SLICE_ROWS`` for each core, as every micro-batch reads and writes state.
+SLICES = 8
 #: Files of a micro-batch at most.
 FILES = 64
 
@@ -62,11 +64,11 @@ def feed(df: DataFrame, time_col: str, slices: int | None = None, closing: dict[
     """A table as a stream in time order: files by ranges of ``time_col`` in one write, and a micro-batch per slice of consecutive files.
 
     No later file holds an earlier time, and rows of one time stay together. ``closing`` gives the columns of a last row, e.g. a heartbeat beyond all windows that lets the watermark close them; its other columns are null.
-    Without ``slices`` there are 4, or more so that each has about ``SLICE_ROWS`` rows at most. The stream takes files by their
-    time of change, which is set after the write: the shared folder must be on a file system that keeps such times.
+    Without ``slices`` there are 4, or more (:func:`slices_of`). The stream takes files by their time of change, which is set
+    after the write: the shared folder must be on a file system that keeps such times.
     """
     spark = df.sparkSession
-    slices = slices or max(4, -(-df.count() // SLICE_ROWS))
+    slices = slices or slices_of(df.count(), spark.sparkContext.defaultParallelism)
     folder = shared_dir(spark, "feed")
     # A file is read by one task, so a slice has several.
     files = min(spark.sparkContext.defaultParallelism, FILES)
@@ -78,6 +80,16 @@ def feed(df: DataFrame, time_col: str, slices: int | None = None, closing: dict[
     return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(f"{folder}/*")
 
 
+def slices_of(rows: int, cores: int) -> int:
+    """Number of micro-batches that a table of so many rows is replayed in.
+
+    A keyed stream reads and writes the state of the keys of each micro-batch, so micro-batches of a fixed size would cost a
+    growing state as often as the table has such slices. Beyond ``SLICES`` of them, a micro-batch grows with the cores.
+    """
+    by_size, by_core = -(-rows // SLICE_ROWS), -(-rows // (SLICE_ROWS * cores))
+    return max(4, min(by_size, max(SLICES, by_core)))
+
+
 def put_in_order(spark: SparkSession, pattern: str) -> None:
     """Give the files rising times of change, in the order of their names."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
