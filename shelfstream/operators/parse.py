@@ -32,6 +32,11 @@ def good_rows(parsed: DataFrame, value_col: str = "value") -> DataFrame:
     return parsed.filter("error is null").drop("error", value_col)
 
 
+def failed_lines_only(parsed: DataFrame, value_col: str = "value") -> DataFrame:
+    """``parsed`` with the line of error rows alone: the fields of good rows say it, and it need not be shuffled or kept."""
+    return parsed.withColumn(value_col, F.when(F.col("error").isNotNull(), F.col(value_col)))
+
+
 def parse_errors(parsed: DataFrame, arrival: Column | None = None, value_col: str = "value") -> DataFrame:
     """Error rows of :func:`parse_json` in the dead-letter layout; the transform field stays null."""
     bad = parsed.filter("error is not null").select(

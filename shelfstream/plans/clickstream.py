@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from shelfstream.config import RetailConfig
 from shelfstream.functions.scalars import conform
 from shelfstream.operators.counts import page_views, with_event_time
-from shelfstream.operators.parse import good_rows, parse_errors, parse_json, with_failure_count
+from shelfstream.operators.parse import failed_lines_only, good_rows, parse_errors, parse_json, with_failure_count
 from shelfstream.operators.quality import validate_and_correct
 from shelfstream.operators.sessions import sessionize
 from shelfstream.operators.unify import drop_error_events
@@ -45,7 +45,7 @@ def store_clean(
     """Archive the messages, count parse failures and append their clean events and dead letters."""
     archive_raw(messages, cfg.table("clickstream_raw"), load, test_mode=cfg.test_mode)
     counted_rows, counted = with_failure_count(parse_json(with_arrival(messages), CLICKSTREAM))
-    with computed_once(counted_rows, "parsed") as parsed:
+    with computed_once(failed_lines_only(counted_rows), "parsed") as parsed:
         clean, dead = clean_and_dead(parsed, catalogue)
         append_table(clean, cfg.table("clickstream_clean"), load)
         append_table(dead_letter(dead), cfg.letters("clickstream"), load)

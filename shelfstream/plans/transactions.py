@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from shelfstream.config import RetailConfig
 from shelfstream.operators.counts import with_event_time, with_fixed_window
 from shelfstream.operators.enrich import enriched_rows, unknown_store_letters, enrich_with_store
-from shelfstream.operators.parse import good_rows, parse_errors, parse_json, with_failure_count
+from shelfstream.operators.parse import failed_lines_only, good_rows, parse_errors, parse_json, with_failure_count
 from shelfstream.schemas import TRANSACTION
 from shelfstream.session import computed_once
 from shelfstream.sinks.append import append_failures, append_table, archive_raw, new_load
@@ -36,7 +36,7 @@ def store_transactions(messages: DataFrame, enrich: Enrich, cfg: RetailConfig, l
     """Archive the messages, count parse failures and append the enriched transactions and the dead letters."""
     archive_raw(messages, cfg.table("transactions_raw"), load, test_mode=cfg.test_mode)
     counted_rows, counted = with_failure_count(parsed(messages))
-    with computed_once(enrich(counted_rows), "parsed") as joined:
+    with computed_once(enrich(failed_lines_only(counted_rows)), "parsed") as joined:
         enriched, dead = enriched_and_dead(joined)
         append_table(enriched, cfg.table("transactions_clean"), load)
         append_table(dead_letter(dead), cfg.letters("transactions"), load)

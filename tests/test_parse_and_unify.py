@@ -108,3 +108,17 @@ def test_union_and_key(spark):
 def test_only_exact_error_is_dropped(spark):
     df = spark.createDataFrame([("ERROR",), ("ERROR 7",), (None,), ("browse",)], "event string")
     assert unify.drop_error_events(df).count() == 3
+
+
+def test_only_failed_lines_are_kept_for_the_tables(spark, tmp_path, monkeypatch):
+    from shelfstream.config import RetailConfig
+    from shelfstream.plans import stock
+
+    kept, computed_once = [], stock.computed_once
+    monkeypatch.setattr(stock, "computed_once", lambda df, purpose: kept.append(df) or computed_once(df, purpose))
+    lines = spark.createDataFrame([('{"product_id": 1, "count": 2}',), ("{broken",), ("",), (None,)], "value string")
+    stock.store_stock(lines, RetailConfig(str(tmp_path)), "one")
+    assert sorted(r.value or "" for r in kept[0].collect()) == ["", "", "", "{broken"]
+    letters = spark.read.parquet(RetailConfig(str(tmp_path)).letters("stock"))
+    assert sorted(r.data or "" for r in letters.collect()) == ["", "", "{broken"]
+    assert spark.read.parquet(RetailConfig(str(tmp_path)).table("stock_clean")).select("product_id", "count").collect() == [(1, 2)]
