@@ -97,6 +97,7 @@ def _running_state(events, order_cols, keys, splits, min_chunk_rows, state=None,
     if split.chunks is not None or state is not None:
         order_cols = ["is_event", *order_cols]
 
+    rows = split.spread(rows)
     # One exchange and one sort serve all three running columns.
     arrival = Window.partitionBy(*split.group).orderBy(*order_cols)
     so_far = arrival.rowsBetween(Window.unboundedPreceding, Window.currentRow)

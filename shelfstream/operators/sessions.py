@@ -62,6 +62,7 @@ def _tagged(df, gap_ms, part_rows, splits, min_chunk_rows) -> tuple[DataFrame, l
     )
     if split.chunks is not None:
         rows = rows.unionByName(_opening_sessions(split, clients, gap_ms), allowMissingColumns=True)
+    rows = split.spread(rows)
     # Rows of one time follow a hash of all their columns, so a rerun puts them into the same parts.
     in_order = Window.partitionBy(*split.group).orderBy("is_event", "timestamp", "tie")
     so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 SPLITS = 16_384
 MIN_CHUNK_ROWS = 1_000_000
 CROWDED = 4
+#: Rows of a task of an ordered computation; a table of more gets more tasks than the session has shuffle partitions.
+TASK_ROWS = 500_000
 # Chunk numbers are coarse * FINE + fine; a key has far fewer fine chunks than that.
 FINE = 1 << 20
 
@@ -28,12 +30,20 @@ class Split:
     """``group`` are the columns whose rows stay in one task.
 
     With hot keys, ``rows`` has the columns ``chunk`` and ``is_hot``, and ``chunks`` lists every chunk
-    of every hot key; else ``rows`` is the input and ``chunks`` is None.
+    of every hot key; else ``rows`` is the input and ``chunks`` is None. ``total`` is the number of rows, None if it is not known.
     """
 
     rows: DataFrame
     group: list[str]
     chunks: DataFrame | None = None
+    total: int | None = None
+
+    def spread(self, rows: DataFrame) -> DataFrame:
+        """``rows`` dealt by the group into tasks of about ``TASK_ROWS``, if the shuffle partitions of the session are too few for that."""
+        tasks = -(-(self.total or 0) // TASK_ROWS)
+        if tasks <= int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+            return rows
+        return rows.repartition(tasks, *self.group)
 
 
 def split_hot_keys(
@@ -52,9 +62,12 @@ def split_hot_keys(
     keys = list(keys)
     if most is not None and most <= min_chunk_rows:
         return Split(df, keys)
-    hot = _fetch(_hot_keys(df, keys, order_col, splits, min_chunk_rows))
+    found, total = _hot_keys(df, keys, order_col, splits, min_chunk_rows)
+    measured = found.unionByName(total.select(F.coalesce("total", F.lit(0)).alias("total")), allowMissingColumns=True).collect()
+    total = next(r.total for r in measured if r.total is not None)
+    hot = _local(found, [tuple(r)[:-1] for r in measured if r.total is None])
     if hot is None:
-        return Split(df, keys)
+        return Split(df, keys, total=total)
     rows = df.join(F.broadcast(hot), keys, "left").withColumn("coarse", _piece(order_col, "hot"))
     chunks = hot.select(*keys, F.explode(F.expr("sequence(0L, hot_chunks - 1)")).alias("coarse"))
     fine, fine_chunks = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
@@ -67,12 +80,15 @@ def split_hot_keys(
         *df.columns, (F.col("coarse") * FINE + fine).alias("chunk"), F.col("hot_start").isNotNull().alias("is_hot")
     )
     chunks = chunks.select(*keys, "coarse", F.explode(F.sequence(F.lit(0).cast("bigint"), fine_chunks - 1)).alias("fine"))
-    return Split(rows, [*keys, "chunk"], chunks.select(*keys, (F.col("coarse") * FINE + F.col("fine")).alias("chunk")))
+    return Split(rows, [*keys, "chunk"], chunks.select(*keys, (F.col("coarse") * FINE + F.col("fine")).alias("chunk")), total)
 
 
 def _fetch(bounded: DataFrame) -> DataFrame | None:
     """The rows of a frame of provably bounded size as a local table; None if there are none."""
-    rows = bounded.collect()
+    return _local(bounded, bounded.collect())
+
+
+def _local(bounded: DataFrame, rows: list) -> DataFrame | None:
     return bounded.sparkSession.createDataFrame(rows, bounded.schema) if rows else None
 
 
@@ -95,13 +111,14 @@ def _sizes(df: DataFrame, keys: list[str], order_col: str, *more) -> DataFrame:
     )
 
 
-def _hot_keys(df, keys, order_col, splits, min_chunk_rows) -> DataFrame:
+def _hot_keys(df, keys, order_col, splits, min_chunk_rows) -> tuple[DataFrame, DataFrame]:
+    """(the hot keys, the number of all rows)."""
     per_key = _sizes(df, keys, order_col)
     # The total mentions every column of per_key, so both read the same exchange and df is scanned once.
-    total = per_key.agg(F.sum(F.expr("if(lo > hi, 0, n)")).alias("rows")).scalar()
-    limit = F.greatest(F.call_function("div", total, F.lit(splits)) + 1, F.lit(min_chunk_rows).cast("bigint"))
+    total = per_key.agg(F.sum(F.expr("if(lo > hi, 0, n)")).alias("total"))
+    limit = F.greatest(F.call_function("div", total.scalar(), F.lit(splits)) + 1, F.lit(min_chunk_rows).cast("bigint"))
     sized = per_key.withColumn("limit", limit).filter("n > `limit`")
-    return sized.select(*keys, *_pieces("hot"), F.col("limit").alias("hot_limit"))
+    return sized.select(*keys, *_pieces("hot"), F.col("limit").alias("hot_limit")), total
 
 
 def _crowded_chunks(hot_rows: DataFrame, keys, order_col) -> DataFrame:

@@ -73,6 +73,7 @@ def velocity_from(
     if split.chunks is not None or state is not None:
         order_cols = ["is_event", "bucket", *order_cols]
 
+    rows = split.spread(rows)
     so_far = (
         Window.partitionBy(*split.group).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )

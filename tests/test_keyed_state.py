@@ -111,3 +111,17 @@ def test_hot_key_is_cut_also_where_it_bursts(spark):
     assert {r.chunk for r in sizes if r.is_hot} <= listed and len(listed) <= 4 * 1000
     ordered = split.rows.filter("is_hot").orderBy("t").select("chunk").collect()
     assert [r.chunk for r in ordered] == sorted(r.chunk for r in ordered)
+
+
+def test_tasks_of_an_ordered_computation_follow_its_rows(spark, monkeypatch):
+    from shelfstream.operators import skew
+
+    rows = [("S", f"P{i % 40}", "SALE", 1, T0 + i * 60_000, i) for i in range(400)]
+    events = spark.createDataFrame(rows, "store_id string, product_id string, event_type string, quantity long, timestamp long, seq long")
+    want = {r.seq: r.on_hand for r in inventory_batch(events, ["seq"]).collect()}
+    monkeypatch.setattr(skew, "TASK_ROWS", 40, raising=False)
+    got = inventory_batch(events, ["seq"])
+    assert got.rdd.getNumPartitions() == 10 and {r.seq: r.on_hand for r in got.collect()} == want
+    assert velocity_batch(events, ["seq"]).rdd.getNumPartitions() == 10
+    assert split_hot_keys(events, ["product_id"], "seq").total == 400
+    assert split_hot_keys(events.where("false"), ["product_id"], "seq").total == 0
