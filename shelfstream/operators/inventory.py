@@ -61,14 +61,15 @@ def inventory_from(
     splits: int = skew.SPLITS,
     min_chunk_rows: int = skew.MIN_CHUNK_ROWS,
     most: int | None = None,
+    total: int | None = None,
 ) -> DataFrame:
     """:func:`inventory_batch` for events that follow earlier ones, with ``last_reset`` beside ``on_hand``.
 
     ``state`` has ``last_reset`` and ``on_hand`` of each key so far (:func:`closing_inventory`), None at the start; ``most``
-    is a known bound of a key's rows, its state included.
+    is a known bound of a key's rows, its state included, and ``total`` one of all rows.
     """
     moves = events.filter(F.col("event_type").isin(*STOCK_EVENTS))
-    rows = _running_state(moves, order_cols, keys, splits, min_chunk_rows, state, most)
+    rows = _running_state(moves, order_cols, keys, splits, min_chunk_rows, state, most, total)
     return rows.filter("accepted").select(*events.columns, "last_reset", "on_hand")
 
 
@@ -78,7 +79,7 @@ def closing_inventory(rows: DataFrame, order_cols: Sequence[str], keys: Sequence
     return rows.groupBy(*keys).agg(last.alias("last"), F.max("timestamp").alias("seen")).select(*keys, "last.*", "seen")
 
 
-def _running_state(events, order_cols, keys, splits, min_chunk_rows, state=None, most=None) -> DataFrame:
+def _running_state(events, order_cols, keys, splits, min_chunk_rows, state=None, most=None, total=None) -> DataFrame:
     keys, order_cols = list(keys), list(order_cols)
     if state is not None:
         # A key's state replays as one row before all others: null order columns sort first, in the chunks of a hot key as well.
@@ -90,7 +91,7 @@ def _running_state(events, order_cols, keys, splits, min_chunk_rows, state=None,
             F.lit(False).alias("is_event"),
         )
         events = events.withColumn("is_event", F.lit(True)).unionByName(replayed, allowMissingColumns=True)
-    split = skew.split_hot_keys(events, keys, order_cols[0], splits, min_chunk_rows, most)
+    split = skew.split_hot_keys(events, keys, order_cols[0], splits, min_chunk_rows, most, total)
     rows = split.rows if state is not None else split.rows.withColumn("is_event", F.lit(True))
     if split.chunks is not None:
         rows = rows.unionByName(_opening_rows(split, order_cols, keys), allowMissingColumns=True)

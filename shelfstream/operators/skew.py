@@ -39,11 +39,16 @@ class Split:
     total: int | None = None
 
     def spread(self, rows: DataFrame) -> DataFrame:
-        """``rows`` dealt by the group into tasks of about ``TASK_ROWS``, if the shuffle partitions of the session are too few for that."""
-        tasks = -(-(self.total or 0) // TASK_ROWS)
-        if tasks <= int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")):
-            return rows
-        return rows.repartition(tasks, *self.group)
+        """``rows`` dealt by the group (:func:`spread`)."""
+        return spread(rows, self.group, self.total)
+
+
+def spread(df: DataFrame, group: Sequence[str], total: int | None) -> DataFrame:
+    """``df`` of about ``total`` rows dealt by ``group`` into tasks of ``TASK_ROWS``, if the shuffle partitions of the session are too few for that."""
+    tasks = -(-(total or 0) // TASK_ROWS)
+    if tasks <= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        return df
+    return df.repartition(tasks, *group)
 
 
 def split_hot_keys(
@@ -53,15 +58,16 @@ def split_hot_keys(
     splits: int = SPLITS,
     min_chunk_rows: int = MIN_CHUNK_ROWS,
     most: int | None = None,
+    total: int | None = None,
 ) -> Split:
     """Split ``df`` by ``keys`` along ``order_col``, a long. Chunk numbers follow the order.
 
     Counts the rows per key right away (a scan of the key and order columns, combined before the shuffle), unless a known
-    bound ``most`` of a key's rows tells that no key is hot.
+    bound ``most`` of a key's rows tells that no key is hot; ``total`` is then the number of all rows, if it is known.
     """
     keys = list(keys)
     if most is not None and most <= min_chunk_rows:
-        return Split(df, keys)
+        return Split(df, keys, total=total)
     found, total = _hot_keys(df, keys, order_col, splits, min_chunk_rows)
     measured = found.unionByName(total.select(F.coalesce("total", F.lit(0)).alias("total")), allowMissingColumns=True).collect()
     total = next(r.total for r in measured if r.total is not None)

@@ -52,10 +52,12 @@ def velocity_from(
     splits: int = skew.SPLITS,
     min_chunk_rows: int = skew.MIN_CHUNK_ROWS,
     most: int | None = None,
+    total: int | None = None,
 ) -> DataFrame:
     """:func:`velocity_batch` for events that follow earlier ones.
 
-    ``state`` is that of :func:`closing_velocity`, None at the start; ``most`` is a known bound of a key's rows, its buckets included.
+    ``state`` is that of :func:`closing_velocity`, None at the start; ``most`` is a known bound of a key's rows, its buckets included,
+    and ``total`` one of all rows.
     """
     keys, order_cols = list(keys), list(order_cols)
     sales = _sales(events, event_types)
@@ -63,7 +65,7 @@ def velocity_from(
         # Buckets replay as rows before all others, oldest minute first; null order columns keep them in a hot key's first chunk.
         replayed = _bucket_rows(state, keys).withColumns({"bucket": F.col("minute"), "is_event": F.lit(False)})
         sales = sales.withColumn("is_event", F.lit(True)).unionByName(replayed, allowMissingColumns=True)
-    split = skew.split_hot_keys(sales, keys, order_cols[0], splits, min_chunk_rows, most)
+    split = skew.split_hot_keys(sales, keys, order_cols[0], splits, min_chunk_rows, most, total)
     rows = split.rows
     if state is None:
         rows = rows.withColumn("is_event", F.lit(True))

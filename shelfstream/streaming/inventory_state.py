@@ -29,9 +29,11 @@ def inventory_stream(
     return KeyedFold(
         moves,
         list(keys),
-        lambda state, batch, most: inventory_from(state, batch, order_cols, keys, min_chunk_rows=min_chunk_rows, most=most),
+        lambda state, batch, most, total: inventory_from(
+            state, batch, order_cols, keys, min_chunk_rows=min_chunk_rows, most=most, total=total
+        ),
         lambda state, batch, rows: closing_inventory(rows, order_cols, keys),
         T.StructType([*moves.schema.fields, T.StructField("on_hand", T.LongType())]),
-        state_rows=1,
+        replayed="1",
         idle_ms=idle_ms,
     )

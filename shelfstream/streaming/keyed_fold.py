@@ -21,20 +21,23 @@ from shelfstream.sinks.serving import BUCKETS, read_latest, upsert_latest
 class KeyedFold:
     """A stream under an ordered rule.
 
-    ``run(state, events, most)`` gives the rows to hand on (``most`` is a bound of their number with the state's), and
-    ``close(state, events, rows)`` the new state of the keys that ``events`` name, one row each, with the newest event time
-    ``seen``. ``schema`` is that of the rows. Keys that saw nothing for ``idle_ms`` before the oldest event of a micro-batch
-    start anew, and their state is removed as its bucket is written whole. ``state_rows`` is the most that one key's state replays as.
+    ``run(state, events, most, total)`` gives the rows to hand on (``most`` bounds the rows of a key with those of its state, and
+    ``total`` is the number of all these rows), and ``close(state, events, rows)`` the new state of the keys that ``events`` name,
+    one row each, with the newest event time ``seen``. ``schema`` is that of the rows. Keys that saw nothing for ``idle_ms``
+    before the oldest event of a micro-batch start anew, and their state is removed as its bucket is written whole. ``replayed``
+    tells how many rows a key's state replays as. Without ``closes_rows``, ``close`` does not read the rows, and they are not kept
+    after the sink has read them.
     """
 
     events: DataFrame
     keys: Sequence[str]
-    run: Callable[[DataFrame | None, DataFrame, int], DataFrame]
+    run: Callable[[DataFrame | None, DataFrame, int, int], DataFrame]
     close: Callable[[DataFrame | None, DataFrame, DataFrame], DataFrame]
     schema: T.StructType
-    state_rows: int
+    replayed: str
     idle_ms: int | None = None
     buckets: int = BUCKETS
+    closes_rows: bool = True
 
     def work(self, sink: Callable[[DataFrame, str], None], state_path: str) -> Callable[[DataFrame, str], None]:
         """``foreachBatch`` work that hands the rows of each micro-batch to ``sink`` and keeps the state."""
@@ -42,28 +45,36 @@ class KeyedFold:
         def step(batch: DataFrame, load: str) -> None:
             # These frames are read several times; what a lost executor held is computed again.
             events = batch.persist()
-            size = events.agg(F.count(F.lit(1)).alias("n"), F.min("timestamp").alias("oldest")).first()
+            # One pass tells the keys whose state is needed and whether one of them is hot.
+            named = events.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("n"), F.min("timestamp").alias("oldest")).persist()
+            size = named.agg(F.sum("n").alias("n"), F.max("n").alias("most"), F.min("oldest").alias("oldest")).first()
             expired = None
             if self.idle_ms is not None and size.oldest is not None:
                 expired = F.col("seen") < F.lit(size.oldest - self.idle_ms)
-            state = self._state(events, state_path, load, expired)
-            kept = [events] if state is None else [events, state.persist()]
-            rows = self.run(state, events, size.n + self.state_rows).persist()
+            most, total, kept = size.most or 0, size.n or 0, [events, named]
+            state = self._state(named, state_path, load, expired)
+            if state is not None:
+                kept.append(state.persist())
+                replayed = state.agg(F.max(F.expr(self.replayed)).alias("most"), F.sum(F.expr(self.replayed)).alias("n")).first()
+                most, total = most + (replayed.most or 0), total + (replayed.n or 0)
+            rows = self.run(state, events, most, total)
+            if self.closes_rows:
+                kept.append(rows.persist())
             sink(rows.select(*self.schema.names), load)
             closing = self.close(state, events, rows)
             upsert_latest(closing, state_path, self.keys, ["version"], load, self.buckets, expired, unique=True)
-            for frame in (rows, *kept):
+            for frame in kept:
                 frame.unpersist()
 
         return step
 
-    def _state(self, events: DataFrame, state_path: str, load: str, expired: Column | None) -> DataFrame | None:
-        """State of the keys in ``events`` before ``load``."""
-        state = read_latest(events.sparkSession, state_path, self.keys, ["version"], load)
+    def _state(self, named: DataFrame, state_path: str, load: str, expired: Column | None) -> DataFrame | None:
+        """State before ``load`` of the keys that ``named`` has one row for."""
+        state = read_latest(named.sparkSession, state_path, self.keys, ["version"], load)
         if state is None:
             return None
-        named = state.join(events.select(*self.keys).distinct(), list(self.keys), "left_semi")
-        return named if expired is None else named.filter(~F.coalesce(expired, F.lit(False)))
+        state = state.join(named, list(self.keys), "left_semi")
+        return state if expired is None else state.filter(~F.coalesce(expired, F.lit(False)))
 
 
 def state_of(checkpoint: str) -> str:

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from shelfstream.operators import skew
 from shelfstream.operators.inventory import KEYS
-from shelfstream.operators.velocity import DAY, THRESHOLD, closing_velocity, velocity_from
+from shelfstream.operators.velocity import THRESHOLD, closing_velocity, velocity_from
 from shelfstream.schemas import SIGNAL
 from shelfstream.streaming.keyed_fold import KeyedFold
 
@@ -30,11 +30,12 @@ def velocity_stream(
     return KeyedFold(
         sales,
         list(keys),
-        lambda state, batch, most: velocity_from(
-            state, batch, order_cols, threshold, keys, event_types, min_chunk_rows=min_chunk_rows, most=most
+        lambda state, batch, most, total: velocity_from(
+            state, batch, order_cols, threshold, keys, event_types, min_chunk_rows=min_chunk_rows, most=most, total=total
         ),
         lambda state, batch, rows: closing_velocity(state, batch, keys, event_types),
         T.StructType([f for f in sales.schema.fields if f.name != "event_type" or "event_type" in order_cols] + SIGNAL.fields),
-        state_rows=DAY,
+        replayed="size(buckets)",
+        closes_rows=False,
         idle_ms=idle_ms,
     )

@@ -125,3 +125,17 @@ def test_tasks_of_an_ordered_computation_follow_its_rows(spark, monkeypatch):
     assert velocity_batch(events, ["seq"]).rdd.getNumPartitions() == 10
     assert split_hot_keys(events, ["product_id"], "seq").total == 400
     assert split_hot_keys(events.where("false"), ["product_id"], "seq").total == 0
+
+
+def test_a_known_bound_of_the_rows_spreads_them_over_tasks(spark, monkeypatch):
+    """A micro-batch without a hot key is dealt into tasks of ``TASK_ROWS``, too, and its rows are not counted again."""
+    from shelfstream.operators import skew
+    from shelfstream.operators.inventory import inventory_from
+    from shelfstream.operators.velocity import velocity_from
+
+    monkeypatch.setattr(skew, "TASK_ROWS", 20)
+    rows = spark.createDataFrame(random_rows(400, 9, 4000), SCHEMA)
+    monkeypatch.setattr(skew, "_hot_keys", None)
+    for run in (inventory_from, velocity_from):
+        got = run(None, rows.where("event_type != 'VIEW'"), ["seq"], most=400, total=400)
+        assert got.select("seq").rdd.getNumPartitions() == 20
