@@ -79,16 +79,17 @@ def start_inventory(events: DataFrame, cfg: RetailConfig, checkpoint: str, order
     """Streaming job over unified events: two queries that keep the serving tables current."""
     order = list(order_cols)
 
-    def writer(fmt, table):
+    def writer(fmt, table, *values):
         def write(batch: DataFrame, load: str) -> None:
-            # Micro-batches follow one another, so the version leads the order of the values.
-            upsert_latest(fmt(batch, order), cfg.table(table), ["key"], ["version", *order], load)
+            # Micro-batches follow one another, so the version leads the order of the values. Keys are written for the latest rows only.
+            latest = fmt(_latest(batch, order, *values), order)
+            upsert_latest(latest, cfg.table(table), ["key"], ["version", *order], load)
 
         return write
 
     on_hand = inventory_stream(events, order)
     signals = velocity_stream(events, order, cfg.fast_threshold, idle_ms=cfg.velocity_idle_ms)
     return (
-        start_batches(on_hand, writer(format_stock_kv, "stock_serving"), f"{checkpoint}/stock", **trigger),
-        start_batches(signals, writer(format_signal_kv, "signal_serving"), f"{checkpoint}/signal", **trigger),
+        start_batches(on_hand, writer(format_stock_kv, "stock_serving", "on_hand"), f"{checkpoint}/stock", **trigger),
+        start_batches(signals, writer(format_signal_kv, "signal_serving", "type", "window", "count"), f"{checkpoint}/signal", **trigger),
     )

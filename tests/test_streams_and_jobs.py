@@ -263,6 +263,33 @@ def test_repeated_micro_batch_starts_from_the_state_before_it(spark, tmp_path):
     assert got == [[-10, 90], [50, 48], [50, 48], [-10, 90]]
 
 
+def test_micro_batch_without_a_hot_key_is_counted_once(spark, tmp_path, monkeypatch):
+    from shelfstream.operators import skew
+
+    rows = [(i, "S1", f"P{i % 20}", "SALE", 1, T0 + i * 1000, None) for i in range(400)]
+    table, got = spark.createDataFrame(rows, SCHEMA), []
+    monkeypatch.setattr(skew, "_hot_keys", None)
+    step = inventory_stream(table, ["seq"], min_chunk_rows=40).work(lambda out, load: got.extend(out.collect()), str(tmp_path / "state"))
+    for i in (0, 200):
+        step(table.where(F.col("seq").between(i, i + 199)), str(i))
+    assert sorted((r.seq, r.on_hand) for r in got) == [(i, -(i // 20) - 1) for i in range(400)]
+    # A key that fills more than a chunk is found still.
+    with pytest.raises(TypeError):
+        step(table.withColumn("product_id", F.lit("hot")), "hot")
+
+
+def test_streaming_inventory_job_serves_only_the_latest_rows_of_a_micro_batch(spark, tmp_path, monkeypatch):
+    sizes, upsert = [], inventory_plan.upsert_latest
+    monkeypatch.setattr(inventory_plan, "upsert_latest", lambda df, *more: (sizes.append(df.count()), upsert(df, *more))[1])
+    rows = [(i, "S1", f"P{i % 3}", "SALE", 1, T0 + i * 1000, None) for i in range(60)]
+    events, cfg = as_stream(spark, tmp_path / "in", SCHEMA, rows[:30], rows[30:]), RetailConfig(str(tmp_path / "w"))
+    for q in inventory_plan.start_inventory(events, cfg, str(tmp_path / "progress"), ["seq"]):
+        q.awaitTermination()
+    assert sizes == [3] * 4
+    latest = serving.read_latest(spark, cfg.table("stock_serving"), ["key"], ["version", "seq"]).collect()
+    assert sorted((r.key, r.value) for r in latest) == [(f"stock:S1:P{i}", "-20") for i in range(3)]
+
+
 def test_idle_keys_leave_the_state(spark, tmp_path):
     day = 86_400_000
     rows = [(i, "S1", f"P{i % 50 if i < 50 else 50}", "SALE", 60, T0 + i * day // 20, None) for i in range(120)]
