@@ -71,8 +71,9 @@ def run_inventory(spark: SparkSession, cfg: RetailConfig) -> None:
         return
     # Both branches pass over the events several times; a table keeps JSON parsing to one pass.
     with computed_once(events, "unified") as parsed:
-        upsert_latest(stock_values(parsed), cfg.table("stock_serving"), ["key"], FILE_ORDER)
-        upsert_latest(signal_values(parsed, cfg.fast_threshold), cfg.table("signal_serving"), ["key"], FILE_ORDER)
+        most = parsed.count()
+        upsert_latest(stock_values(parsed), cfg.table("stock_serving"), ["key"], FILE_ORDER, most=most)
+        upsert_latest(signal_values(parsed, cfg.fast_threshold), cfg.table("signal_serving"), ["key"], FILE_ORDER, most=most)
 
 
 def start_inventory(events: DataFrame, cfg: RetailConfig, checkpoint: str, order_cols: Sequence[str] = ("timestamp",), **trigger):

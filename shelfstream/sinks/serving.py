@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfstream.functions.scalars import event_key, long_bytes
+from shelfstream.operators.skew import spread
 
 
 # Prefixes and formats of the served keys and values, and the cells of a page-view row.
@@ -23,8 +24,10 @@ SIGNAL_FORMAT = "Signal{type='%s', window='%s', count=%d}"
 CELL_FAMILY, PAGE_CELL, COUNT_CELL = "pageViewAgg", "pageViewRef", "pageViewCount"
 CELL_KEYS = ("row_key", "family", "qualifier")
 
-#: Buckets of a new table; a bucket is written by one task, so tables of very many keys need more.
+#: Buckets of a new table. Large buckets are written by several tasks, as their bytes ask for.
 BUCKETS = 16
+#: Bytes that a row of a file has at least, to bound the rows of files.
+ROW_BYTES = 16
 #: Changes of a bucket beside its snapshot at most, so that readers open a bounded number of files.
 MAX_CHANGES = 50
 
@@ -115,6 +118,11 @@ class _Bucket:
     sizes: list[int] = field(default_factory=list)
     folders: list[str] = field(default_factory=list)
 
+    @property
+    def most(self) -> int:
+        """A bound of the rows in its files."""
+        return sum(self.sizes) // ROW_BYTES
+
     @property
     def due(self) -> bool:
         return sum(self.sizes[1:]) >= self.sizes[0] or len(self.sizes) > MAX_CHANGES
@@ -136,7 +144,9 @@ def _rows(spark: SparkSession, buckets: list[_Bucket], keys: Sequence[str], orde
     if not folders:
         return None
     rows = spark.read.parquet(*folders)
-    return rows if len(folders) == len(buckets) else latest_per_key(rows, keys, order_cols)
+    if len(folders) == len(buckets):
+        return rows
+    return latest_per_key(spread(rows, keys, sum(b.most for b in buckets)), keys, order_cols)
 
 
 def read_latest(
@@ -161,13 +171,15 @@ def upsert_latest(
     buckets: int = BUCKETS,
     expired: Column | None = None,
     unique: bool = False,
+    most: int | None = None,
 ) -> int:
     """Merge the newest row per key into the serving table; returns the version written.
 
     Versions count up by themselves, whoever writes. A write costs what changed: a bucket is written whole only once its
     changes weigh as much as its snapshot (or number ``MAX_CHANGES``), and buckets without changes stay as they are. Rows
     that ``expired`` holds for are left out when their bucket is written whole; to come round to all of them, every write then
-    renews one bucket in turn. ``buckets`` counts for a new table only. ``unique`` says that ``df`` has one row per key.
+    renews one bucket in turn. ``buckets`` counts for a new table only. ``unique`` says that ``df`` has one row per key;
+    ``most`` is a bound of its rows, which the tasks that look for the newest follow.
 
     A ``load`` that is written again, as a repeated micro-batch is, replaces its own version. Rows carry their ``version``,
     which ``order_cols`` may name: then later writes win. Otherwise ``order_cols`` are columns of ``df``. Writers of one table
@@ -184,15 +196,17 @@ def upsert_latest(
     earlier = _rows(spark, [current[b] for b in due], keys, order_cols)
     if earlier is not None:
         rows = earlier.unionByName(rows)
+        most = (most or 0) + sum(current[b].most for b in due)
     bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-    newest = rows if unique and earlier is None else latest_per_key(rows, keys, order_cols)
+    newest = rows if unique and earlier is None else latest_per_key(spread(rows, keys, most), keys, order_cols)
     newest = newest.withColumn("bucket", bucket)
     whole = F.col("bucket").isin(due) | ~F.col("bucket").isin(list(current))
     newest = newest.withColumn("kind", F.when(whole, "full").otherwise("change"))
     if expired is not None:
         newest = newest.filter((F.col("kind") == "change") | ~F.coalesce(expired, F.lit(False)))
     target = f"{path}/buckets={buckets}/version={number}@{load}"
-    newest.repartition(buckets, "bucket").write.mode("overwrite").partitionBy("kind", "bucket").parquet(target)
+    # Small buckets keep together in one file each, large ones are cut by their bytes.
+    newest.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("kind", "bucket").parquet(target)
     if expired is not None:
         # A bucket of expired rows only has no file yet that would replace its earlier ones.
         left = {int(s.getPath().getName().partition("=")[2]) for s in files(spark, f"{target}/kind=full/bucket=*")}

@@ -113,6 +113,45 @@ def test_serving_writes_follow_the_changed_keys(spark, tmp_path):
     assert latest.count() == n and {r.value for r in latest.select("value").distinct().collect()} == {"w5"}
 
 
+def test_tasks_of_a_large_serving_table_follow_its_rows(spark, tmp_path, monkeypatch):
+    from shelfstream.operators import skew
+
+    monkeypatch.setattr(skew, "TASK_ROWS", 2_000)
+    size, advised = "spark.sql.adaptive.advisoryPartitionSizeInBytes", []
+    before = spark.conf.get(size)
+    rows = spark.range(40_000).select(F.sha2(F.col("id").cast("string"), 256).alias("key"), F.lit(0).cast("long").alias("seq"))
+    monkeypatch.setattr(serving, "latest_per_key", lambda df, *more, latest=serving.latest_per_key: (advised.append(df.rdd.getNumPartitions()), latest(df, *more))[1])
+    try:
+        spark.conf.set(size, "100kb")
+        for _ in range(3):
+            serving.upsert_latest(rows, str(tmp_path), ["key"], ["seq"], buckets=2, most=40_000)
+    finally:
+        spark.conf.set(size, before)
+    # The newest are found in a task for each 2,000 rows, and no bucket is written by one task.
+    assert min(advised) >= 20
+    assert all(len(list(b.glob("*.parquet"))) > 2 for b in tmp_path.glob("buckets=2/version=0@*/kind=full/bucket=*"))
+    latest = serving.read_latest(spark, str(tmp_path), ["key"], ["seq"])
+    assert latest.count() == 40_000 == latest.select("key").distinct().count()
+
+
+def test_tasks_of_the_join_of_orders_and_lines_follow_the_lines(spark, tmp_path, monkeypatch):
+    from shelfstream.operators import skew
+    from shelfstream.sources import sample_feeds as feeds
+
+    folder = "/root/testdata/sf0.001"
+    want = sorted(map(str, feeds.transactions(spark, folder).collect()))
+    monkeypatch.setattr(skew, "TASK_ROWS", 500)
+    broadcast = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(broadcast)
+    try:
+        spark.conf.set(broadcast, "-1")
+        got = feeds.transactions(spark, folder)
+        assert got.rdd.getNumPartitions() == -(-spark.read.parquet(f"{folder}/lineitem.parquet").count() // 500)
+        assert sorted(map(str, got.collect())) == want
+    finally:
+        spark.conf.set(broadcast, before)
+
+
 def test_expired_keys_leave_with_the_next_snapshot(spark, tmp_path):
     path = str(tmp_path / "serving")
     for seq in range(3):
